@@ -49,9 +49,14 @@ def upsert(
         counts = counts.withColumn(
             "nr_replaces", F.when(F.col("nr_replaces") > 0, clash).otherwise(F.col("nr_replaces"))
         )
+    return replace_rows(target, incoming, row_bound), counts
+
+
+def replace_rows(target: DataFrame, incoming: DataFrame, row_bound: int | None = None) -> DataFrame:
+    """Stored rows whose id is not incoming, and the (deduplicated) incoming rows."""
     kept = target.join(_keys(incoming, row_bound), KEYS, "left_anti")
     written = incoming.select(*[c for c in target.columns if c in incoming.columns])
-    return kept.unionByName(written, allowMissingColumns=True).select(*target.columns), counts
+    return kept.unionByName(written, allowMissingColumns=True).select(*target.columns)
 
 
 def split_new(target: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,12 +75,6 @@ def upsert_counts(target: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def delete_where(target: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows left after deleting those for which ``predicate`` is true, and the counts."""
-    gone = F.coalesce(predicate, F.lit(False))
-    return target.where(~gone), delete_counts(target.where(gone))
-
-
 def delete_counts(matched: DataFrame) -> DataFrame:
     """``matches, failed, successful``; a job commits whole or raises, so nothing half-fails."""
     return matched.agg(
@@ -85,50 +84,65 @@ def delete_counts(matched: DataFrame) -> DataFrame:
     )
 
 
-def delete_by_ids(
+def split_where(target: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows that stay, and rows for which ``predicate`` is true."""
+    gone = F.coalesce(predicate, F.lit(False))
+    return target.where(~gone), target.where(predicate)
+
+
+def split_ids(
     target: DataFrame, ids: DataFrame, row_bound: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Delete the chunks whose id is in ``ids`` (column ``chunk_id``, and ``tenant`` if present).
-
-    Children of a deleted chunk stay.
-    """
+    """Rows that stay, and rows whose id is in ``ids`` (``chunk_id``, and ``tenant`` if present)."""
     keys = [k for k in KEYS if k in ids.columns]
     wanted = ids.select(*keys).distinct()
     if row_bound is not None and row_bound <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    return (
-        target.join(wanted, keys, "left_anti"),
-        delete_counts(target.select(*KEYS).join(wanted, keys, "left_semi")),
-    )
+    return target.join(wanted, keys, "left_anti"), target.join(wanted, keys, "left_semi")
+
+
+def document_ids(documents: DataFrame) -> DataFrame:
+    tenant = ["tenant"] if "tenant" in documents.columns else []
+    return documents.select(*tenant, F.explode("chunks.chunk_id").alias("chunk_id"))
+
+
+def filter_predicate(schema: T.StructType, having_all=None, having_any=None) -> Column:
+    """The predicate of a delete; without any filter nothing may be deleted."""
+    predicate = compile_filter(schema, having_all, having_any)
+    if predicate is None:
+        raise InvalidFilter("a delete needs a filter")
+    return predicate
+
+
+def _counted(split: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    kept, matched = split
+    return kept, delete_counts(matched)
+
+
+def delete_by_ids(
+    target: DataFrame, ids: DataFrame, row_bound: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows left after deleting a table of ids, and the counts. Children of a chunk stay."""
+    return _counted(split_ids(target, ids, row_bound))
 
 
 def delete_by_id(target: DataFrame, ids: list[str]) -> tuple[DataFrame, DataFrame]:
     """Delete a list of ids given by the caller."""
-    return delete_where(target, F.col("chunk_id").isin(ids))
+    return _counted(split_where(target, F.col("chunk_id").isin(ids)))
 
 
 def delete_by_filename(target: DataFrame, filename: str) -> tuple[DataFrame, DataFrame]:
-    return delete_where(target, F.col("filename") == filename)
+    return _counted(split_where(target, F.col("filename") == filename))
 
 
 def delete_document(
     target: DataFrame, documents: DataFrame, row_bound: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Delete the chunks listed in documents, whatever their filename."""
-    tenant = ["tenant"] if "tenant" in documents.columns else []
-    listed = documents.select(*tenant, F.explode("chunks.chunk_id").alias("chunk_id"))
-    return delete_by_ids(target, listed, row_bound)
-
-
-def filter_predicate(schema: T.StructType, having_all=None, having_any=None) -> Column:
-    """The predicate of a delete; without any filter nothing may be deleted."""
-    predicate = compile_filter(schema, having_all, having_any)
-    if predicate is None:
-        raise InvalidFilter("a delete needs a filter")
-    return predicate
+    return _counted(split_ids(target, document_ids(documents), row_bound))
 
 
 def delete_by_filter(
     target: DataFrame, having_all=None, having_any=None
 ) -> tuple[DataFrame, DataFrame]:
-    return delete_where(target, filter_predicate(target.schema, having_all, having_any))
+    return _counted(split_where(target, filter_predicate(target.schema, having_all, having_any)))

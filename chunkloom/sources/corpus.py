@@ -78,3 +78,44 @@ def text_requests(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "benchmark").select(
         F.col("item_id").cast("string").alias("request_id"), F.col("text").alias("query_text")
     )
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunks nested back into documents, ten chunks to a document."""
+    stored = chunks(spark, folder)
+    chunk = F.struct(
+        "chunk_id",
+        "content",
+        F.array("original_span_start", "original_span_end").alias("original_span"),
+        "hierarchy_level",
+        "parent_id",
+        "custom_properties",
+        F.try_element_at("embeddings", F.lit("default")).alias("embedding"),
+    )
+    return stored.groupBy("tenant", "filename").agg(
+        F.first("document_metadata").alias("document_metadata"),
+        F.collect_list(chunk).alias("chunks"),
+    )
+
+
+def upsert_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """New versions of every chunk with a quality label, and every conversation turn.
+
+    The turns of a conversation share one id, so that only its last turn is kept.
+    """
+    stored = chunks(spark, folder)
+    revised = (
+        stored.where(F.col("custom_properties.quality").isNotNull())
+        .withColumn("content", F.concat(F.lit("revised "), "content"))
+        .withColumn("embeddings", F.lit(None).cast("map<string,array<float>>"))
+        .withColumn("position", F.lit(0).cast("bigint"))
+    )
+    turns = table(spark, folder, "conversations").select(
+        F.concat(F.lit("talk_"), F.col("conv_id").cast("string")).alias("chunk_id"),
+        F.concat(F.lit("talk_"), F.col("conv_id").cast("string"), F.lit(".txt")).alias("filename"),
+        F.col("text").alias("content"),
+        F.lit(0).alias("hierarchy_level"),
+        F.col("turn").alias("position"),
+        F.concat(F.lit("tenant_"), (F.col("conv_id") % 3).cast("string")).alias("tenant"),
+    )
+    return revised.unionByName(turns, allowMissingColumns=True)
