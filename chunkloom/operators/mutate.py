@@ -59,12 +59,6 @@ def replace_rows(target: DataFrame, incoming: DataFrame, row_bound: int | None =
     return kept.unionByName(written, allowMissingColumns=True).select(*target.columns)
 
 
-def split_new(target: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Incoming rows that are new, and those that replace a stored row."""
-    stored = target.select(*KEYS)
-    return incoming.join(stored, KEYS, "left_anti"), incoming.join(stored, KEYS, "left_semi")
-
-
 def upsert_counts(target: DataFrame, incoming: DataFrame) -> DataFrame:
     """``nr_inserts, nr_replaces`` of deduplicated rows; only key columns are read."""
     stored = target.select(*KEYS).withColumn("stored", F.lit(True))

@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from chunkloom.operators.requests import BatchProfile
 
-SMALL_REQUESTS = 16 << 20
 BROADCAST_HITS = 200_000
 
 
 def beside_requests(rows: DataFrame, params: DataFrame, batch: BatchProfile) -> DataFrame:
     """Join request parameters to hits; the requests are broadcast only when known to be small."""
-    small = batch.bytes <= SMALL_REQUESTS
-    return rows.join(F.broadcast(params) if small else params, "request_id")
+    return rows.join(F.broadcast(params) if batch.is_small else params, "request_id")
 
 
 def apply_parent_strategy(hits: DataFrame, requests: DataFrame, batch: BatchProfile) -> DataFrame:

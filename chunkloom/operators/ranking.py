@@ -5,21 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ORDER = ("distance", "chunk_id", "tenant")
-
-
-def materialize(frame: DataFrame) -> DataFrame:
-    """Write ``frame`` out in the cluster's checkpoint folder and read it back.
+from chunkloom.operators.storage import materialize
 
-    Row numbers given by position must not be computed twice, and they must survive the loss of
-    an executor.
-    """
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            frame.sparkSession.conf.get("spark.checkpoint.dir", "/tmp/chunkloom-checkpoints")
-        )
-    return frame.checkpoint()
+# Up to this top a window per request is cheap: each task sends it at most top hits.
+WINDOW_TOP = 1_000
+ORDER = ("distance", "chunk_id", "tenant")
 
 
 def top_k(hits: DataFrame, largest_top: int, order: tuple[str, ...] = ORDER) -> DataFrame:
@@ -39,7 +29,8 @@ def rank_all(hits: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
 
     A window per request would put all hits of one request in one task. Here the hits are sorted
     by range over all tasks (ties are spread by the id in the sort key), numbered within each
-    partition, and shifted by the number of hits in the partitions before.
+    partition, and shifted by the number of hits in the partitions before. The numbered rows are
+    checkpointed, because a second computation could cut the ranges elsewhere.
     """
     numbered = materialize(
         hits.orderBy("request_id", *order).withColumn("pos", F.monotonically_increasing_id())

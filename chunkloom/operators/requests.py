@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.operators.storage import materialize
 from chunkloom.schema import DEFAULT_VECTOR, METHODS, REQUEST_SCHEMA
 
 _BUILT_IN = {"method": "cosine", "vector_name": DEFAULT_VECTOR, "include_vector": False}
@@ -45,6 +46,9 @@ def with_defaults(requests: DataFrame, defaults: dict[str, Any] | None = None) -
     return requests.select(*columns, *extra)
 
 
+SMALL_REQUESTS = 32 << 20
+
+
 @dataclass(frozen=True)
 class BatchProfile:
     """What the plan must know about a batch of requests, from one pass over the requests."""
@@ -52,6 +56,7 @@ class BatchProfile:
     count: int
     bytes: int
     top: int | None  # largest top, or None when a request has no top
+    limited_hits: int  # bound on the hits of the requests that have a top
     auto_limit: int | None
     methods: tuple[str, ...]
     vector_names: tuple[str, ...]
@@ -59,10 +64,15 @@ class BatchProfile:
     with_vectors: bool
     with_tenants: bool
 
+    @property
+    def is_small(self) -> bool:
+        """Whether the requests may be sent to every task."""
+        return self.bytes <= SMALL_REQUESTS
+
     @property
     def max_hits(self) -> int | None:
         """Bound on the hits of the whole batch, if there is one."""
-        return None if self.top is None else self.top * max(self.count, 1)
+        return None if self.top is None else self.limited_hits
 
 
 def profile(requests: DataFrame) -> BatchProfile:
@@ -76,6 +86,7 @@ def profile(requests: DataFrame) -> BatchProfile:
         ).alias("bytes"),
         F.max("top").alias("top"),
         F.bool_or(F.col("top").isNull()).alias("no_top"),
+        F.sum(F.greatest("top", F.lit(0)).cast("bigint")).alias("limited_hits"),
         F.max("auto_limit").alias("auto_limit"),
         F.collect_set("method").alias("methods"),
         F.collect_set("vector_name").alias("names"),
@@ -90,6 +101,7 @@ def profile(requests: DataFrame) -> BatchProfile:
         count=row["n"],
         bytes=row["bytes"] or 0,
         top=None if row["no_top"] else row["top"],
+        limited_hits=row["limited_hits"] or 0,
         auto_limit=row["auto_limit"],
         methods=tuple(sorted(row["methods"])),
         vector_names=tuple(sorted(row["names"])),
@@ -97,3 +109,13 @@ def profile(requests: DataFrame) -> BatchProfile:
         with_vectors=bool(row["vectors"]),
         with_tenants=bool(row["tenants"]),
     )
+
+
+def settle(requests: DataFrame, batch: BatchProfile) -> DataFrame:
+    """Requests computed once, since a search reads them several times.
+
+    A batch within the broadcast bound becomes a local table, a larger one is written out.
+    """
+    if not batch.is_small:
+        return materialize(requests)
+    return requests.sparkSession.createDataFrame(requests.toArrow(), requests.schema)

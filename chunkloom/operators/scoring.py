@@ -7,7 +7,7 @@ pairs are never emitted. A request without ``top`` gets all its hits within ``ho
 The product only screens: a bound on its rounding error is added to the cut-off, and what passes
 is scored again pair by pair. Distances, and so ties, do not depend on how Spark cuts the batches.
 
-Requests within ``broadcast_bytes`` go to the tasks as one broadcast. More than that are packed
+A small batch of requests goes to the tasks as one broadcast. A larger one is packed
 into blocks, chunks are packed likewise, and an equi-join on a slot number meets every chunk block
 with every request block; both sides are shuffled and neither has to fit in memory.
 """
@@ -24,10 +24,9 @@ from pyspark.sql import functions as F
 
 from chunkloom.operators.requests import BatchProfile
 
-BROADCAST_BYTES = 32 << 20
 POOL_ROWS = 1 << 20  # hits kept per task on the broadcast path
-BLOCK_REQUESTS = 1024
-BLOCK_CHUNKS = 4096
+BLOCK_REQUESTS = 512
+BLOCK_CHUNKS = 2048
 _CELLS = 1 << 21  # scores held at once by the kernel
 _PAIRS = 1 << 16
 
@@ -276,12 +275,11 @@ def over_blocks(
     batch: BatchProfile,
     process: Process,
     ddl: str,
-    broadcast_bytes: int | None = None,
+    in_tiles: bool = False,
 ) -> DataFrame:
     """Run ``process(requests, batches of chunks)`` so that all requests meet all chunks."""
     spark = chunks.sparkSession
-    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    if batch.bytes <= limit and (batch.max_hits or 0) <= POOL_ROWS:
+    if batch.is_small and not in_tiles and batch.limited_hits <= POOL_ROWS:
         shared = spark.sparkContext.broadcast(requests.toArrow())
 
         def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +308,7 @@ def scan(
     chunks: DataFrame,
     requests: DataFrame,
     batch: BatchProfile,
-    broadcast_bytes: int | None = None,
+    in_tiles: bool = False,
 ) -> DataFrame:
     """Hits of every request among the chunks, each request's nearest kept per task.
 
@@ -323,4 +321,4 @@ def scan(
         block = RequestBlock(asked)
         return collect_hits(block, (hit for chunks in batches for hit in score(block, chunks)))
 
-    return over_blocks(chunks, requests, batch, nearest, HIT_DDL, broadcast_bytes)
+    return over_blocks(chunks, requests, batch, nearest, HIT_DDL, in_tiles)

@@ -14,9 +14,9 @@ from chunkloom.functions.text import hashed_term_vector, tokens
 from chunkloom.operators import hybrid
 from chunkloom.operators.filters_by_request import by_filters, predicate
 from chunkloom.operators.parents import apply_parent_strategy, beside_requests, fetch_chunks
-from chunkloom.operators.ranking import auto_cut, auto_cut_all, rank_all, top_k
+from chunkloom.operators.ranking import WINDOW_TOP, auto_cut, auto_cut_all, rank_all, top_k
 from chunkloom.operators.regroup import group_by_file
-from chunkloom.operators.requests import BatchProfile, profile, with_defaults
+from chunkloom.operators.requests import BatchProfile, profile, settle, with_defaults
 from chunkloom.operators.scoring import scan
 
 Embedder = Callable[[Column], Column]
@@ -42,7 +42,7 @@ def _vector_columns(batch: BatchProfile) -> list[Column]:
 
 
 def nearest(
-    chunks: DataFrame, requests: DataFrame, batch: BatchProfile, broadcast_bytes: int | None = None
+    chunks: DataFrame, requests: DataFrame, batch: BatchProfile, in_tiles: bool = False
 ) -> DataFrame:
     """Unranked hits of completed requests: filter, then exact scan."""
     if batch.count == 0:
@@ -55,18 +55,13 @@ def nearest(
     with_slots = _slots(requests, batch)
     parts = []
     for kept, numbered in by_filters(chunks, with_slots, columns):
-        some_vector = reduce(
-            lambda a, b: a | b, [F.col(f"v{i}").isNotNull() for i in range(len(batch.vector_names))]
-        )
-        parts.append(
-            scan(kept.where(some_vector), numbered.select(*_ASKED), batch, broadcast_bytes)
-        )
+        parts.append(scan(kept, numbered.select(*_ASKED), batch, in_tiles))
     return reduce(DataFrame.unionByName, parts)
 
 
 def ranked(hits: DataFrame, batch: BatchProfile) -> DataFrame:
     """Hits with their ``rank``, cut to each request's ``top`` and ``auto_limit``."""
-    if batch.top is not None:
+    if batch.top is not None and batch.top <= WINDOW_TOP:
         best = top_k(hits, batch.top)
         return auto_cut(best) if batch.auto_limit else best
     listed = rank_all(hits)
@@ -95,7 +90,7 @@ def vector_search(
     requests: DataFrame,
     defaults: dict[str, Any] | None = None,
     by_file: bool = True,
-    broadcast_bytes: int | None = None,
+    in_tiles: bool = False,
 ) -> DataFrame:
     """Nearest chunks of each request, as documents per file or, with ``by_file`` off, as rows.
 
@@ -104,7 +99,8 @@ def vector_search(
     """
     asked = with_defaults(requests, defaults)
     batch = profile(asked)
-    hits = ranked(nearest(chunks, asked, batch, broadcast_bytes), batch)
+    asked = settle(asked, batch)
+    hits = ranked(nearest(chunks, asked, batch, in_tiles), batch)
     rows = _rows(hits, chunks, asked, batch)
     return group_by_file(rows, batch) if by_file else rows
 
@@ -125,13 +121,14 @@ def _with_terms(
     chunks: DataFrame, requests: DataFrame, batch: BatchProfile
 ) -> DataFrame:
     terms = hybrid.query_terms(chunks, requests, batch)
-    return requests.join(terms, "request_id", "left").withColumns(
+    complete = requests.join(terms, "request_id", "left").withColumns(
         {
             "terms": F.coalesce("terms", F.array().cast("array<string>")),
             "idf": F.coalesce("idf", F.array().cast("array<double>")),
             "avg_length": F.coalesce("avg_length", F.lit(1.0)),
         }
     )
+    return settle(complete, batch)
 
 
 def _as_scores(rows: DataFrame) -> DataFrame:
@@ -144,6 +141,7 @@ def keyword_search(
     """``request_id, tenant, chunk_id, score, rank``: chunks by BM25 score of ``query_text``."""
     asked = with_defaults(requests, defaults)
     batch = profile(asked)
+    asked = settle(asked, batch)
     columns = [*[F.col(c) for c in _IDS], tokens(F.col("content")).alias("tokens")]
     prepared = _with_terms(chunks, asked.withColumn("slot", F.lit(0)), batch)
     parts = [
@@ -163,6 +161,7 @@ def hybrid_search(
 ) -> DataFrame:
     """Keyword and vector relevance blended by ``alpha``; higher ``score`` first.
 
+    In documents per file the ``distance`` of a chunk is its negative score.
     A request without ``query_embedding`` is embedded from its text. The chunks are read twice:
     once for the range of both scores per request, once for the blended scores.
     """
@@ -171,6 +170,7 @@ def hybrid_search(
         "query_embedding", F.coalesce("query_embedding", embed(F.col("query_text")))
     )
     batch = profile(asked)
+    asked = settle(asked, batch)
     columns = [
         *[F.col(c) for c in _IDS],
         *_vector_columns(batch),

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 DEFAULT_TENANT = "__default__"
 DEFAULT_VECTOR = "default"
+BUCKET = "id_bucket"
 
 # The five fixed properties of a chunk, and the type names a declared
 # property may use.
@@ -44,16 +45,17 @@ def collection_columns(
     custom_type: str = "VARIANT",
     properties: dict[str, str] | None = None,
 ) -> dict[str, str]:
-    """Column name -> DDL type of a collection table, the partition column last."""
+    """Column name -> DDL type of a collection table, the two partition columns last."""
     columns = {"chunk_id": "STRING", **FIXED_PROPERTIES, "parent_id": "STRING"}
     columns["document_metadata"] = metadata_type
     columns["custom_properties"] = custom_type
     columns["embeddings"] = "MAP<STRING, ARRAY<FLOAT>>"
     for name, type_name in (properties or {}).items():
-        if name in columns or name == "tenant":
+        if name in columns or name in ("tenant", BUCKET):
             raise ValueError(f"property '{name}' clashes with a fixed column")
         columns[name] = property_ddl(type_name)
     columns["tenant"] = "STRING"
+    columns[BUCKET] = "INT"
     return columns
 
 

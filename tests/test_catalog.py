@@ -1,0 +1,200 @@
+import json
+import uuid
+
+import pytest
+from conftest import CHILD, PARENT
+from pyspark.sql import functions as F
+
+from chunkloom import errors
+from chunkloom.plans.answer import answer
+from chunkloom.sources import catalog
+from chunkloom.sources.documents import read_documents, read_requests, write_results
+from chunkloom.streaming.ingest import ingest, stream_documents
+
+
+@pytest.fixture
+def name(spark):
+    name = "c_" + uuid.uuid4().hex
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def ids(spark, name, tenant=None):
+    return sorted(r["chunk_id"] for r in catalog.scan_tenant(spark, name, tenant).collect())
+
+
+def test_create_describe_drop(spark, name):
+    made = catalog.create_collection(
+        spark, name, {"year": "int", "tags": "text_array"}, description="it's a test"
+    )
+    assert made.columns[:3] == ["chunk_id", "filename", "content"] and made.columns[-1] == "tenant"
+    with pytest.raises(ValueError, match="exists already"):
+        catalog.create_collection(spark, name)
+    rows = catalog.describe_collection(spark, name).collect()
+    types = {r["property"]: r["type"] for r in rows}
+    assert types["year"] == "bigint" and types["tags"] == "array<string>" and types["hierarchy_level"] == "int"
+    assert rows[0]["description"] == "it's a test" and rows[0]["multi_tenancy"]
+    assert catalog.drop_collection(spark, None, default=name) == {"collection_name": name}
+    with pytest.raises(errors.CollectionNotFound):
+        catalog.drop_collection(spark, name)
+    with pytest.raises(ValueError):
+        catalog.drop_collection(spark, None)
+    with pytest.raises(KeyError):
+        catalog.scan_collection(spark, name)
+    with pytest.raises(errors.NoCollectionProvided):
+        catalog.scan_collection(spark, "")
+    with pytest.raises(ValueError, match="unknown property type"):
+        catalog.create_collection(spark, name, {"x": "blob"})
+
+
+def test_tenants(spark, name, documents):
+    catalog.create_collection(spark, name)
+    odd = "it's a/b=c%+ d"
+    for tenant in ("t1", odd):
+        catalog.create_tenant(spark, name, tenant)
+    assert sorted(r["tenant"] for r in catalog.tenants(spark, name).collect()) == sorted(["t1", odd])
+    with pytest.raises(ValueError, match="exists already"):
+        catalog.create_tenant(spark, name, "t1")
+    catalog.create_tenant(spark, name, "t1", if_not_exists=True)
+    with pytest.raises(ValueError):
+        catalog.create_tenant(spark, name, None)
+    with pytest.raises(KeyError):
+        catalog.persist_documents(spark, name, documents, "t9")
+    with pytest.raises(errors.NoTenantProvided):
+        catalog.persist_documents(spark, name, documents)
+    result = catalog.persist_documents(spark, name, documents, odd)
+    assert result == {"collection_name": name, "tenant_name": odd, "nr_inserts": 2, "nr_replaces": 0}
+    assert ids(spark, name, odd) == sorted([CHILD, PARENT]) and ids(spark, name, "t1") == []
+    with pytest.raises(KeyError):
+        catalog.scan_tenant(spark, name, "t9")
+    assert catalog.drop_tenant(spark, name, odd) == {"collection_name": name, "tenant_name": odd}
+    assert ids(spark, name) == []
+    with pytest.raises(errors.TenantNotFound):
+        catalog.drop_tenant(spark, name, odd)
+    with pytest.raises(errors.NoTenantProvided):
+        catalog.drop_tenant(spark, name, "")
+    with pytest.raises(errors.NoCollectionProvided):
+        catalog.drop_tenant(spark, None, "t1")
+
+
+def test_without_tenants(spark, name, documents):
+    catalog.create_collection(spark, name, multi_tenancy={"enabled": False})
+    with pytest.raises(errors.NoMultiTenancySupport):
+        catalog.drop_tenant(spark, name, "t1")
+    with pytest.raises(errors.NoMultiTenancySupport):
+        catalog.create_tenant(spark, name, "t1")
+    assert catalog.persist_documents(spark, name, documents)["nr_inserts"] == 2
+
+
+def test_persist_same_and_other(spark, name, documents, other_documents):
+    catalog.create_collection(spark, name, multi_tenancy={"enabled": False}, buckets=2)
+    catalog.persist_documents(spark, name, documents)
+    changed = documents.withColumn("filename", F.lit("renamed.txt"))
+    again = catalog.persist_documents(spark, name, changed)
+    assert (again["nr_inserts"], again["nr_replaces"]) == (0, 2)
+    assert {r["filename"] for r in catalog.scan_collection(spark, name).collect()} == {"renamed.txt"}
+    with pytest.raises(ValueError, match="exist already"):
+        catalog.persist_documents(spark, name, documents, on_conflict="fail")
+    other = catalog.persist_documents(spark, name, other_documents)
+    assert (other["nr_inserts"], other["nr_replaces"]) == (2, 0)
+    both = catalog.persist_documents(spark, name, documents.union(other_documents))
+    assert (both["nr_inserts"], both["nr_replaces"]) == (0, 4)
+    assert len(ids(spark, name)) == 4
+
+
+def test_mixed_batch_keeps_every_row(spark, name):
+    catalog.create_collection(spark, name, multi_tenancy={"enabled": False}, buckets=8)
+    rows = spark.range(0, 200).select(
+        F.col("id").cast("string").alias("chunk_id"), F.lit("f").alias("filename"), F.lit("v1").alias("content"),
+        F.lit(0).alias("hierarchy_level"),
+    )
+    catalog.persist_chunks(spark, name, rows)
+    second = rows.where("chunk_id IN ('3', '4')").withColumn("content", F.lit("v2"))
+    second = second.union(second.withColumn("chunk_id", F.concat(F.lit("new"), "chunk_id")))
+    result = catalog.persist_chunks(spark, name, second)
+    assert (result["nr_inserts"], result["nr_replaces"]) == (2, 2)
+    stored = {r["chunk_id"]: r["content"] for r in catalog.scan_collection(spark, name).collect()}
+    assert len(stored) == 202 == catalog.scan_collection(spark, name).count()
+    assert {k for k, v in stored.items() if v == "v2"} == {"3", "4", "new3", "new4"}
+
+
+def test_deletes(spark, name, documents, other_documents):
+    catalog.create_collection(spark, name, buckets=4)
+    for tenant in ("t1", "t2"):
+        catalog.create_tenant(spark, name, tenant)
+        catalog.persist_documents(spark, name, documents, tenant)
+    catalog.persist_documents(spark, name, other_documents, "t2")
+
+    def counts(n):
+        return {"matches": n, "failed": 0, "successful": n}
+
+    assert catalog.delete_chunks(spark, name, CHILD.upper(), "t1", check_uuid=True) == counts(1)
+    assert ids(spark, name, "t1") == [PARENT]
+    with pytest.raises(ValueError):
+        catalog.delete_chunks(spark, name, ["no uuid"], "t1", check_uuid=True)
+    assert catalog.delete_chunks(spark, name, ["no uuid"], "t1") == counts(0)
+    assert catalog.delete_file(spark, name, "plays.txt") == counts(2)
+    assert catalog.delete_file(spark, name, "plays.txt") == counts(0)
+    with pytest.raises(errors.InvalidFilter):
+        catalog.delete_matching(spark, name)
+    assert catalog.delete_matching(spark, name, {"document_metadata.source": "pdf"}) == counts(3)
+    assert ids(spark, name) == []
+    # emptied tenants are still there and can be filled again
+    assert sorted(r["tenant"] for r in catalog.tenants(spark, name).collect()) == ["t1", "t2"]
+    catalog.persist_documents(spark, name, documents, "t2")
+    assert catalog.delete_documents(spark, name, documents, "t2") == counts(2)
+
+
+def message(filename, chunk_id, content, level=0):
+    chunk = {
+        "chunk_id": chunk_id, "content": content, "original_span": [0, len(content)], "hierarchy_level": level,
+        "custom_properties": {"age": 3, "deep": {"x": [1, "a"]}}, "embedding": [1.0, 0.5],
+    }
+    return json.dumps({"filename": filename, "document_metadata": {"language": "en"}, "chunks": [chunk]})
+
+
+def test_stream_and_replay(spark, name, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    catalog.create_collection(spark, name, multi_tenancy={"enabled": False})
+    (feed / "1.json").write_text(message("a.txt", "a", "one") + "\n" + message("b.txt", "b", "two"))
+
+    def run(checkpoint):
+        query = ingest(stream_documents(spark, str(feed)), name, str(tmp_path / checkpoint))
+        query.awaitTermination(60)
+
+    run("one")
+    assert ids(spark, name) == ["a", "b"]
+    (feed / "2.json").write_text(message("a.txt", "a", "changed"))
+    run("one")
+    run("two")  # everything once more, as after a lost checkpoint
+    assert ids(spark, name) == ["a", "b"]
+    stored = {r["chunk_id"]: r for r in catalog.scan_collection(spark, name).collect()}
+    assert stored["b"]["custom_properties"].toPython() == {"age": 3, "deep": {"x": [1, "a"]}}
+
+
+def test_json_in_and_out(spark, name, tmp_path):
+    (tmp_path / "docs.json").write_text(message("a.txt", "a", "one") + "\n" + message("b.txt", "b", "two", 1))
+    (tmp_path / "asked.json").write_text(
+        json.dumps(
+            {
+                "request_id": "r", "query_embedding": [1.0, 0.5], "top": 5, "tenant_name": "t1",
+                "having_all": {"custom_property.age >=": 3}, "operation_level": -1,
+            }
+        )
+    )
+    catalog.create_collection(spark, name)
+    catalog.create_tenant(spark, name, "t1")
+    catalog.persist_documents(spark, name, read_documents(spark, str(tmp_path / "docs.json")), "t1")
+    asked = read_requests(spark, str(tmp_path / "asked.json"))
+    found = answer(spark, asked, {"collection_name": name}).collect()
+    assert [json.loads(r["document"])["filename"] for r in found] == ["b.txt"]
+    with pytest.raises(errors.NoCollectionProvided):
+        answer(spark, asked)
+    with pytest.raises(KeyError):
+        answer(spark, asked.withColumn("tenant_name", F.lit("t9")), {"collection_name": name})
+
+    from chunkloom.plans.search import vector_search
+
+    write_results(vector_search(catalog.scan_collection(spark, name), asked), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 1
