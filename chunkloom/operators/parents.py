@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.operators.requests import BatchProfile
@@ -22,31 +22,29 @@ def apply_parent_strategy(hits: DataFrame, requests: DataFrame, batch: BatchProf
     (``include``); a parent that is a hit itself keeps its own place too. Only ids move here: the
     chunks themselves are fetched once, later.
     """
-    own = hits.select(
-        "request_id",
-        "tenant",
-        "chunk_id",
-        "parent_id",
-        "distance",
-        "rank",
-        (F.col("rank").cast("bigint") * 2).alias("place"),
-        F.lit(False).alias("is_parent"),
-    )
     if not batch.with_parents:
-        return own.drop("parent_id")
-    asked = beside_requests(own, requests.select("request_id", "parent_strategy"), batch)
+        return hits.select(
+            "request_id", "tenant", "chunk_id", "distance", "rank",
+            (F.col("rank") * 2).alias("place"), F.lit(False).alias("is_parent"),
+        )
+    asked = beside_requests(hits, requests.select("request_id", "parent_strategy"), batch)
     strategy = F.col("parent_strategy")
-    children = asked.where(strategy.isNull() | (strategy != "replace")).drop(
-        "parent_id", "parent_strategy"
-    )
-    parents = (
-        asked.where(strategy.isNotNull() & F.col("parent_id").isNotNull())
-        .groupBy("request_id", "tenant", F.col("parent_id").alias("chunk_id"))
+    # both from one row, so that the hits are not computed once for each
+    own = F.when(strategy.isNull() | (strategy != "replace"), _result("chunk_id", False))
+    parent = F.when(strategy.isNotNull() & F.col("parent_id").isNotNull(), _result("parent_id", True))
+    return (
+        asked.select(
+            "request_id", "tenant", "distance", "rank",
+            F.explode(F.array_compact(F.array(own, parent))).alias("result"),
+        )
+        .groupBy("request_id", "tenant", "result.chunk_id", "result.is_parent")
         .agg(F.min("rank").alias("rank"), F.min_by("distance", "rank").alias("distance"))
-        .withColumn("place", F.col("rank").cast("bigint") * 2 + 1)
-        .withColumn("is_parent", F.lit(True))
+        .withColumn("place", F.col("rank") * 2 + F.col("is_parent").cast("bigint"))
     )
-    return children.unionByName(parents)
+
+
+def _result(chunk_id: str, is_parent: bool) -> Column:
+    return F.struct(F.col(chunk_id).alias("chunk_id"), F.lit(is_parent).alias("is_parent"))
 
 
 def fetch_chunks(rows: DataFrame, chunks: DataFrame, batch: BatchProfile) -> DataFrame:
