@@ -366,4 +366,11 @@ FROM chunks WHERE label = 1"""),
     "delete_by_filename": _kept("filename = 'doc_3.txt'"),
     "delete_document": _kept("language = 'fr'"),
     "delete_by_filter": _kept("language = 'fr' OR quality = 0"),
+    "persist_committed": _with(
+        f"SELECT {STORED} FROM chunks c WHERE {NOT_LATEST} UNION ALL {LATEST}", UPSERT
+    ),
+    "delete_committed": _kept(
+        "language = 'fr' OR quality = 0 OR filename = 'doc_3.txt' OR tenant = 'tenant_2'"
+    ),
+    "stream_ingest": _with(f"SELECT * REPLACE ('__default__' AS tenant) FROM (SELECT {STORED} FROM chunks)"),
 }

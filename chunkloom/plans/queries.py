@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,12 +16,16 @@ from chunkloom.operators.ingest import explode_documents
 from chunkloom.operators.predicates import compile_filter
 from chunkloom.operators.regroup import documents_json
 from chunkloom.operators.requests import with_defaults
+from chunkloom.operators.storage import shared_folder
 from chunkloom.plans import search
-from chunkloom.sources import corpus
+from chunkloom.sources import catalog, corpus
 from chunkloom.sources.catalog import scan_collection, scan_tenant
+from chunkloom.streaming.ingest import ingest, stream_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TENANTS = ("tenant_0", "tenant_1", "tenant_2")
+
 # The filters of the predicate queries.
 FILTERS: dict[str, dict] = {
     "filter_eq": {"having_all": {"document_metadata.language": "en"}},
@@ -383,6 +388,62 @@ def delete_by_filter(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(rows)
 
 
+METADATA_TYPE = "STRUCT<language: STRING, source: STRING>"
+CUSTOM_TYPE = "STRUCT<label: INT, quality: INT, tags: ARRAY<STRING>>"
+
+
+def _scratch(spark: SparkSession, tenancy: bool = True) -> tuple[str, str]:
+    """A new collection for one query, with its files in the shared folder."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{name}"
+    catalog.create_collection(
+        spark, name, metadata_type=METADATA_TYPE, custom_type=CUSTOM_TYPE,
+        multi_tenancy={"enabled": tenancy}, buckets=4, location=f"{folder}/table",
+    )
+    return name, folder
+
+
+def _filled(spark: SparkSession, folder: str) -> str:
+    """All documents persisted, each tenant's into its own tenant."""
+    name, _ = _scratch(spark)
+    documents = corpus.documents(spark, folder)
+    for tenant in TENANTS:
+        catalog.create_tenant(spark, name, tenant)
+        mine = documents.where(F.col("tenant") == tenant).drop("tenant")
+        catalog.persist_documents(spark, name, mine, tenant)
+    return name
+
+
+def persist_committed(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents persisted, then a batch of new versions and new chunks committed on top."""
+    name = _filled(spark, folder)
+    batch = corpus.upsert_batch(spark, folder)
+    for tenant in TENANTS:
+        mine = batch.where(F.col("tenant") == tenant).drop("tenant")
+        catalog.persist_chunks(spark, name, mine, tenant)
+    return _stored(scan_collection(spark, name))
+
+
+def delete_committed(spark: SparkSession, folder: str) -> DataFrame:
+    """Deletes by filter over all tenants, by file in one tenant, and of a whole tenant."""
+    name = _filled(spark, folder)
+    catalog.delete_matching(
+        spark, name, having_any={"document_metadata.language": "fr", "custom_properties.quality": 0}
+    )
+    catalog.delete_file(spark, name, "doc_3.txt", "tenant_0")
+    catalog.drop_tenant(spark, name, "tenant_2")
+    return _stored(scan_collection(spark, name))
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as JSON messages, streamed into a collection without tenants."""
+    name, place = _scratch(spark, tenancy=False)
+    corpus.documents(spark, folder).drop("tenant").write.json(f"{place}/feed")
+    feed = stream_documents(spark, f"{place}/feed", METADATA_TYPE, CUSTOM_TYPE)
+    ingest(feed, name, f"{place}/progress").awaitTermination()
+    return _stored(scan_collection(spark, name))
+
+
 QUERIES: dict[str, Query] = {
     "vector_search": vector_search,
     "scan_collection": scan_collection_query,
@@ -427,4 +488,7 @@ QUERIES: dict[str, Query] = {
     "delete_by_filename": delete_by_filename,
     "delete_document": delete_document,
     "delete_by_filter": delete_by_filter,
+    "persist_committed": persist_committed,
+    "delete_committed": delete_committed,
+    "stream_ingest": stream_ingest,
 }
