@@ -170,8 +170,27 @@ def with_spec(chunks: pa.Table, spec: int) -> np.ndarray:
     return mask
 
 
+def in_id_order(chunks: pa.Table) -> pa.Table:
+    return chunks.sort_by([("chunk_id", "ascending"), ("tenant", "ascending")])
+
+
+def nearest_first(
+    block: RequestBlock, r: np.ndarray, distance: np.ndarray, place: np.ndarray
+) -> np.ndarray:
+    """Positions of the first ``top`` pairs of each request by distance and place.
+
+    Places follow the order of ids, so of many equally near chunks (copies) only those that can
+    rank are kept, before any text is touched.
+    """
+    order = np.lexsort((place, distance, r))
+    sorted_r = r[order]
+    nth = np.arange(len(r)) - np.searchsorted(sorted_r, sorted_r, side="left")
+    return order[~block.limited[sorted_r] | (nth < block.top[sorted_r])]
+
+
 def score(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Table]]:
     """Hits of one batch of chunks: request rows, distances and the chunks' own columns."""
+    chunks = in_id_order(chunks)
     vectors = {
         slot: matrix(chunks[f"v{slot}"].combine_chunks()) for slot in {g[0] for g in block.groups}
     }
@@ -199,12 +218,10 @@ def score(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, n
             for at in range(0, len(i), _PAIRS):
                 qi, cj = i[at : at + _PAIRS], j[at : at + _PAIRS]
                 distance = pair_distance(queries[qi], part[cj], method)
-                near = distance <= block.horizon[rows[qi]]
-                yield (
-                    rows[qi[near]],
-                    distance[near],
-                    carried.take(pa.array(present[start + cj[near]])),
-                )
+                near = np.flatnonzero(distance <= block.horizon[rows[qi]])
+                near = near[nearest_first(block, rows[qi[near]], distance[near], cj[near])]
+                found = carried.take(pa.array(present[start + cj[near]]))
+                yield rows[qi[near]], distance[near], found
 
 
 class HitPool:
