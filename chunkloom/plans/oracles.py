@@ -58,7 +58,8 @@ def _with(body: str, *tables: str) -> str:
 def _pairs(distance: str = COSINE, condition: str = "TRUE") -> str:
     return f"""
 scored AS (
-  SELECT request_id, asked, chunk_id, tenant, filename, parent_id, hierarchy_level, language, label, v,
+  SELECT request_id, asked, chunk_id, tenant, filename, parent_id, hierarchy_level, language, source,
+         label, original_span_end, v,
          {distance} AS distance
   FROM requests JOIN chunks ON v IS NOT NULL AND ({condition})
 ),
@@ -289,6 +290,12 @@ SELECT CAST(vec_id AS VARCHAR) AS request_id,
        CASE WHEN label = 9 THEN 'replace' END AS parent_strategy,
        FALSE AS include_vector, CAST(len(embedding) AS INT) AS dimensions
 FROM embeddings""",
+    "result_json": _with("""
+SELECT request_id, min(rank * 2) AS first_place, filename, first(source) AS source,
+       string_agg(chunk_id, ',' ORDER BY rank) AS chunk_ids,
+       CASE WHEN count(original_span_end) = count(*) THEN CAST(sum(original_span_end) AS BIGINT) END AS span_ends,
+       round(sum(list_sum(v)), 5) AS vector_total
+FROM ranked WHERE rank <= 5 GROUP BY request_id, filename""", _pairs()),
     "chunk_properties": _with("""
 SELECT chunk_id, filename, md5(content) AS content_md5, original_span_start, original_span_end,
        hierarchy_level, source, quality, CAST(len(v) AS INT) AS vector_size FROM chunks"""),

@@ -292,10 +292,25 @@ def group_by_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def result_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Result documents as JSON text, read back to compare them as values."""
     requests = corpus.vector_requests(spark, folder)
     defaults = {"top": 5, "include_vector": True}
     found = search.vector_search(corpus.chunks(spark, folder), requests, defaults)
-    return documents_json(found)
+    read = F.from_json(
+        "document",
+        "filename string, document_metadata struct<language:string, source:string>, "
+        "chunks array<struct<chunk_id:string, original_span:array<bigint>, embedding:array<float>>>",
+    )
+    parsed = documents_json(found).select("request_id", "first_place", read.alias("d"))
+    values = F.flatten(F.transform("d.chunks", lambda c: c["embedding"]))
+    return parsed.select(
+        "request_id", "first_place", "d.filename", F.col("d.document_metadata.source").alias("source"),
+        F.array_join(F.transform("d.chunks", lambda c: c["chunk_id"]), ",").alias("chunk_ids"),
+        F.aggregate(
+            F.transform("d.chunks", lambda c: c["original_span"][1]), F.lit(0).cast("bigint"), lambda a, x: a + x
+        ).alias("span_ends"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 5).alias("vector_total"),
+    )
 
 
 def _parents(strategy: str) -> Query:
