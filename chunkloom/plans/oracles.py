@@ -48,7 +48,7 @@ def _total(a: str, b: str, term: str) -> str:
 DOT = "-list_inner_product(q, v)"
 L2 = _total("q", "v", "(p[1] - p[2]) * (p[1] - p[2])")
 MANHATTAN = _total("q", "v", "abs(p[1] - p[2])")
-HAMMING = _total("q", "v", "CASE WHEN (p[1] > 0) = (p[2] > 0) THEN 0.0 ELSE 1.0 END")
+HAMMING = _total("q", "v", "CASE WHEN (p[1] > 0) = (p[2] > 0) THEN 0.0 ELSE 1.0 END::DOUBLE")
 
 
 def _with(body: str, *tables: str) -> str:
