@@ -1,4 +1,8 @@
-"""Intermediate results that must be computed once and survive the loss of an executor."""
+"""Intermediate results that must be computed once and survive the loss of an executor.
+
+They are kept in a folder that all machines share and are removed when they are no longer needed,
+at the latest when the session ends.
+"""
 
 from __future__ import annotations
 
@@ -6,30 +10,49 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Only used where the session names no folder, as on one machine.
-FALLBACK_FOLDER = "/tmp/chunkloom-checkpoints"
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints."""
-    return spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_FOLDER
+    """The folder for intermediate data: the cluster's checkpoint folder, else the warehouse.
 
+    Raises on a cluster if the only choice left is a folder of the local machine.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    system, _ = _file_system(spark, folder)
+    if not context.master.startswith("local") and system.getScheme() == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder + "/_intermediate"
 
-def materialize(frame: DataFrame) -> DataFrame:
-    """Checkpoint ``frame`` in the shared folder."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint()
 
+def scratch_path(spark: SparkSession, name: str = "staged") -> str:
+    """A new path in the shared folder, removed at the end of the session."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+    system, target = _file_system(spark, path)
+    system.deleteOnExit(target)
+    return path
 
-def staged(frame: DataFrame) -> DataFrame:
-    """``frame`` as a Parquet copy in the shared folder.
 
-    A partition cannot be overwritten from a plan that reads it. The copies are scratch data, left
-    to the folder's clean-up.
-    """
+def remove(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def materialize(frame: DataFrame) -> DataFrame:
+    """``frame`` computed once, with its lineage cut."""
+    return staged(frame)[0]
+
+
+def staged(frame: DataFrame, name: str = "staged") -> tuple[DataFrame, str]:
+    """``frame`` as a Parquet copy in the shared folder, and the path for :func:`remove`."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4()}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    path = scratch_path(spark, name)
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), path

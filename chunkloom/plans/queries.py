@@ -16,7 +16,7 @@ from chunkloom.operators.ingest import explode_documents
 from chunkloom.operators.predicates import compile_filter
 from chunkloom.operators.regroup import documents_json
 from chunkloom.operators.requests import with_defaults
-from chunkloom.operators.storage import shared_folder
+from chunkloom.operators.storage import scratch_path
 from chunkloom.plans import search
 from chunkloom.sources import catalog, corpus
 from chunkloom.sources.catalog import scan_collection, scan_tenant
@@ -410,7 +410,7 @@ CUSTOM_TYPE = "STRUCT<label: INT, quality: INT, tags: ARRAY<STRING>>"
 def _scratch(spark: SparkSession, tenancy: bool = True) -> tuple[str, str]:
     """A new collection for one query, with its files in the shared folder."""
     name = f"scratch_{uuid.uuid4().hex}"
-    folder = f"{shared_folder(spark)}/{name}"
+    folder = scratch_path(spark, name)
     catalog.create_collection(
         spark, name, metadata_type=METADATA_TYPE, custom_type=CUSTOM_TYPE,
         multi_tenancy={"enabled": tenancy}, buckets=4, location=f"{folder}/table",

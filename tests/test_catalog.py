@@ -198,3 +198,33 @@ def test_json_in_and_out(spark, name, tmp_path):
 
     write_results(vector_search(catalog.scan_collection(spark, name), asked), str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).count() == 1
+
+
+@pytest.mark.parametrize("own_place", [False, True])
+def test_deleted_rows_do_not_come_back(spark, tmp_path, own_place):
+    name = f"gone_{own_place}".lower()
+    place = str(tmp_path / "table") if own_place else None
+
+    def create():
+        catalog.create_collection(spark, name, metadata_type="STRUCT<k: INT>", custom_type="STRUCT<k: INT>", buckets=2, location=place)
+
+    def put(tenant, file, count):
+        rows = spark.range(count).selectExpr(f"concat('{file}', id) AS chunk_id", f"'{file}' AS filename", "'text' AS content")
+        catalog.persist_chunks(spark, name, rows.withColumn("position", F.lit(0)), tenant)
+
+    create()
+    for tenant in ("left", "right"):
+        catalog.create_tenant(spark, name, tenant)
+        put(tenant, "one", 20)
+    assert catalog.delete_file(spark, name, "one", "left") == {"matches": 20, "failed": 0, "successful": 20}
+    assert catalog.scan_tenant(spark, name, "left").count() == 0
+    put("left", "two", 3)
+    assert catalog.scan_tenant(spark, name, "left").count() == 3
+    catalog.drop_tenant(spark, name, "right")
+    catalog.create_tenant(spark, name, "right")
+    assert catalog.scan_tenant(spark, name, "right").count() == 0
+    catalog.drop_collection(spark, name)
+    create()
+    catalog.create_tenant(spark, name, "left")
+    assert catalog.scan_collection(spark, name).count() == 0
+    catalog.drop_collection(spark, name)
