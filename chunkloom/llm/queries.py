@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkloom.llm import quality_rules, suffix_arrays, token_planes, warc
+from chunkloom.llm import (
+    difference_cover,
+    odd_sketch,
+    quality_rules,
+    raking,
+    sentence_rules,
+    subword_lattice,
+    suffix_arrays,
+    token_planes,
+    url_templates,
+    warc,
+)
 from chunkloom.llm.common import table
 from chunkloom.operators.storage import scratch_path
 
@@ -18,18 +29,33 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
+    plan = raking.sampling_plan(table(spark, folder, "documents"))
+    return plan.select("doc_id", "n_tokens", "topic", F.round("probability", 8).alias("probability"), "kept")
+
+
 def op2_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_planes.write_token_files(table(spark, folder, "documents"), path, tokenizer_path())
     return token_planes.document_digests(token_planes.token_files(spark, path))
 
 
+def op3_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return subword_lattice.score_documents(
+        table(spark, folder, "documents"), subword_lattice.held_out_seventh(), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 def op4_warc_chains(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, folder, "documents"), width=4, similarity=0.8)
+
+
 def op6_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_arrays.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -49,9 +75,35 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_templates.judged_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 8).alias("purity"))
+
+
+def op9_sentence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = sentence_rules.scan_licences(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_sentences",
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licences"),
+        "kind",
+    )
+
+
+def op10_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
+    return difference_cover.remove_repeats(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_raked_mix": op1_raked_mix,
     "op2_token_planes": op2_token_planes,
+    "op3_subword_lattice": op3_subword_lattice,
     "op4_warc_chains": op4_warc_chains,
+    "op5_odd_sketch": op5_odd_sketch,
     "op6_suffix_arrays": op6_suffix_arrays,
     "op7_quality_rules": op7_quality_rules,
+    "op8_url_templates": op8_url_templates,
+    "op9_sentence_rules": op9_sentence_rules,
+    "op10_difference_cover": op10_difference_cover,
 }
