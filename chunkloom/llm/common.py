@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -45,6 +47,18 @@ def lists(rows: list[tuple], names: Iterable[str]) -> Columns:
     return dict(zip(names, map(list, zip(*rows)), strict=True)) if rows else {n: [] for n in names}
 
 
+def kept_in_process(kind: str, key: object, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from one task to the next: one value per kind, for the last key.
+
+    Functions are shipped by value, so their modules' own variables do not outlive a task.
+    """
+    place = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks")).__dict__
+    if kind not in place or place[kind][0] != key:
+        place.pop(kind, None)  # the old value goes before the new one is made
+        place[kind] = (key, make())
+    return place[kind][1]
+
+
 class WordIds:
     """A 64-bit value for each word, remembered up to a bound."""
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, WordIds, binary_text, map_columns, mixed, window_hashes
+from chunkloom.llm.common import Columns, WordIds, binary_text, kept_in_process, map_columns, mixed, window_hashes
 
 WINDOW = 20
 # Perfect difference sets, fixed values: every difference modulo the period occurs once.
@@ -98,32 +98,44 @@ def _special(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _base() -> Column:
-    """Added to places of documents that share their id; a multiple of 2 ** 40."""
-    return F.when(F.col("shared"), F.shiftleft(F.expr("pmod(tie, 4194303)") + 1, 40)).otherwise(F.lit(0)).cast("bigint")
+    """Added to places of documents that share their id; a multiple of 2 ** 36."""
+    return F.when(F.col("shared"), F.shiftleft(F.expr("pmod(tie, 16777213)") + 1, 36)).otherwise(F.lit(0)).cast("bigint")
 
 
 def _settle(keys: list[np.ndarray], docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of rows by keys and place, and which rows in it begin a new key."""
+    """Which rows have a key that an earlier row of the batch has, and which are not alone with it."""
+    if not len(places):
+        return np.zeros(0, bool), np.zeros(0, bool)
     order = np.lexsort((places, docs, *reversed(keys)))
-    new = np.ones(len(order), bool)
     same = np.ones(max(0, len(order) - 1), bool)
     for key in keys:
         ranked = key[order]
         same &= ranked[1:] == ranked[:-1]
-    new[1:] = ~same
-    return order, new
+    first = np.maximum.accumulate(np.concatenate([[0], np.where(same, 0, np.arange(1, len(order)))]))
+    # rows that repeat the first one, id and text, are the same document
+    other = (docs[order] != docs[order][first]) | (places[order] != places[order][first])
+    again, many = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    again[order] = other
+    many[order[1:]] |= same
+    many[order[:-1]] |= same
+    return again, many
+
+
+def _marked(places: np.ndarray, again: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Place and both flags in one number; rows stay in the order of the texts, which packs well."""
+    return places << 2 | many.astype(np.int64) << 1 | again
 
 
 def _anchors(docs: DataFrame, window: int, period: int) -> DataFrame:
-    """``key, doc_id, place, known``: the anchors of documents, ``known`` if the batch had it twice.
+    """``key, doc_id, mark``: the anchors of documents.
 
     Of several in a batch one carries the key, for the other batches to see. The rest get a key of
-    their own (``spread`` not null), so that they do not meet in one task.
+    their own, so that they do not meet in one task.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        ids = WordIds()
+        ids = kept_in_process("word-ids", None, WordIds)
         for batch in batches:
             hashes, places, rows = [], [], []
             for row, (base, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
@@ -138,29 +150,22 @@ def _anchors(docs: DataFrame, window: int, period: int) -> DataFrame:
             if not rows:
                 continue
             key, place, row = map(np.concatenate, (hashes, places, rows))
-            order, new = _settle([key], row, place)
-            key, place, row = key[order], place[order], row[order]
-            many = np.concatenate([~new[1:], [False]]) | ~new  # not alone in its batch
-            spread = np.where(new, key, mixed(place.astype(np.uint64) + key))
+            again, many = _settle([key], row, place)
             yield {
-                "key": spread.view(np.int64),
+                "key": np.where(again, mixed(place.astype(np.uint64) + key), key).view(np.int64),
                 "doc_id": batch.column(0).take(pa.array(row)),
-                "place": place,
-                "known": many,
-                "extra": ~new,
+                "mark": _marked(place, again, many),
             }
 
-    return map_columns(
-        docs.select("doc_id", "base", "text"), f"key bigint, doc_id {id_type}, place bigint, known boolean, extra boolean", worker
-    )
+    return map_columns(docs.select("doc_id", "base", "text"), f"key bigint, doc_id {id_type}, mark bigint", worker)
 
 
 def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
-    """``key, key2, doc_id, place, extra``: windows that can repeat; ``extra`` if the batch has it before."""
+    """``key, key2, doc_id, mark``: windows that can repeat."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        ids = WordIds()
+        ids = kept_in_process("word-ids", None, WordIds)
         for batch in batches:
             first, second, places, rows = [], [], [], []
             keys = batch.column(0)
@@ -178,30 +183,36 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
                 continue
             a, b, place, row = map(np.concatenate, (first, second, places, rows))
             b = (b >> np.uint64(32)).astype(np.int64).astype(np.int32)
-            order, new = _settle([a, b], ranks[row], place)
-            a, b, place, row = a[order], b[order], place[order], row[order]
+            again, many = _settle([a, b], ranks[row], place)
             yield {
-                "key": np.where(new, a, mixed(a + place.astype(np.uint64))).view(np.int64),
+                "key": np.where(again, mixed(a + place.astype(np.uint64)), a).view(np.int64),
                 "key2": b,
                 "doc_id": keys.take(pa.array(row)),
-                "place": place,
-                "extra": ~new,
+                "mark": _marked(place, again, many),
             }
 
     return map_columns(
-        docs.select("doc_id", "base", "anchors", "text"),
-        f"key bigint, key2 int, doc_id {id_type}, place bigint, extra boolean",
-        worker,
+        docs.select("doc_id", "base", "anchors", "text"), f"key bigint, key2 int, doc_id {id_type}, mark bigint", worker
     )
 
 
 def _by_document(rows: DataFrame, name: str) -> DataFrame:
     """The places of each document as one array, which is no longer than its text."""
-    base = (F.shiftright("place", 40) * F.lit(1 << 40)).alias("base")
-    grouped = rows.select(F.col("doc_id").alias("of"), base, "place").groupBy("of", "base")
+    place = F.shiftright("mark", 2)
+    base = (F.shiftright("mark", 38) * F.lit(1 << 36)).alias("at_base")
+    grouped = rows.select(F.col("doc_id").alias("of"), base, place.alias("place")).groupBy("of", "at_base")
     return grouped.agg(F.collect_list("place").alias(name))
 
 
+def _again() -> Column:
+    return F.col("mark").bitwiseAND(1) == 1
+
+
+def _apart() -> Column:
+    """Null for rows that share their key; a row that an earlier one of its batch stands for has its own."""
+    return F.when(_again(), F.col("mark"))
+
+
 def _strip(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and, if asked for, the kept words as a text."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -245,22 +256,21 @@ def remove_repeats(
     # one exchange of the texts serves the three joins below
     texts = placed.repartition("doc_id")
     special = _special(placed, window)
-    is_special = (F.col("doc_id") == F.col("special_id")) & (F.col("tie") == F.col("special_tie"))
+    # only the id is a join key, so that the exchange above serves; the rest is compared behind it
+    is_special = (F.col("doc_id") == F.col("special_id")) & (F.col("tie") - F.col("special_tie") == 0)
     judged = texts.join(special, is_special, "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
     judged = judged.select("doc_id", "tie", "copy", _base().alias("base"), "text")
+    mine = (F.col("doc_id") == F.col("of")) & (F.col("base") - F.col("at_base") == 0)
 
     anchors = _anchors(judged.where("NOT copy"), window, period)
-    alike = F.count("*").over(Window.partitionBy("key", F.when(F.col("extra"), F.col("place"))))
-    twice = anchors.withColumn("n", alike).where("known OR n > 1")
-    at = _by_document(twice, "anchors").withColumnRenamed("base", "at_base")
-    mine = (F.col("doc_id") == F.col("of")) & (F.col("base") == F.col("at_base"))
-    near = judged.where("NOT copy").join(at, mine).select("doc_id", "base", "anchors", "text")
+    alike = F.count("*").over(Window.partitionBy("key", _apart()))
+    twice = anchors.withColumn("n", alike).where((F.col("n") > 1) | (F.col("mark").bitwiseAND(2) == 2))
+    near = judged.where("NOT copy").join(_by_document(twice, "anchors"), mine).select("doc_id", "base", "anchors", "text")
 
     found = _windows(near, window, period)
-    order = Window.partitionBy("key", "key2", F.when(F.col("extra"), F.col("place"))).orderBy("doc_id", "place")
-    repeats = found.withColumn("n", F.row_number().over(order)).where("extra OR n > 1")
-    starts = _by_document(repeats, "starts").withColumnRenamed("base", "at_base")
-    stripped = _strip(judged.join(starts, mine, "left"), window, with_text)
+    order = Window.partitionBy("key", "key2", _apart()).orderBy("doc_id", F.shiftright("mark", 2))
+    repeats = found.withColumn("n", F.rank().over(order)).where((F.col("n") > 1) | _again())
+    stripped = _strip(judged.join(_by_document(repeats, "starts"), mine, "left"), window, with_text)
     unplaced = picked.where("doc_id IS NULL").select(
         "doc_id", F.lit(False).alias("copy"), F.lit(0).cast("bigint").alias("base"),
         F.lit(None).cast("array<bigint>").alias("starts"), "text",

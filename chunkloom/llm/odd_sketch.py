@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, WordIds, binary_text, map_columns, mixed, window_hashes
+from chunkloom.llm.common import Columns, WordIds, binary_text, kept_in_process, map_columns, mixed, window_hashes
 from chunkloom.operators.storage import remove, staged
 
 BANDS, ROWS = 32, 4
@@ -95,7 +95,7 @@ def features(docs: DataFrame, width: int, id_column: str = "doc_id", text_column
     ddl = f"doc_id {id_type}, n_shingles bigint, node binary, samples int, sketch binary, keys array<bigint>"
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        ids = WordIds()
+        ids = kept_in_process("word-ids", None, WordIds)
         for batch in batches:
             out: Columns = {"doc_id": batch.column(0), "n_shingles": [], "node": [], "samples": [], "sketch": [], "keys": []}
             for text in batch.column(1).to_pylist():
@@ -117,7 +117,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     joined = picked.join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("w.node", "text")
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        ids = WordIds()
+        ids = kept_in_process("word-ids", None, WordIds)
         for batch in batches:
             nodes, hashes = [], []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -19,6 +19,7 @@ documents leave every word unknown; extra columns do not matter. Memory: one tex
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, binary_text, lists, map_columns
+from chunkloom.llm.common import Columns, binary_text, kept_in_process, lists, map_columns
 from chunkloom.operators.storage import staged
 
 FREQUENT = 400_000
@@ -140,9 +141,10 @@ def log10_add(x: float, y: float) -> float:
 
 def _scored_words(words: DataFrame, scores: dict[str | int, float]) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(scores)
+    shared_key = uuid.uuid4().hex
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        lattice = Lattice(shared.value)
+        lattice = kept_in_process("lattice", shared_key, lambda: Lattice(shared.value))
         for batch in batches:
             yield {
                 **{name: batch.column(i) for i, name in enumerate(("word", "n_train", "n_all"))},
@@ -187,9 +189,14 @@ def score_documents(
     shared = spark.sparkContext.broadcast(common)
     end = (math.log10(ends + 1) - spread, scores[-1], int(ends > 0))
 
+    shared_key = uuid.uuid4().hex
+
     def known_words() -> dict[bytes, tuple[float, float, int]]:
-        rows = zip(*(c.to_pylist() for c in shared.value.columns), strict=True)
-        return {w: (math.log10(n + 1) - spread, s, int(n > 0)) for w, n, s in rows}
+        def read() -> dict[bytes, tuple[float, float, int]]:
+            rows = zip(*(c.to_pylist() for c in shared.value.columns), strict=True)
+            return {w: (math.log10(n + 1) - spread, s, int(n > 0)) for w, n, s in rows}
+
+        return kept_in_process("words", shared_key, read)
 
     id_type = docs.schema[id_column].dataType.simpleString()
     key = f"doc_id {id_type}, held_out boolean, tie int"

@@ -62,7 +62,7 @@ def test_shared_and_missing_ids(spark):
     found = sorted((tuple(r)[:3] for r in dc.remove_repeats(frame).collect()), key=repr)
     ones = sorted(n for key, _, n in found if key == 1)
     # the two equal rows are one document; it and the other text of the id keep one of the passages
-    assert ones in ([0, 0, 30], [0, 30, 30])
+    assert ones in ([0, 0, 30], [0, 30, 30])  # the hash of the text decides which is first
     assert [f for f in found if f[0] == 2] == [(2, 31, 30)]
     assert [f[2] for f in found if f[0] is None] == [0, 0]
     assert dc.remove_repeats(frame.limit(0)).count() == 0
