@@ -22,6 +22,7 @@ input only the id and the text are read. A text is tokenised whole, in the memor
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -32,14 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, lists, map_columns
+from chunkloom.llm.common import Columns, kept_in_process, lists, map_columns
 
 BLOCK_IDS = 1 << 16
 END_ID = 1
 LEVEL = 3
-KNOWN_WORDS = 1_000_000
-RUN_BYTES = 4 << 20
-_MARKS = ".,;:!?"
+KNOWN_WORDS = 900_000
+RUN_BYTES = 8 << 20
+_MARKS = "!\"#$%&()*+,./:;<=>?@^_`{|}~-"  # ASCII punctuation, but for what contractions are made of
+_MARK_BYTES = frozenset(_MARKS.encode())
+_MARK_RUN = re.compile(f"[{_MARKS}]+".encode())
 
 
 class WordEncoder:
@@ -48,20 +51,19 @@ class WordEncoder:
     Right for lower-casing byte-level tokenizers with word ends, whose pre-tokenizer neither joins
     what white space separates nor lets letters run into the marks behind them; ``suits`` tells.
     Plain words (Latin letters, then marks) are merged by the same model without its normalizer and
-    patterns, many at a time with a blank's own id between them.
+    patterns, many at a time. Ids of all words lie in one array, and a word is a place in it.
     """
 
     def __init__(self, path: str, known_words: int = KNOWN_WORDS):
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        marks = {"type": "Split", "pattern": {"Regex": f"[{_MARKS}]+"}, "behavior": "Isolated", "invert": False}
-        cut = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, marks]}
-        bare = {"normalizer": None, "added_tokens": [], "pre_tokenizer": cut}
+        bare = {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
         self._bare = Tokenizer.from_str(json.dumps(json.loads(self._whole.to_str()) | bare))
-        self._blank = self._bare.token_to_id(_BYTE_LETTERS[0x20] + "</w>")
+        self._ends = np.zeros(self._bare.get_vocab_size(), bool)
+        self._ends[[i for token, i in self._bare.get_vocab().items() if token.endswith("</w>")]] = True
         self._bound = known_words
-        self._known: dict[bytes, bytes] = {b"": b""}
+        self._forget()
 
     @staticmethod
     def suits(path: str) -> bool:
@@ -71,53 +73,76 @@ class WordEncoder:
         names = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         return "Lowercase" in names and parts["model"].get("end_of_word_suffix") == "</w>"
 
+    def _forget(self) -> None:
+        self._known: dict[bytes, int] = {b"": 0}
+        self._pool = np.empty(0, np.uint32)
+        self._begins = np.zeros(1, np.int64)
+        self._sizes = np.zeros(1, np.int64)
+
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """Little-endian 32-bit ids of each text."""
+        """The ids of each text."""
         for start, length in _runs_of(texts):
             words = pc.ascii_split_whitespace(texts.slice(start, length))
             flat = words.flatten().dictionary_encode()
-            unique = flat.dictionary.cast(pa.binary()).to_pylist()
-            known = self._known
-            missing = [w for w in unique if w not in known]
-            if missing:
-                if len(known) + len(missing) > self._bound:
-                    self._known = known = {b"": b""}
-                    missing = [w for w in unique if w]
-                self._learn(pa.array(missing, pa.string()))
-            ids = [known[w] for w in unique]
-            pool = np.frombuffer(b"".join(ids), "<u4")
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-            begins = np.cumsum(sizes, dtype=np.int32) - sizes
-            codes = flat.indices.to_numpy()
-            counts = sizes[codes]
+            if len(self._known) + len(flat.dictionary) > self._bound:
+                self._forget()
+            numbers = self._numbers(flat.dictionary)
+            codes = numbers[flat.indices.to_numpy()]
+            counts = self._sizes[codes]
             after = np.zeros(len(codes) + 1, np.int64)
             np.cumsum(counts, out=after[1:])
-            place = np.repeat(begins[codes] - after[:-1], counts)
+            place = np.repeat(self._begins[codes] - after[:-1], counts)
             place += np.arange(after[-1])
-            out = pool[place]
+            out = self._pool[place]
             edges = after[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])]
             for i in range(length):
                 yield out[edges[i] : edges[i + 1]]
 
-    def _learn(self, words: pa.Array) -> None:
-        plain = pc.match_substring_regex(words, f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{_MARKS}]*$")
-        simple = words.filter(plain).cast(pa.binary()).to_pylist()
-        for i in range(0, len(simple), 4096):
-            self._known.update(self._plain(simple[i : i + 4096]))
-        other = words.filter(pc.invert(plain)).cast(pa.binary()).to_pylist()
-        encoded = self._whole.encode_batch_fast([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
-        self._known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(other, encoded, strict=True))
-
-    def _plain(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        lowered = b" \x00 ".join(words).decode().lower().encode()
-        mapped = lowered.decode("latin-1").translate(_LETTERS_APART)
-        ids = np.asarray(self._bare.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(ids == self._blank)
-        if len(cuts) != len(words) - 1:
-            raise ValueError("a word has the id of a blank")
-        begins, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-        raw = ids.tobytes()
-        return ((w, raw[a:b]) for w, a, b in zip(words, begins, ends, strict=True))
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each word; unknown words are learned."""
+        spelled = words.cast(pa.binary()).to_pylist()
+        known = self._known
+        numbers = np.fromiter((known.get(w, -1) for w in spelled), np.int64, len(spelled))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            unknown = words.take(pa.array(new))
+            plain = pc.match_substring_regex(unknown, f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{_MARKS}]*$")
+            plain = plain.to_numpy(zero_copy_only=False)
+            numbers[new[plain]] = self._learn([spelled[i] for i in new[plain]], self._merge_plain)
+            numbers[new[~plain]] = self._learn([spelled[i] for i in new[~plain]], self._merge_other)
+        return numbers
+
+    def _learn(self, words: list[bytes], merge) -> np.ndarray:
+        first = len(self._begins)
+        numbers = np.arange(first, first + len(words))
+        parts, sizes = [], []
+        for i in range(0, len(words), 4096):
+            ids, size = merge(words[i : i + 4096])
+            parts.append(ids)
+            sizes.append(size)
+        if words:
+            sizes = np.concatenate(sizes)
+            self._begins = np.concatenate([self._begins, len(self._pool) + np.cumsum(sizes) - sizes])
+            self._sizes = np.concatenate([self._sizes, sizes])
+            self._pool = np.concatenate([self._pool, *parts])
+            self._known.update(zip(words, numbers.tolist(), strict=True))
+        return numbers
+
+    def _merge_plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        marked = np.fromiter((w[-1] in _MARK_BYTES for w in words), np.int64, len(words))
+        joined = b" ".join(words).decode().lower().encode()
+        apart = _MARK_RUN.sub(rb" \g<0>", joined).decode("latin-1").translate(_BYTE_LETTERS)
+        ids = np.asarray(self._bare.encode_batch_fast([apart], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        last = np.cumsum(1 + marked) - 1  # a word with marks has two ends
+        if len(ends) != last[-1] + 1:
+            raise ValueError("a word has no end among its ids")
+        return ids, np.diff(ends[last], prepend=0)
+
+    def _merge_other(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = self._whole.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        return np.array([i for own in ids for i in own], np.uint32), np.array([len(own) for own in ids], np.int64)
 
 
 class WholeEncoder:
@@ -134,6 +159,10 @@ class WholeEncoder:
             yield np.asarray(encoded.ids, "<u4")
 
 
+def encoder_for(path: str) -> WordEncoder | WholeEncoder:
+    return WordEncoder(path) if WordEncoder.suits(path) else WholeEncoder(path)
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter by which byte-level vocabularies write each byte: printable bytes stand for
     themselves, the others follow from U+0100 in order."""
@@ -142,9 +171,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-_BYTE_LETTERS = _byte_letters()
-# a blank separates words, and between two words a zero byte becomes the letter of the blank
-_LETTERS_APART = _BYTE_LETTERS | {0x20: " ", 0x00: _BYTE_LETTERS[0x20]}
+_BYTE_LETTERS = _byte_letters() | {0x20: " "}  # here a blank separates
 
 
 def _runs_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -205,7 +232,7 @@ def encode_blocks(
         import zstandard
 
         compress = zstandard.ZstdCompressor(level=LEVEL).compress
-        encode = WordEncoder(tokenizer) if WordEncoder.suits(tokenizer) else WholeEncoder(tokenizer)
+        encode = kept_in_process("encoder", tokenizer, lambda: encoder_for(tokenizer))
         end = np.asarray([end_id], "<u4")
         shard = TaskContext.get().partitionId()
         block, number = 0, -1
