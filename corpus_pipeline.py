@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkloom.llm import quality_rules, suffix_arrays, token_planes
+from chunkloom.llm import odd_sketch, quality_rules, raking, suffix_arrays, token_planes
 from chunkloom.llm.common import table
 from chunkloom.llm.queries import tokenizer_path
 from chunkloom.operators.storage import scratch_path, staged
@@ -15,11 +15,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    return odd_sketch.one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     return suffix_arrays.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample in which sources, languages and topics have their target shares of the tokens."""
+    return raking.sampled_documents(docs)
+
+
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents, and from these files the place of each document."""
     path = scratch_path(spark, "tokens")
@@ -29,7 +39,9 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality", quality),
+    ("near_dedup", near_dedup),
     ("decontamination", decontamination),
+    ("mixing", mixing),
     ("token_output", token_output),
 ]
 
