@@ -6,16 +6,17 @@ if the Jaccard similarity of their sets is ``similarity`` or more; groups are co
 1. Documents with equal sets are one node, so copies are never compared.
 2. ``bands`` x ``rows`` MinHash values give each node its buckets. With 32 x 4, two sets of similarity
    0.8 miss each other in all buckets with probability 5e-8.
-3. A second MinHash (one permutation cut into ``bins``, the least value of each) is folded into an odd
+3. A second MinHash (one permutation cut into bins, the least value of each) is folded into an odd
    sketch: a bitmap in which every sample flips one bit. The population count of two sketches' XOR
-   estimates how many samples differ; a pair is a candidate if the estimate is within ``SLACK`` of the
-   similarity, more than five standard deviations.
+   estimates how many samples differ; a pair is a candidate if the shared part of both sets' samples
+   is less than ``SLACK``, more than six standard deviations, below what the similarity gives. Sets of
+   up to ``FINE_SIZE`` shingles have a sketch over more bins, which estimates closer.
 4. Candidates are confirmed on their full sets.
 
 No bucket's pairs are all emitted. Round one links each node to the best of its buckets' smallest
 members. What is left are buckets that still hold several components: in the next round each member
 proposes its best partner of another component, and the last round proposes all remaining candidates,
-so no link between two components is lost. Large buckets are compared block against block.
+so no link between two components is lost. A pair is proposed in the first of its buckets only. Large buckets are compared block against block.
 
 Defined cases: a text of fewer words is one shingle; a null or empty text has an empty set, is linked
 with nothing and is its own group; a null id takes part, but a group is named by its smallest id that
@@ -36,9 +37,10 @@ from chunkloom.llm.common import Columns, WordIds, binary_text, kept_in_process,
 from chunkloom.operators.storage import remove, staged
 
 BANDS, ROWS = 32, 4
-BINS = 1024
-BITS = 2048
-SLACK = 0.1
+BITS = 4096
+BINS = (1 << 16, 1 << 12)  # of the fine sketch and the coarse one
+FINE_SIZE = 1000
+SLACK = (0.009, 0.026)
 BLOCK = 1000  # members of a bucket that are compared at once
 
 _SEEDS = np.random.default_rng(77).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64)
@@ -64,46 +66,76 @@ def band_keys(values: np.ndarray) -> np.ndarray:
         return mixed(weighed.sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def odd_sketch(values: np.ndarray) -> tuple[bytes, int]:
+def odd_sketch(values: np.ndarray, bins: int) -> tuple[bytes, int]:
     """The parity bitmap of the MinHash samples, and their number."""
     with np.errstate(over="ignore"):
         ranked = np.sort(mixed(values + np.uint64(0x9E3779B97F4A7C15)))
-        bins = ranked >> np.uint64(64 - BINS.bit_length() + 1)
-        samples = ranked[np.concatenate([[True], bins[1:] != bins[:-1]])]
+        place = ranked >> np.uint64(65 - bins.bit_length())
+        samples = ranked[np.concatenate([[True], place[1:] != place[:-1]])]
         bits = np.bincount((mixed(samples * np.uint64(3)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes(), len(samples)
 
 
-def shared_samples(differing_bits: np.ndarray, samples: np.ndarray) -> np.ndarray:
-    """Estimated number of samples two sets share; ``samples`` is the sum of their numbers."""
+def sketches(values: np.ndarray) -> tuple[bytes, int, int]:
+    """The fine and the coarse sketch, each left empty where no comparison uses it, and their samples."""
+    empty = (bytes(BITS // 8), 0)
+    fine = odd_sketch(values, BINS[0]) if len(values) <= FINE_SIZE else empty
+    coarse = odd_sketch(values, BINS[1]) if 2 * len(values) > FINE_SIZE else empty
+    return fine[0] + coarse[0], fine[1], coarse[1]
+
+
+def shared_part(differing_bits: np.ndarray, samples: np.ndarray) -> np.ndarray:
+    """Estimated share of samples that two sets have in common, of the ``samples`` of both together."""
     odd = np.minimum(2 * differing_bits / BITS, 1 - 1 / BITS)
     differing = np.log1p(-odd) / np.log1p(-2 / BITS)
-    return (samples - differing) / 2
+    return (samples - differing) / 2 / np.maximum(samples, 1)
+
+
+class Members:
+    """Sizes and sketches of nodes, in rows."""
 
+    def __init__(self, size, fine, coarse, sketch: list[bytes]):
+        self.size = np.asarray(size, np.int64)
+        self.samples = np.stack([np.asarray(fine, np.int64), np.asarray(coarse, np.int64)], 1)
+        self.bits = np.frombuffer(b"".join(sketch), np.uint64).reshape(len(self.size), 2, -1)
 
-def is_candidate(differing_bits, samples, sizes_a, sizes_b, similarity: float) -> np.ndarray:
-    """Pairs that can have the similarity: by their sizes, and by the estimate with its slack."""
-    union = (sizes_a + sizes_b) / (1 + similarity)
-    filled = BINS * -np.expm1(union * np.log1p(-1 / BINS))
-    near = shared_samples(differing_bits, samples) >= (similarity - SLACK) * filled - 2
-    return near & (np.minimum(sizes_a, sizes_b) >= (similarity - 1e-9) * np.maximum(sizes_a, sizes_b))
+    def near(self, i: np.ndarray, other: Members, j: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs ``i, j`` can have the similarity, and how much their samples share.
+
+        By their sizes, and by the estimate with its slack.
+        """
+        a, b = self.size[i], other.size[j]
+        kind = np.where(np.maximum(a, b) <= FINE_SIZE, 0, 1)
+        differ = np.bitwise_count(self.bits[i, kind] ^ other.bits[j, kind]).sum(1, dtype=np.int64)
+        samples = self.samples[i, kind] + other.samples[j, kind]
+        bins = np.array(BINS)[kind]
+
+        def filled(size: np.ndarray) -> np.ndarray:
+            return bins * -np.expm1(size * np.log1p(-1 / bins))
+
+        wanted = similarity * filled((a + b) / (1 + similarity)) / (filled(a) + filled(b))
+        part = shared_part(differ, samples)
+        close = part >= wanted - np.array(SLACK)[kind] - 1.5 / np.maximum(samples, 1)
+        return close & (np.minimum(a, b) >= (similarity - 1e-9) * np.maximum(a, b)), part
 
 
 def features(docs: DataFrame, width: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, node, samples, sketch, keys``; the node is a digest of the set."""
+    """``doc_id, n_shingles, node, fine, coarse, sketch, keys``; the node is a digest of the set."""
     id_type = docs.schema[id_column].dataType.simpleString()
-    ddl = f"doc_id {id_type}, n_shingles bigint, node binary, samples int, sketch binary, keys array<bigint>"
+    ddl = f"doc_id {id_type}, n_shingles bigint, node binary, fine int, coarse int, sketch binary, keys array<bigint>"
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         ids = kept_in_process("word-ids", None, WordIds)
         for batch in batches:
-            out: Columns = {"doc_id": batch.column(0), "n_shingles": [], "node": [], "samples": [], "sketch": [], "keys": []}
+            names = ("n_shingles", "node", "fine", "coarse", "sketch", "keys")
+            out: Columns = {"doc_id": batch.column(0), **{n: [] for n in names}}
             for text in batch.column(1).to_pylist():
                 values = shingle_set(text.lower().split(), width, ids)
-                sketch, samples = odd_sketch(values) if len(values) else (None, 0)
+                sketch, fine, coarse = sketches(values) if len(values) else (None, 0, 0)
                 out["n_shingles"].append(len(values))
                 out["node"].append(blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None)
-                out["samples"].append(samples)
+                out["fine"].append(fine)
+                out["coarse"].append(coarse)
                 out["sketch"].append(sketch)
                 out["keys"].append(band_keys(values) if len(values) else None)
             yield out
@@ -185,15 +217,15 @@ def _proposals(members: DataFrame, similarity: float, best_only: bool) -> DataFr
     dealt = members.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.struct("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    dealt = dealt.select(group.alias("g"), "block", "node", "label", "size", "samples", "sketch")
+    dealt = dealt.select(group.alias("g"), "block", "node", "label", "keys", "size", "fine", "coarse", "sketch")
     dealt = dealt.repartition("g").sortWithinPartitions("g")
 
     def pairs_of(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-        g, block, node, label, size, samples, sketch = zip(*rows, strict=True)
-        block, size, samples = np.array(block), np.array(size), np.array(samples)
+        g, block, node, label, keys, *about = zip(*rows, strict=True)
         number = {x: i for i, x in enumerate(dict.fromkeys(label))}
-        label = np.array([number[x] for x in label])
-        bits = np.frombuffer(b"".join(sketch), np.uint64).reshape(len(rows), -1)
+        label, block, keys = np.array([number[x] for x in label]), np.array(block), np.array(keys)
+        members = Members(*about)
+        band = int(np.flatnonzero(keys[0] == g[0][0])[0])
         one_block = g[0][1] == g[0][2]
         out = []
         for k in range(len(rows)):
@@ -202,14 +234,14 @@ def _proposals(members: DataFrame, similarity: float, best_only: bool) -> DataFr
                 other &= block != block[k]
             if not best_only:
                 other[: k + 1] = False
+                other &= ~(keys[:, :band] == keys[k, :band]).any(1)
             at = np.flatnonzero(other)
             if not len(at):
                 continue
-            differ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
-            near = is_candidate(differ, samples[at] + samples[k], size[at], size[k], similarity)
-            at, differ = at[near], differ[near]
+            near, part = members.near(at, members, np.full(len(at), k), similarity)
+            at, part = at[near], part[near]
             if best_only and len(at):
-                at = at[[int(np.argmin(differ))]]
+                at = at[[int(np.argmax(part))]]
             out += [(min(node[k], node[i]), max(node[k], node[i])) for i in at]
         return out
 
@@ -265,14 +297,14 @@ def near_duplicates(
     about = keep(
         sets_of.join(candidates, "node", "left_semi")
         .groupBy("node")
-        .agg(F.first("n_shingles").alias("size"), F.first("samples").alias("samples"), F.first("sketch").alias("sketch")),
+        .agg(F.first("n_shingles").alias("size"), *[F.first(c).alias(c) for c in ("fine", "coarse", "sketch", "keys")]),
         "sketches",
     )
     sets = keep(full_sets(docs, firsts.join(candidates, "node", "left_semi"), width), "sets")
 
     # round one: the best of the leaders
     star = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    named = [about.select(*[F.col(c).alias(f"{c}_{side}") for c in about.columns]) for side in "ab"]
+    named = [about.drop("keys").toDF(*[f"{c}_{side}" for c in about.drop("keys").columns]) for side in "ab"]
     star = star.join(named[0], F.col("a") == F.col("node_a")).join(named[1], F.col("b") == F.col("node_b"))
     best = _closest(star, similarity)
     checked = keep(confirmed(best, sets, similarity), "checked")
@@ -302,22 +334,16 @@ def near_duplicates(
 
 def _closest(star: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: for every ``b`` the leader ``a`` of the nearest sketch among its candidates."""
-    columns = ["a", "b", "sketch_a", "sketch_b", "samples_a", "samples_b", "size_a", "size_b"]
+    columns = ["a", "b", *[f"{c}_{side}" for side in "ab" for c in ("size", "fine", "coarse", "sketch")]]
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3)
-            )
-            differ = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
-            samples, size_a, size_b = (batch.column(i).to_numpy() for i in (4, 6, 7))
-            samples = samples + batch.column(5).to_numpy()
-            near = is_candidate(differ, samples, size_a, size_b, similarity)
-            mask = pa.array(near)
-            share = (2 * shared_samples(differ, samples) / samples)[near]
-            yield {"a": batch.column(0).filter(mask), "b": batch.column(1).filter(mask), "share": share}
+            if batch.num_rows:
+                a, b = (Members(*(batch.column(i).to_pylist() for i in range(first, first + 4))) for first in (2, 6))
+                rows = np.arange(batch.num_rows)
+                near, part = a.near(rows, b, rows, similarity)
+                mask = pa.array(near)
+                yield {"a": batch.column(0).filter(mask), "b": batch.column(1).filter(mask), "share": part[near]}
 
     near = map_columns(star.select(*columns), "a binary, b binary, share double", worker)
     # among equals the smallest leader, so that a group has one centre

@@ -37,18 +37,28 @@ def brute(docs, width):
     )
 
 
-def test_estimate_is_close():
+@pytest.mark.parametrize("similarity", [0.8, 0.9, 0.79])
+def test_no_link_is_screened_out(similarity):
     rng = np.random.default_rng(1)
-    for size in (30, 300, 3000, 30000):
-        errors = []
+    for size in (5, 30, 300, 990, 1005, 3000, 30000):
         for _ in range(20):
-            values = rng.integers(0, 2**63, size + size // 9 * 2, dtype=np.uint64)
-            a, b = values[: size + size // 9], values[size // 9 :]
-            (x, n), (y, m) = od.odd_sketch(np.unique(a)), od.odd_sketch(np.unique(b))
-            differ = sum((i ^ j).bit_count() for i, j in zip(x, y, strict=True))
-            union = 1024 * -np.expm1(len(values) * np.log1p(-1 / 1024))
-            errors.append(od.shared_samples(np.array([differ]), np.array([n + m]))[0] / union - size / len(values))
-        assert np.abs(errors).max() < od.SLACK
+            values = rng.integers(0, 2**63, size, dtype=np.uint64)
+            shared = -int(-similarity * size // 1)
+            cut = shared + (size - shared) // 2
+            sets = [np.unique(values[:cut]), np.unique(np.concatenate([values[:shared], values[cut:]]))]
+            members = od.Members([len(s) for s in sets], *zip(*[od.sketches(s)[1:] for s in sets]), [od.sketches(s)[0] for s in sets])
+            near, _ = members.near(np.array([0]), members, np.array([1]), 0.8)
+            assert near[0] or shared < 0.8 * size
+
+
+def test_far_pairs_are_screened_out():
+    rng = np.random.default_rng(2)
+    for size in (100, 5000):
+        values = rng.integers(0, 2**63, size, dtype=np.uint64)
+        sets = [np.unique(values[: size * 17 // 20]), np.unique(values[size * 3 // 20 :])]  # similarity 0.7
+        members = od.Members([len(s) for s in sets], *zip(*[od.sketches(s)[1:] for s in sets]), [od.sketches(s)[0] for s in sets])
+        near, _ = members.near(np.array([0]), members, np.array([1]), 0.8)
+        assert not near[0]
 
 
 def test_short_texts_are_one_shingle():
