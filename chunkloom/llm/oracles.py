@@ -2,17 +2,131 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {
-    "op4_warc_chains": """
-        WITH page AS (
-            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+from chunkloom.llm import raking, url_templates
+
+_WARC = """
+    WITH page AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+        FROM pages),
+    shared AS (
+        SELECT payload_digest, max(page_id) AS largest FROM page WHERE payload_bytes >= 1000 GROUP BY 1),
+    judged AS (
+        SELECT p.*, CASE WHEN largest > page_id AND payload_bytes >= 1000 THEN largest END AS refers_to
+        FROM page p LEFT JOIN shared USING (payload_digest))
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+    FROM judged"""
+
+
+def _raked_mix() -> str:
+    """Every round of fitting is a select over windows; the level comes from the cells in order of ratio."""
+    share = "SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS share FROM cells"
+    targets = []
+    for name, power in raking.TEMPER.items():
+        targets.append(f"""
+            goal_{name} AS (
+                SELECT {name}, raw / sum(raw) OVER () AS target FROM (
+                    SELECT {name}, pow(sum(tokens), {power}) AS raw FROM cells WHERE tokens > 0 GROUP BY 1))""")
+    for _ in range(raking.ROUNDS):
+        for name in raking.TEMPER:
+            share = f"""
+                SELECT * EXCLUDE (target)
+                    REPLACE (share * coalesce(target / nullif(sum(share) OVER (PARTITION BY {name}), 0), 0) AS share)
+                FROM ({share}) LEFT JOIN goal_{name} USING ({name})"""
+    none = f"'{raking.NONE}'"
+    return f"""
+        WITH counted AS (
+            SELECT doc_id, coalesce(text, '') AS text, source, lang,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+            FROM documents),
+        placed AS (
+            SELECT doc_id, n_tokens, coalesce(source, {none}) AS source, coalesce(lang, {none}) AS lang,
+                   CASE WHEN contains(text, 'icense') OR contains(text, 'ights reserved') THEN 'legal'
+                        WHEN contains(text, '@') THEN 'contact'
+                        WHEN contains(text, ' | ') THEN 'listing'
+                        WHEN n_tokens < 100 THEN 'note' ELSE 'prose' END AS topic
+            FROM counted),
+        cells AS (
+            SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM placed GROUP BY ALL),
+        {",".join(targets)},
+        fitted AS MATERIALIZED ({share}),
+        rated AS (
+            SELECT *, CASE WHEN tokens > 0 THEN share * (SELECT sum(tokens) FROM cells) / tokens ELSE 1 END AS ratio FROM fitted),
+        steps AS (
+            SELECT ratio, {raking.BUDGET} * (SELECT sum(tokens) FROM cells)
+                   - coalesce(sum(tokens) OVER before, 0) AS room, sum(tokens * ratio) OVER behind AS rest
+            FROM rated WHERE tokens > 0
+            WINDOW before AS (ORDER BY ratio DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   behind AS (ORDER BY ratio DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        chosen AS (SELECT max(room / rest) AS level FROM steps WHERE ratio * room / rest < 1)
+        SELECT doc_id, n_tokens, topic, round(least(1.0, ratio * level), 8) AS probability,
+               CAST(('0x' || substr(md5('{raking.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
+                   / pow(16, 13) < least(1.0, ratio * level) AS kept
+        FROM placed JOIN rated USING (source, lang, topic) CROSS JOIN chosen"""
+
+
+def _url_templates() -> str:
+    """The tree level by level, each a few common tables."""
+    t = url_templates
+    parts = """
+        WITH found AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
             FROM pages),
-        shared AS (
-            SELECT payload_digest, max(page_id) AS largest FROM page WHERE payload_bytes >= 1000 GROUP BY 1),
-        judged AS (
-            SELECT p.*, CASE WHEN largest > page_id AND payload_bytes >= 1000 THEN largest END AS refers_to
-            FROM page p LEFT JOIN shared USING (payload_digest))
-        SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
-        FROM judged""",
+        parts AS (
+            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM found),
+        segments AS (
+            SELECT *, list_transform(list_filter(string_split(path, '/'), lambda p: p <> ''), lambda p:
+                CASE WHEN regexp_full_match(p, '[0-9a-fA-F-]{8,}') AND regexp_matches(p, '[0-9]') AND regexp_matches(p, '[a-fA-F-]')
+                     THEN '<x>' ELSE regexp_replace(p, '[0-9]+', '<n>', 'g') END) AS own
+            FROM parts),""" + f"""
+        placed AS (
+            SELECT page_id, host, path,
+                   CASE WHEN len(own) > {t.DEPTH} THEN list_append(own[1:{t.DEPTH}], '**') ELSE own END AS shape
+            FROM segments),
+        known AS (
+            SELECT doc_id AS page_id, avg(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
+        tree0 AS (
+            SELECT host, shape, count(*) AS pages, count(good) AS labelled, coalesce(sum(good), 0) AS good, '' AS template
+            FROM placed LEFT JOIN known USING (page_id) GROUP BY host, shape)"""
+    for level in range(t.DEPTH + 1):
+        parts += f""",
+        branches{level} AS (
+            SELECT host, template, shape[{level + 1}] AS branch, sum(pages) AS pages, sum(labelled) AS labelled, sum(good) AS good
+            FROM tree{level} WHERE len(shape) > {level} GROUP BY ALL),
+        nodes{level} AS (
+            SELECT *, count(*) OVER node AS ways, sum(pages) OVER node AS all_pages,
+                   (sum(good) OVER node + 1) / (sum(labelled) OVER node + 2) AS mean
+            FROM branches{level} WINDOW node AS (PARTITION BY host, template)),
+        named{level} AS (
+            SELECT host, template, branch, CASE WHEN ways > 1 AND (
+                (ways >= {t.MANY} AND all_pages < {t.FEW} * ways)
+                OR abs(good - labelled * mean) <= {t.Z} * sqrt(mean * (1 - mean) * greatest(labelled, 1)))
+                THEN '*' ELSE branch END AS name
+            FROM nodes{level}),
+        tree{level + 1} AS MATERIALIZED (
+            SELECT t.host, t.shape, t.pages, t.labelled, t.good, t.template || coalesce('/' || n.name, '') AS template
+            FROM tree{level} t LEFT JOIN named{level} n
+                ON t.host = n.host AND t.template = n.template AND t.shape[{level + 1}] = n.branch)"""
+    last = f"tree{t.DEPTH + 1}"
+    rules = sorted(t.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, a) for a, h, p in rules]
+    rule = " ".join(f"WHEN {test} THEN '{name}'" for test, name, _ in fits)
+    action = " ".join(f"WHEN {test} THEN '{verdict}'" for test, _, verdict in fits)
+    return parts + f""",
+        prior AS (SELECT CASE WHEN sum(labelled) > 0 THEN sum(good) / sum(labelled) ELSE 1 END AS mean FROM tree0),
+        pure AS (
+            SELECT host, template, (sum(good) + {t.WEIGHT} * (SELECT mean FROM prior)) / (sum(labelled) + {t.WEIGHT}) AS purity
+            FROM {last} GROUP BY host, template)
+        SELECT page_id, host, path, CASE {rule} END AS rule,
+               CASE {action} WHEN purity >= {t.PURITY} THEN 'allow' ELSE 'block' END AS verdict,
+               template, round(purity, 8) AS purity
+        FROM placed JOIN {last} USING (host, shape) JOIN pure USING (host, template)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_raked_mix": _raked_mix(),
+    "op4_warc_chains": _WARC,
+    "op8_url_templates": _url_templates(),
 }

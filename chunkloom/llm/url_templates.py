@@ -68,7 +68,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def shape_of(path: Column, depth: int = DEPTH) -> Column:
     """Segments with their variable parts marked, as an array of at most ``depth`` and a rest."""
     def shaped(part: Column) -> Column:
-        hexadecimal = part.rlike("^[0-9a-fA-F-]{8,}$") & part.rlike("[0-9]") & part.rlike("[a-fA-F-]")
+        hexadecimal = part.rlike(r"^[0-9a-fA-F-]{8,}\z") & part.rlike("[0-9]") & part.rlike("[a-fA-F-]")
         return F.when(hexadecimal, "<x>").otherwise(F.regexp_replace(part, "[0-9]+", "<n>"))
 
     parts = F.transform(F.filter(F.split(path, "/"), lambda p: p != ""), shaped)
