@@ -98,17 +98,28 @@ def flatten_properties(column: Column, data_type: T.DataType, prefix: str = "")
     return F.concat(*leaves) if leaves else F.array().cast(_ENTRY)
 
 
+def last_of_each_path(entries: Column) -> Column:
+    """Entries without those whose path comes again later: of equal paths the last one counts."""
+
+    def unique(items: Column) -> Column:
+        paths = F.transform(items, lambda e: e["path"])
+        later = lambda e, i: F.array_contains(F.slice(paths, i + 2, F.size(paths)), e["path"])
+        return F.filter(items, lambda e, i: ~later(e, i))
+
+    return _let(entries, unique)
+
+
 def property_map(entries: Column) -> Column:
     """``map<flat name, path>`` of flattened entries."""
     return F.map_from_entries(
-        F.transform(entries, lambda e: F.struct(flat_name(e["path"]), e["path"]))
+        F.transform(last_of_each_path(entries), lambda e: F.struct(flat_name(e["path"]), e["path"]))
     )
 
 
 def flat_properties(entries: Column) -> Column:
     """``map<flat name, value>`` of flattened entries."""
     return F.map_from_entries(
-        F.transform(entries, lambda e: F.struct(flat_name(e["path"]), e["value"]))
+        F.transform(last_of_each_path(entries), lambda e: F.struct(flat_name(e["path"]), e["value"]))
     )
 
 
@@ -148,7 +159,8 @@ def unflatten_properties(entries: Column, max_depth: int = MAX_DEPTH) -> Column:
             same = F.filter(items, lambda e: _head(e["path"]) == name)
             return F.struct(name.alias("key"), _let(same, value_of).alias("value"))
 
-        return F.parse_json(F.to_json(F.map_from_entries(F.transform(names, member))))
+        # not by way of JSON text, which has no dates and turns doubles into decimals
+        return F.to_variant_object(F.map_from_entries(F.transform(names, member)))
 
     too_long = F.exists(entries, lambda e: F.size(F.split(e["path"], r"\.")) > max_depth)
     failure = F.raise_error(F.lit(f"property path of more than {max_depth} parts"))

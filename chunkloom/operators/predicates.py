@@ -9,7 +9,9 @@ a value of another type class than the literal never matches either.
 from __future__ import annotations
 
 import datetime
+import decimal
 import json
+from collections.abc import Callable
 from functools import reduce
 from operator import and_, or_
 from typing import Any
@@ -163,9 +165,32 @@ def _variant_scalar(stored: Column, wanted: str) -> Column:
     return F.when(matches, F.try_variant_get(stored, "$", _VARIANT_TYPES[wanted]))
 
 
-def _variant_equals(stored: Column, value: Any) -> Column:
+_EXACT = "decimal(38,18)"  # holds every 64-bit integer and 18 digits behind the point
+
+
+def _variant_compare(stored: Column, value: Any, compare: Callable[[Column, Column], Column]) -> Column:
+    """A comparison with a VARIANT value; integers are compared as such, not as doubles."""
     wanted = _value_class(value)
-    return _never() if wanted is None else _variant_scalar(stored, wanted) == F.lit(value)
+    if wanted is None:
+        return _never()
+    whole = isinstance(value, int) and not isinstance(value, bool)
+    if not whole or abs(value) >= 10**20:
+        return compare(_variant_scalar(stored, wanted), F.lit(float(value) if whole else value))
+    kind = F.schema_of_variant(stored)
+    floating = kind.startswith("DOUBLE") | kind.startswith("FLOAT")
+    exact = F.when(_is_number(kind) & ~floating, F.try_variant_get(stored, "$", _EXACT))
+    rounded = F.when(floating, F.try_variant_get(stored, "$", "double"))
+    return F.coalesce(
+        compare(exact, F.lit(decimal.Decimal(value)).cast(_EXACT)), compare(rounded, F.lit(float(value)))
+    )
+
+
+def _is_number(kind: Column) -> Column:
+    return reduce(or_, [kind.startswith(name) for name in _VARIANT_CLASSES["number"]])
+
+
+def _variant_equals(stored: Column, value: Any) -> Column:
+    return _variant_compare(stored, value, COMPARISONS["=="])
 
 
 def condition(schema: T.StructType, key: str, value: Any) -> Column:
@@ -182,6 +207,8 @@ def condition(schema: T.StructType, key: str, value: Any) -> Column:
         return prop.equals_any(list(value))
     if indicator == "not-in":
         return prop.present() & ~F.coalesce(prop.equals_any(list(value)), _never())
+    if isinstance(prop.data_type, T.VariantType) and indicator in COMPARISONS:
+        return _variant_compare(prop._variant(), value, COMPARISONS[indicator])
     stored = prop.scalar(value)
     if stored is None:
         return _never()

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkloom.operators.requests import BatchProfile
-
-PART_CHUNKS = 10_000
 CHUNK_FIELDS = (
     "chunk_id",
     "content",
@@ -23,29 +20,20 @@ CHUNK_FIELDS = (
 )
 
 
-def _parts(rows: DataFrame, part_chunks: int) -> DataFrame:
-    """Number the parts of documents with more than ``part_chunks`` hits, by ranges of place."""
-    many = (
-        rows.groupBy("request_id", "filename")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > part_chunks)
-    )
-    flagged = rows.join(many.withColumn("split", F.lit(True)), ["request_id", "filename"], "left")
-    part = F.when(F.col("split"), F.floor(F.col("place") / part_chunks)).otherwise(0)
-    return flagged.withColumn("part", part.cast("bigint")).drop("n", "split")
-
-
-def group_by_file(
-    rows: DataFrame, batch: BatchProfile | None = None, part_chunks: int = PART_CHUNKS
-) -> DataFrame:
+def group_by_file(rows: DataFrame, part_chunks: int | None = None) -> DataFrame:
     """Documents holding only their hit chunks, in order of place.
 
-    ``first_place`` orders the documents of a request; metadata is that of the first hit. A
-    document with more than ``part_chunks`` hits, possible only without a ``top``, comes as
-    several rows numbered by ``part``, so that no row or task has to hold an unbounded list.
+    ``first_place`` orders the documents of a request; metadata is that of the first hit. By default
+    each document is one row. For result lists without a bound the caller can give ``part_chunks``:
+    every document, whatever its size, then comes in parts of so many hits, numbered by ``part`` of
+    ``parts``, each with the place and the metadata of the whole document.
     """
-    bounded = batch is not None and batch.top is not None and 2 * batch.top <= part_chunks
-    parted = rows.withColumn("part", F.lit(0).cast("bigint")) if bounded else _parts(rows, part_chunks)
+    if part_chunks is None:
+        parted = rows.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        # hits are numbered within their document by the sort of a window, which spills
+        order = Window.partitionBy("request_id", "filename").orderBy("place")
+        parted = rows.withColumn("part", F.floor((F.row_number().over(order) - 1) / part_chunks).cast("bigint"))
     shaped = parted.withColumn(
         "original_span",
         F.struct(F.col("original_span_start").alias("start"), F.col("original_span_end").alias("end")),
@@ -61,9 +49,15 @@ def group_by_file(
     in_order = F.array_sort(
         "chunks", lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
     )
-    return grouped.withColumn(
-        "chunks", F.transform(in_order, lambda c: c.dropFields("place"))
+    grouped = grouped.withColumn("chunks", F.transform(in_order, lambda c: c.dropFields("place")))
+    if part_chunks is None:
+        return grouped.withColumn("parts", F.lit(1).cast("bigint"))
+    whole = grouped.groupBy("request_id", "filename").agg(
+        F.min("first_place").alias("first_place"),
+        F.min_by("document_metadata", "first_place").alias("document_metadata"),
+        F.count("*").alias("parts"),
     )
+    return grouped.drop("first_place", "document_metadata").join(whole, ["request_id", "filename"])
 
 
 def documents_json(documents: DataFrame) -> DataFrame:
@@ -71,4 +65,4 @@ def documents_json(documents: DataFrame) -> DataFrame:
     span = lambda c: F.array(c["original_span"]["start"], c["original_span"]["end"])
     chunks = F.transform("chunks", lambda c: c.withField("original_span", span(c)))
     body = F.struct("filename", "document_metadata", chunks.alias("chunks"))
-    return documents.select("request_id", "first_place", "part", F.to_json(body).alias("document"))
+    return documents.select("request_id", "first_place", "part", "parts", F.to_json(body).alias("document"))

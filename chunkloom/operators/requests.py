@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chunkloom.operators.storage import materialize
 from chunkloom.schema import DEFAULT_VECTOR, METHODS, REQUEST_SCHEMA
@@ -75,15 +78,28 @@ class BatchProfile:
         return None if self.top is None else self.limited_hits
 
 
+def row_bytes(rows: DataFrame) -> Column:
+    """Size of a row with all its columns: texts by their bytes, lists by their elements."""
+    sizes = [F.lit(64).cast("bigint")]
+    for field in rows.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(column)
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            size = 8 * F.size(column)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            size = F.lit(8)
+        sizes.append(F.coalesce(size, F.lit(0)).cast("bigint"))
+    return reduce(add, sizes)
+
+
 def profile(requests: DataFrame) -> BatchProfile:
     """One aggregate over completed requests; also checks the methods."""
     row = requests.agg(
         F.count("*").alias("n"),
-        F.sum(
-            8 * F.coalesce(F.size("query_embedding"), F.lit(0))
-            + 2 * F.coalesce(F.length("query_text"), F.lit(0))
-            + 64
-        ).alias("bytes"),
+        F.sum(row_bytes(requests)).alias("bytes"),
         F.max("top").alias("top"),
         F.bool_or(F.col("top").isNull()).alias("no_top"),
         F.sum(F.greatest("top", F.lit(0)).cast("bigint")).alias("limited_hits"),
@@ -114,8 +130,10 @@ def profile(requests: DataFrame) -> BatchProfile:
 def settle(requests: DataFrame, batch: BatchProfile) -> DataFrame:
     """Requests computed once, since a search reads them several times.
 
-    A batch within the broadcast bound becomes a local table, a larger one is written out.
+    A batch within the broadcast bound becomes a local table, a larger one is written out. Columns
+    added since the batch was profiled count too.
     """
-    if not batch.is_small:
+    size = requests.agg(F.sum(row_bytes(requests))).first()[0] or 0
+    if not batch.is_small or size > SMALL_REQUESTS:
         return materialize(requests)
     return requests.sparkSession.createDataFrame(requests.toArrow(), requests.schema)

@@ -22,7 +22,7 @@ def answer(
     defaults: dict[str, Any] | None = None,
     search: Callable[..., DataFrame] = vector_search,
 ) -> DataFrame:
-    """``request_id, first_place, part, document``: each request on its own collection.
+    """``request_id, first_place, part, parts, document``: each request on its own collection.
 
     A collection or tenant that does not exist is a ``KeyError``. There is one scan per named
     collection, of which there are as many as tables at most.
@@ -43,6 +43,6 @@ def answer(
         parts.append(documents_json(search(chunks, mine, defaults)))
     if not parts:
         return spark.createDataFrame(
-            [], "request_id string, first_place bigint, part bigint, document string"
+            [], "request_id string, first_place bigint, part bigint, parts bigint, document string"
         )
     return reduce(DataFrame.unionByName, parts)

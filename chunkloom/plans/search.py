@@ -91,6 +91,7 @@ def vector_search(
     defaults: dict[str, Any] | None = None,
     by_file: bool = True,
     in_tiles: bool = False,
+    part_chunks: int | None = None,
 ) -> DataFrame:
     """Nearest chunks of each request, as documents per file or, with ``by_file`` off, as rows.
 
@@ -102,7 +103,7 @@ def vector_search(
     asked = settle(asked, batch)
     hits = ranked(nearest(chunks, asked, batch, in_tiles), batch)
     rows = _rows(hits, chunks, asked, batch)
-    return group_by_file(rows, batch) if by_file else rows
+    return group_by_file(rows, part_chunks) if by_file else rows
 
 
 def text_search(
@@ -142,6 +143,9 @@ def keyword_search(
     asked = with_defaults(requests, defaults)
     batch = profile(asked)
     asked = settle(asked, batch)
+    if batch.count == 0:
+        hits = ranked(nearest(chunks, asked, batch), batch)
+        return _as_scores(hits.select("request_id", "tenant", "chunk_id", "distance", "rank"))
     columns = [*[F.col(c) for c in _IDS], tokens(F.col("content")).alias("tokens")]
     prepared = _with_terms(chunks, asked.withColumn("slot", F.lit(0)), batch)
     parts = [
@@ -171,6 +175,9 @@ def hybrid_search(
     )
     batch = profile(asked)
     asked = settle(asked, batch)
+    if batch.count == 0:
+        rows = _rows(ranked(nearest(chunks, asked, batch), batch), chunks, asked, batch)
+        return group_by_file(rows) if by_file else _as_scores(rows)
     columns = [
         *[F.col(c) for c in _IDS],
         *_vector_columns(batch),
@@ -186,7 +193,7 @@ def hybrid_search(
     rows = _rows(hits, chunks, asked, batch)
     if not by_file:
         return _as_scores(rows)
-    return group_by_file(rows, batch)
+    return group_by_file(rows)
 
 
 def search_one(

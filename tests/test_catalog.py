@@ -96,10 +96,10 @@ def test_persist_same_and_other(spark, name, documents, other_documents):
     with pytest.raises(ValueError, match="exist already"):
         catalog.persist_documents(spark, name, documents, on_conflict="fail")
     other = catalog.persist_documents(spark, name, other_documents)
-    assert (other["nr_inserts"], other["nr_replaces"]) == (2, 0)
+    assert (other["nr_inserts"], other["nr_replaces"]) == (3, 0)
     both = catalog.persist_documents(spark, name, documents.union(other_documents))
-    assert (both["nr_inserts"], both["nr_replaces"]) == (0, 4)
-    assert len(ids(spark, name)) == 4
+    assert (both["nr_inserts"], both["nr_replaces"]) == (0, 5)
+    assert len(ids(spark, name)) == 5
 
 
 def test_mixed_batch_keeps_every_row(spark, name):
@@ -133,11 +133,11 @@ def test_deletes(spark, name, documents, other_documents):
     with pytest.raises(ValueError):
         catalog.delete_chunks(spark, name, ["no uuid"], "t1", check_uuid=True)
     assert catalog.delete_chunks(spark, name, ["no uuid"], "t1") == counts(0)
-    assert catalog.delete_file(spark, name, "plays.txt") == counts(2)
-    assert catalog.delete_file(spark, name, "plays.txt") == counts(0)
+    assert catalog.delete_file(spark, name, "ropes.md") == counts(3)
+    assert catalog.delete_file(spark, name, "ropes.md") == counts(0)
     with pytest.raises(errors.InvalidFilter):
         catalog.delete_matching(spark, name)
-    assert catalog.delete_matching(spark, name, {"document_metadata.source": "pdf"}) == counts(3)
+    assert catalog.delete_matching(spark, name, {"document_metadata.source": "almanac"}) == counts(3)
     assert ids(spark, name) == []
     # emptied tenants are still there and can be filled again
     assert sorted(r["tenant"] for r in catalog.tenants(spark, name).collect()) == ["t1", "t2"]

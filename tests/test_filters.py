@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.errors import InvalidFilter
+from chunkloom.operators import predicates
 from chunkloom.operators.predicates import compile_filter, like_pattern, split_key
 
 
@@ -131,3 +132,19 @@ def test_filter_reaches_the_scan(spark, typed, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(custom_properties.age,5)" in plan
     assert "struct<chunk_id:string,custom_properties:struct<age:int>>" in plan
+
+
+def test_large_integers_in_variants_are_exact(spark):
+    large = 2**53
+    rows = spark.createDataFrame([(str(n), f'{{"k": {n}}}') for n in (large, large + 1, 7.5)], "chunk_id string, j string")
+    rows = rows.select("chunk_id", F.parse_json("j").alias("custom_properties"))
+    schema = rows.schema
+
+    def found(key, value):
+        kept = rows.where(predicates.condition(schema, f"custom_properties.k{key}", value))
+        return sorted(r["chunk_id"] for r in kept.collect())
+
+    assert found("", large + 1) == [str(large + 1)]
+    assert found(" >", large) == [str(large + 1)]
+    assert found(" in", [large, 5]) == [str(large)]
+    assert found(" <", 8) == ["7.5"]

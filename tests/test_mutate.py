@@ -1,4 +1,5 @@
 import pytest
+from conftest import CHILD_VECTOR, PARENT
 from pyspark.sql import functions as F
 
 from chunkloom.errors import InvalidFilter
@@ -89,13 +90,12 @@ def test_delete_document(spark, target, documents):
 
 
 def test_explode(documents, other_documents):
-    first = {r["content"]: r for r in explode_documents(documents).collect()}
-    child = first["Hello World"]
-    assert (child["original_span_start"], child["original_span_end"]) == (0, 42)
-    assert child["document_metadata"].toPython() == {"language": "en", "source": "pdf"}
-    assert child["parent_id"] == first["Hello Parent"]["chunk_id"] and len(child["embeddings"]["default"]) == 12
+    child = next(r for r in explode_documents(documents).collect() if r["hierarchy_level"] == 1)
+    assert (child["original_span_start"], child["original_span_end"]) == (131, 152)
+    assert child["document_metadata"].toPython() == {"language": "sv", "source": "almanac"}
+    assert child["parent_id"] == PARENT and child["embeddings"]["default"] == CHILD_VECTOR
     second = explode_documents(other_documents, "named").collect()
-    assert [r["position"] for r in second] == [0, 1]
+    assert [r["position"] for r in second] == [0, 1, 2]
     assert all(r["embeddings"] is None for r in second)
     named = explode_documents(documents, "named").first()
     assert list(named["embeddings"]) == ["named"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chunkloom.functions import properties as props
 from chunkloom.functions.ids import uuid_column, uuid_list
 
-NESTED = {"aap": "noot", "mies": {"wim": 1, "zus": 2}}
+NESTED = {"boat": {"name": "Elk", "hull": {"oak": True}}, "crew": 4}
 
 
 def variants(spark, values):
@@ -29,15 +29,34 @@ def paths(value, prefix=""):
 def test_flatten(spark):
     row = variants(spark, [NESTED]).select(props.flatten_variant(F.col("v")).alias("e")).first()
     found = {e["path"]: e["value"].toPython() for e in row["e"]}
-    assert found == {"aap": "noot", "mies.wim": 1, "mies.zus": 2}
+    assert found == {"boat.name": "Elk", "boat.hull.oak": True, "crew": 4}
+
+
+def test_of_equal_paths_the_last_counts(spark):
+    frame = variants(spark, [{"hull": {"oak": 1}, "hull.oak": 2}])
+    entries = props.flatten_variant(F.col("v"))
+    row = frame.select(props.flat_properties(entries).alias("flat"), props.property_map(entries).alias("names")).first()
+    assert [v.toPython() for v in row["flat"].values()] == [2]
+    assert list(row["names"].values()) == ["hull.oak"]
+
+
+def test_unflatten_keeps_types(spark):
+    entry = "named_struct('path', '{}', 'value', CAST({} AS VARIANT))"
+    given = [("a.day", "DATE'2024-05-06'"), ("a.real", "1.0D"), ("a.none", "NULL"), ("b", "12.50BD")]
+    frame = spark.sql(f"SELECT array({', '.join(entry.format(*g) for g in given)}) AS e")
+    back = frame.select(props.unflatten_properties(F.col("e")).alias("v"))
+    kinds = back.select(*[F.schema_of_variant(F.variant_get("v", p, "variant")).alias(n) for n, p in
+                          (("day", "$.a.day"), ("real", "$.a.real"), ("b", "$.b"))]).first()
+    assert (kinds["day"], kinds["real"]) == ("DATE", "DOUBLE")
+    assert kinds["b"].startswith("DECIMAL")
 
 
 def test_flat_name(spark):
     row = spark.range(1).select(
-        props.flat_name(F.lit("mies.wim")).alias("a"),
-        props.flat_name_of_parts(F.array(F.lit("mies"), F.lit("wim"))).alias("b"),
+        props.flat_name(F.lit("boat.name")).alias("a"),
+        props.flat_name_of_parts(F.array(F.lit("boat"), F.lit("name"))).alias("b"),
     ).first()
-    expected = "property_" + hashlib.md5(b"mies.wim").hexdigest()
+    expected = "property_" + hashlib.md5(b"boat.name").hexdigest()
     assert row["a"] == row["b"] == expected
 
 
