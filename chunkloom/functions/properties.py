@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +45,8 @@ def flatten_variant(value: Column, prefix: str = "", max_depth: int = MAX_DEPTH)
 
     Objects are walked, every other value (lists and JSON nulls too) is a leaf and empty objects
     vanish. It is one row-local expression with no generator and no shuffle, unrolled to
-    ``max_depth``; an object below that depth raises instead of being lost.
+    ``max_depth``, for which ``variant_depth`` measures a column; an object below that depth raises
+    instead of being lost.
     """
     first = F.lit(prefix + "." if prefix else "")
     entries = F.transform(
@@ -73,17 +74,41 @@ def flatten_variant(value: Column, prefix: str = "", max_depth: int = MAX_DEPTH)
     return _let(entries, checked)
 
 
-def _struct_leaves(column: Column, data_type: T.DataType, path: str) -> list[Column]:
+def object_depth(kind: str) -> int:
+    """Levels of objects in a VARIANT's schema text; what lies in lists does not count, lists are leaves."""
+    depth, deepest, open_types, quoted = 0, 0, [], False
+    for at, character in enumerate(kind):
+        if character == "`":
+            quoted = not quoted
+        elif quoted:
+            continue
+        elif character == "<":
+            is_object = kind[:at].endswith("OBJECT") and "ARRAY" not in open_types
+            open_types.append("OBJECT" if is_object else "ARRAY")
+            depth += is_object
+            deepest = max(deepest, depth)
+        elif character == ">" and open_types:
+            depth -= open_types.pop() == "OBJECT"
+    return deepest
+
+
+def variant_depth(frame: DataFrame, value: Column) -> int:
+    """How deep the objects of a VARIANT column go, from one aggregate over it."""
+    kind = frame.agg(F.schema_of_variant_agg(value)).first()[0]
+    return max(1, object_depth(kind or ""))
+
+
+def _struct_leaves(column: Column, data_type: T.DataType, path: str, max_depth: int) -> list[Column]:
     if isinstance(data_type, T.StructType):
         leaves = []
         for field in data_type.fields:
             below = f"{path}.{field.name}" if path else field.name
-            leaves += _struct_leaves(column.getField(field.name), field.dataType, below)
+            leaves += _struct_leaves(column.getField(field.name), field.dataType, below, max_depth)
         return leaves
     if isinstance(data_type, T.VariantType):
         # a VARIANT field may hold an object or a plain value
         plain = F.array(_entry(F.lit(path), column))
-        nested = flatten_variant(column, path)
+        nested = flatten_variant(column, path, max_depth)
         absent = F.array().cast(_ENTRY)
         return [F.when(is_object(column), nested).when(column.isNotNull(), plain).otherwise(absent)]
     value = column.cast("variant")
@@ -92,9 +117,14 @@ def _struct_leaves(column: Column, data_type: T.DataType, path: str) -> list[Col
     return [F.when(column.isNotNull(), present).otherwise(F.array().cast(_ENTRY))]
 
 
-def flatten_properties(column: Column, data_type: T.DataType, prefix: str = "") -> Column:
-    """Leaves of a STRUCT or VARIANT column as ``array<struct<path, value>>``, depth first."""
-    leaves = _struct_leaves(column, data_type, prefix)
+def flatten_properties(
+    column: Column, data_type: T.DataType, prefix: str = "", max_depth: int = MAX_DEPTH
+) -> Column:
+    """Leaves of a STRUCT or VARIANT column as ``array<struct<path, value>>``, depth first.
+
+    A STRUCT is walked as deep as its type goes; ``max_depth`` is for objects in VARIANT values.
+    """
+    leaves = _struct_leaves(column, data_type, prefix, max_depth)
     return F.concat(*leaves) if leaves else F.array().cast(_ENTRY)
 
 

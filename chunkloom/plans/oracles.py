@@ -307,6 +307,31 @@ SELECT event_id, 'kind' AS path, event_type AS value FROM events
 UNION ALL
 SELECT event_id, concat('more.props.', k), json_extract_string(props, concat('$.', k))
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
+    "flatten_deep": """
+SELECT event_id, concat('a0.a1.a2.a3.a4.a5.a6.a7.a8.a9.a10.a11.', k) AS path,
+       json_extract_string(props, concat('$.', k)) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
+    "unflatten_types": """
+SELECT event_id, CAST(ts AS DATE) AS day, value, user_id AS who, 'DATE' AS day_kind, 'DOUBLE' AS value_kind
+FROM events""",
+    "filter_variant_bigint": "SELECT event_id FROM events WHERE event_id % 5 = 1",
+    "filter_none": _filter("TRUE"),
+    "uuid_normalise": """
+SELECT doc_id, CAST(CAST(md5(text) AS UUID) AS VARCHAR) AS uuid FROM documents""",
+    "native_distance": _with(
+        "SELECT chunk_id, round(distance, 6) AS distance FROM ranked WHERE request_id = '0' AND rank <= 50", _pairs(L2)
+    ),
+    "knn_tiles": _hits(),
+    "search_stored": _with("""
+SELECT request_id, filename, min(rank * 2) AS first_place, string_agg(chunk_id, ',' ORDER BY rank) AS chunk_ids
+FROM ranked WHERE rank <= 5 GROUP BY request_id, filename""",
+        _pairs(COSINE, "tenant = concat('tenant_', CAST(asked % 3 AS VARCHAR))")),
+    "delete_emptied": _kept("NOT (tenant = 'tenant_2' OR filename = 'doc_1.txt')"),
+    "describe_collection": _with("""
+SELECT TRUE AS multi_tenancy, property, type, nr_chunks
+FROM (VALUES ('chunk_id', 'string'), ('content', 'string'), ('hierarchy_level', 'int')) AS p(property, type),
+     (SELECT count(*) AS nr_chunks FROM chunks)"""),
+    "drop_collection": _kept("tenant <> 'tenant_2'"),
     "flat_name": """
 SELECT doc_id, concat('property_', md5(concat('document_metadata.', source))) AS flat_name,
        concat('property_', md5(concat(lang, '.', source))) AS parts_name

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions import properties as props
 from chunkloom.functions.distance import pick_vector
+from chunkloom.functions.ids import uuid_column
 from chunkloom.functions.text import hashed_term_vector
 from chunkloom.operators import levels, mutate
 from chunkloom.operators.ingest import explode_documents
@@ -18,6 +19,7 @@ from chunkloom.operators.regroup import documents_json
 from chunkloom.operators.requests import with_defaults
 from chunkloom.operators.storage import scratch_path
 from chunkloom.plans import search
+from chunkloom.plans.answer import answer
 from chunkloom.sources import catalog, corpus
 from chunkloom.sources.catalog import scan_collection, scan_tenant
 from chunkloom.streaming.ingest import ingest, stream_documents
@@ -140,6 +142,70 @@ def flatten_variant(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flatten_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """The properties of events below twelve levels of objects; the depth comes from the data."""
+    opened = "".join(f'{{"a{i}":' for i in range(12))
+    text = F.concat(F.lit(opened), "props", F.lit("}" * 12))
+    events = corpus.table(spark, folder, "events").select("event_id", F.parse_json(text).alias("deep"))
+    depth = props.variant_depth(events, F.col("deep"))
+    rows = events.select("event_id", F.explode(props.flatten_variant(F.col("deep"), max_depth=depth)).alias("p"))
+    return rows.select("event_id", F.col("p.path").alias("path"), F.col("p.value").cast("string").alias("value"))
+
+
+def unflatten_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates, times and numbers of events keep their types in a rebuilt object."""
+    given = {"when.day": F.to_date("ts"), "when.time": F.col("ts"), "value": F.col("value"), "who": F.col("user_id")}
+    entries = F.array(
+        *[F.struct(F.lit(path).alias("path"), value.cast("variant").alias("value")) for path, value in given.items()]
+    )
+    events = corpus.table(spark, folder, "events").select("event_id", entries.alias("e"))
+    back = events.select("event_id", props.unflatten_properties(F.col("e")).alias("v"))
+    kind = lambda path: F.schema_of_variant(F.variant_get("v", path, "variant"))
+    return back.select(
+        "event_id",
+        F.variant_get("v", "$.when.day", "date").alias("day"),
+        F.variant_get("v", "$.value", "double").alias("value"),
+        F.variant_get("v", "$.who", "bigint").alias("who"),
+        kind("$.when.day").alias("day_kind"),
+        kind("$.value").alias("value_kind"),
+    )
+
+
+def filter_variant_bigint(spark: SparkSession, folder: str) -> DataFrame:
+    """Integers that differ only beyond the digits of a double."""
+    number = (F.lit(2**53) + F.col("event_id") % 5).cast("string")
+    events = corpus.table(spark, folder, "events").select(
+        "event_id", F.parse_json(F.concat(F.lit('{"k":'), number, F.lit("}"))).alias("custom_properties")
+    )
+    keep = compile_filter(events.schema, {"custom_properties.k >": 2**53, "custom_properties.k in": [2**53, 2**53 + 1]})
+    return events.where(keep).select("event_id")
+
+
+def filter_none(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = corpus.chunks(spark, folder)
+    keep = compile_filter(chunks.schema)
+    return (chunks if keep is None else chunks.where(keep)).select("chunk_id", "filename", "hierarchy_level")
+
+
+def uuid_normalise(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids written in four ways, made from a digest of each text."""
+    digest = F.md5(F.col("text").cast("binary"))
+    written = (
+        F.when(F.col("doc_id") % 4 == 0, F.upper(digest))
+        .when(F.col("doc_id") % 4 == 1, F.concat(F.lit("{"), digest, F.lit("}")))
+        .when(F.col("doc_id") % 4 == 2, F.concat(F.lit("urn:uuid:"), digest))
+        .otherwise(F.regexp_replace(digest, "^(.{8})(.{4})", "$1-$2-"))
+    )
+    return corpus.table(spark, folder, "documents").select("doc_id", uuid_column(written).alias("uuid"))
+
+
+def native_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """One request, the first embedding, as a plan of built-in expressions."""
+    query = corpus.vector_requests(spark, folder).where("request_id = '0'").first()["query_embedding"]
+    found = search.search_one(corpus.chunks(spark, folder), query, "l2-squared", top=50)
+    return found.select("chunk_id", F.round("distance", 6).alias("distance"))
+
+
 def flat_name(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.table(spark, folder, "documents").select(
         "doc_id",
@@ -450,6 +516,61 @@ def delete_committed(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(scan_collection(spark, name))
 
 
+def delete_emptied(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenant emptied by a filter, one dropped, made again and filled with one file."""
+    name = _filled(spark, folder)
+    catalog.delete_matching(spark, name, {"hierarchy_level >=": 0}, tenant="tenant_0")
+    catalog.drop_tenant(spark, name, "tenant_1")
+    catalog.create_tenant(spark, name, "tenant_1")
+    one = corpus.documents(spark, folder).where("filename = 'doc_1.txt'").drop("tenant")
+    catalog.persist_documents(spark, name, one, "tenant_1")
+    return _stored(scan_collection(spark, name))
+
+
+def describe_collection(spark: SparkSession, folder: str) -> DataFrame:
+    """The properties of a filled collection with the number of chunks it holds."""
+    name = _filled(spark, folder)
+    count = scan_collection(spark, name).agg(F.count("*").alias("nr_chunks"))
+    about = catalog.describe_collection(spark, name).where("property IN ('chunk_id', 'content', 'hierarchy_level')")
+    return about.select("multi_tenancy", "property", "type").join(F.broadcast(count))
+
+
+def drop_collection(spark: SparkSession, folder: str) -> DataFrame:
+    """A filled collection dropped and made again in the same place with the documents of one tenant."""
+    name, place = _scratch(spark)
+    documents = corpus.documents(spark, folder)
+    for tenants in (TENANTS, TENANTS[2:]):
+        if tenants != TENANTS:
+            catalog.drop_collection(spark, name)
+            catalog.create_collection(
+                spark, name, metadata_type=METADATA_TYPE, custom_type=CUSTOM_TYPE, buckets=4, location=f"{place}/table"
+            )
+        for tenant in tenants:
+            catalog.create_tenant(spark, name, tenant)
+            mine = documents.where(F.col("tenant") == tenant).drop("tenant")
+            catalog.persist_documents(spark, name, mine, tenant)
+    return _stored(scan_collection(spark, name))
+
+
+def search_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests that name their collection and tenant, answered as JSON from stored tables."""
+    name = _filled(spark, folder)
+    requests = corpus.vector_requests(spark, folder).withColumns(
+        {"collection_name": F.lit(name), "tenant_name": F.concat(F.lit("tenant_"), (F.col("label") % 3).cast("string"))}
+    )
+    read = F.from_json("document", "filename string, chunks array<struct<chunk_id:string>>")
+    found = answer(spark, requests, {"top": 5}).select("request_id", "first_place", read.alias("d"))
+    ids = F.array_join(F.col("d.chunks.chunk_id"), ",")
+    return found.select("request_id", "first_place", "d.filename", ids.alias("chunk_ids"))
+
+
+def knn_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The way of batches too large to broadcast: request blocks meet chunk blocks in a join."""
+    requests = corpus.vector_requests(spark, folder)
+    chunks = corpus.chunks(spark, folder)
+    return _hits(search.vector_search(chunks, requests, {"top": 10}, by_file=False, in_tiles=True))
+
+
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as JSON messages, streamed into a collection without tenants."""
     name, place = _scratch(spark, tenancy=False)
@@ -460,6 +581,17 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "delete_emptied": delete_emptied,
+    "describe_collection": describe_collection,
+    "drop_collection": drop_collection,
+    "filter_none": filter_none,
+    "filter_variant_bigint": filter_variant_bigint,
+    "flatten_deep": flatten_deep,
+    "knn_tiles": knn_tiles,
+    "native_distance": native_distance,
+    "search_stored": search_stored,
+    "unflatten_types": unflatten_types,
+    "uuid_normalise": uuid_normalise,
     "vector_search": vector_search,
     "scan_collection": scan_collection_query,
     "scan_tenant": scan_tenant_query,
