@@ -49,23 +49,14 @@ def upsert(
 def replace_rows(target: DataFrame, incoming: DataFrame, row_bound: int | None = None) -> DataFrame:
     """Stored rows whose id is not incoming, and the (deduplicated) incoming rows.
 
-    With a small known bound the stored rows stay where they are and only the ids travel.
-    Otherwise one full outer join reads either side once; ids are unique on both, so no key is hot.
+    Only the ids of the incoming rows meet the stored rows: broadcast with a small known bound,
+    otherwise as Spark finds their size to be, so that a small batch never shuffles stored contents.
     """
-    if row_bound is not None and row_bound <= BROADCAST_KEYS:
-        kept = target.join(F.broadcast(incoming.select(*KEYS)), KEYS, "left_anti")
-        written = incoming.select(*[c for c in target.columns if c in incoming.columns])
-        return kept.unionByName(written, allowMissingColumns=True).select(*target.columns)
-    new = incoming.select(*KEYS, F.struct(*incoming.columns).alias("new"))
-    joined = target.join(new, KEYS, "full")
-
-    def value(name: str) -> Column:
-        if name in KEYS:
-            return F.col(name)
-        written = F.col("new").getField(name) if name in incoming.columns else F.lit(None)
-        return F.when(F.col("new").isNotNull(), written).otherwise(F.col(name)).alias(name)
-
-    return joined.select(*[value(c) for c in target.columns])
+    ids = incoming.select(*KEYS)
+    bounded = row_bound is not None and row_bound <= BROADCAST_KEYS
+    kept = target.join(F.broadcast(ids) if bounded else ids, KEYS, "left_anti")
+    written = incoming.select(*[c for c in target.columns if c in incoming.columns])
+    return kept.unionByName(written, allowMissingColumns=True).select(*target.columns)
 
 
 def upsert_counts(target: DataFrame, incoming: DataFrame) -> DataFrame:

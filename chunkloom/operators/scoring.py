@@ -28,7 +28,7 @@ POOL_ROWS = 1 << 20  # hits kept per task on the broadcast path
 BLOCK_REQUESTS = 512
 BLOCK_CHUNKS = 2048
 _CELLS = 1 << 21  # scores held at once by the kernel
-_PAIRS = 1 << 16
+_PAIR_CELLS = 1 << 22  # vector elements held at once when pairs are scored again
 _TILE = 1 << 15
 
 HIT_DDL = (
@@ -215,8 +215,9 @@ def score(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, n
                 nearest = np.partition(rough, limit - 1, axis=1)[:, limit - 1]
                 cut = np.fmin(cut, nearest + 2 * error)
             i, j = np.nonzero(rough <= cut[:, None])
-            for at in range(0, len(i), _PAIRS):
-                qi, cj = i[at : at + _PAIRS], j[at : at + _PAIRS]
+            pairs = max(1, _PAIR_CELLS // max(1, part.shape[1]))
+            for at in range(0, len(i), pairs):
+                qi, cj = i[at : at + pairs], j[at : at + pairs]
                 distance = pair_distance(queries[qi], part[cj], method)
                 near = np.flatnonzero(distance <= block.horizon[rows[qi]])
                 near = near[nearest_first(block, rows[qi[near]], distance[near], cj[near])]

@@ -408,7 +408,7 @@ def hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
     """Each benchmark text together with the embedding of the same number."""
     vectors = corpus.vector_requests(spark, folder).select("request_id", "query_embedding")
     alpha = F.when(F.col("request_id").cast("int") % 2 == 0, 0.3)
-    requests = corpus.text_requests(spark, folder).join(vectors, "request_id").withColumn("alpha", alpha)
+    requests = corpus.text_requests(spark, folder).join(vectors, "request_id", "left").withColumn("alpha", alpha)
     found = search.hybrid_search(corpus.chunks(spark, folder), requests, {"top": 10}, by_file=False)
     return found.select("request_id", "chunk_id", F.round("score", 6).alias("score"), "rank")
 

@@ -62,6 +62,8 @@ def test_auto_cut_both_ways(spark):
         assert sum(1 for w in windowed if w[0] == request) == kept
 
 
-def test_top_k_is_cut_before_the_shuffle(spark):
+def test_top_k_is_cut_before_each_shuffle(spark):
     plan = top_k(hits(spark, 5), 5)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    # before and behind the shuffle by request and group, and that by request
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("WindowGroupLimit") == 4
