@@ -14,7 +14,7 @@ whose words also start earlier: in a document of smaller id, or earlier in the s
 
 Hot passages: before either shuffle each Arrow batch settles what repeats inside it, so that a
 passage has at most one row per batch in the shuffle, not one per document. The texts are
-shuffled once, by id, and that exchange serves all three steps.
+shuffled once, compressed and by id, and that exchange serves all three steps.
 
 Defined cases: a null text has no words; texts shorter than a window are left as they are; a row with a
 null id has no place in the order, so nothing is removed from it or because of it; rows that repeat an
@@ -64,6 +64,27 @@ def windows_with(anchors: np.ndarray, n_windows: int, period: int) -> np.ndarray
     return np.flatnonzero(np.cumsum(change[:n_windows]) > 0)
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, tie, text`` with the texts as zstandard frames, for their way through the shuffle."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
+        import zstandard
+
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [compress(t) for t in batch.column(2).to_pylist()]
+            yield {"doc_id": batch.column(0), "tie": batch.column(1), "text": texts}
+
+    return map_columns(docs.select("doc_id", "tie", "text"), f"doc_id {id_type}, tie bigint, text binary", worker)
+
+
+def _unpacked(texts: pa.Array) -> Iterator[bytes]:
+    import zstandard
+
+    return map(zstandard.ZstdDecompressor().decompress, texts.to_pylist())
+
+
 def _digests(docs: DataFrame) -> DataFrame:
     """``doc_id, tie, n_words, digest`` of the words of every document."""
 
@@ -138,7 +159,7 @@ def _anchors(docs: DataFrame, window: int, period: int) -> DataFrame:
         ids = kept_in_process("word-ids", None, WordIds)
         for batch in batches:
             hashes, places, rows = [], [], []
-            for row, (base, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            for row, (base, text) in enumerate(zip(batch.column(1).to_pylist(), _unpacked(batch.column(2)), strict=True)):
                 words = text.split()
                 if len(words) < window:
                     continue
@@ -171,10 +192,11 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
             keys = batch.column(0)
             rank = {k: i for i, k in enumerate(sorted(set(keys.to_pylist())))}
             ranks = np.array([rank[k] for k in keys.to_pylist()])
-            for row, (base, anchors, text) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True)):
+            given = (batch.column(1).to_pylist(), batch.column(2).to_pylist(), _unpacked(batch.column(3)))
+            for row, (base, anchors, text) in enumerate(zip(*given, strict=True)):
                 words = text.split()
                 values = ids(words)
-                starts = windows_with(np.array(anchors) - base, len(words) - window + 1, period)
+                starts = windows_with(np.array(anchors), len(words) - window + 1, period)
                 first.append(window_hashes(values, window, 2)[starts])
                 second.append(window_hashes(values, window, 3)[starts])
                 places.append(starts + base)
@@ -197,8 +219,8 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
 
 
 def _by_document(rows: DataFrame, name: str) -> DataFrame:
-    """The places of each document as one array, which is no longer than its text."""
-    place = F.shiftright("mark", 2)
+    """The places of each document, without its base, as one array no longer than its text."""
+    place = F.shiftright("mark", 2).bitwiseAND((1 << 36) - 1).cast("int")
     base = (F.shiftright("mark", 38) * F.lit(1 << 36)).alias("at_base")
     grouped = rows.select(F.col("doc_id").alias("of"), base, place.alias("place")).groupBy("of", "at_base")
     return grouped.agg(F.collect_list("place").alias(name))
@@ -223,11 +245,12 @@ def _strip(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         for batch in batches:
             out: Columns = {"doc_id": batch.column(0), "n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            for copy, base, starts, text in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            given = (batch.column(1).to_pylist(), batch.column(2).to_pylist(), _unpacked(batch.column(3)))
+            for copy, starts, text in zip(*given, strict=True):
                 words = text.split()
                 kept = [] if copy else words
                 if starts and not copy:
-                    gone = covered_words(np.array(starts) - base, len(words), window)
+                    gone = covered_words(np.array(starts), len(words), window)
                     kept = [words[i] for i in np.flatnonzero(~gone)]
                 joined = b" ".join(kept)
                 out["n_words"].append(len(words))
@@ -237,7 +260,7 @@ def _strip(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
                     out["kept_text"].append(joined)
             yield out if with_text else {k: v for k, v in out.items() if k != "kept_text"}
 
-    return map_columns(rows.select("doc_id", "copy", "base", "starts", "text"), ddl, worker)
+    return map_columns(rows.select("doc_id", "copy", "starts", "text"), ddl, worker)
 
 
 def remove_repeats(
@@ -254,7 +277,7 @@ def remove_repeats(
     picked = docs.select(F.col(id_column).alias("doc_id"), binary_text(text_column).alias("text"))
     placed = picked.where("doc_id IS NOT NULL").withColumn("tie", F.xxhash64("text"))
     # one exchange of the texts serves the three joins below
-    texts = placed.repartition("doc_id")
+    texts = _packed(placed).repartition("doc_id")
     special = _special(placed, window)
     # only the id is a join key, so that the exchange above serves; the rest is compared behind it
     is_special = (F.col("doc_id") == F.col("special_id")) & (F.col("tie") - F.col("special_tie") == 0)
@@ -271,8 +294,7 @@ def remove_repeats(
     order = Window.partitionBy("key", "key2", _apart()).orderBy("doc_id", F.shiftright("mark", 2))
     repeats = found.withColumn("n", F.rank().over(order)).where((F.col("n") > 1) | _again())
     stripped = _strip(judged.join(_by_document(repeats, "starts"), mine, "left"), window, with_text)
-    unplaced = picked.where("doc_id IS NULL").select(
-        "doc_id", F.lit(False).alias("copy"), F.lit(0).cast("bigint").alias("base"),
-        F.lit(None).cast("array<bigint>").alias("starts"), "text",
-    )
+    unplaced = _packed(picked.where("doc_id IS NULL").withColumn("tie", F.lit(0).cast("bigint"))).select(
+        "doc_id", F.lit(False).alias("copy"), F.lit(None).cast("array<int>").alias("starts"), "text"
+    )
     return stripped.union(_strip(unplaced, window, with_text))
