@@ -104,12 +104,3 @@ def window_hashes(ids: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
         for i in range(width):
             total += ids[i : i + count] * factors[i]
     return mixed(total)
-
-
-def keep_rows(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is in the one-column frame ``ids``; columns as they are.
-
-    A null id matches a null id.
-    """
-    wanted = ids.select(F.col(ids.columns[0]).alias("__wanted_id"))
-    return docs.join(wanted, F.col(id_column).eqNullSafe(F.col("__wanted_id")), "left_semi")

@@ -352,7 +352,10 @@ def _closest(star: DataFrame, similarity: float) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are kept, their columns as they are: one id of every group."""
+    """The documents that are kept, their columns as they are: one id of every group.
+
+    Rows that share an id stay together.
+    """
     groups = near_duplicates(docs, **options)
     return docs.join(
         groups.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct(),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, binary_text, keep_rows, lists, map_columns
+from chunkloom.llm.common import Columns, binary_text, lists, map_columns
 
 WINDOW = 13
 SHARE = 20  # contaminated: at least one word in so many is hit
@@ -249,5 +249,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, their columns as they are."""
-    clean = contamination(docs, items, **options).where("NOT contaminated").select("doc_id")
-    return keep_rows(docs, clean)
+    # the contaminated are few, so that Spark can send their ids to the documents
+    gone = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("__gone_id"))
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left_anti")
