@@ -8,7 +8,7 @@ word mark, so the recursion runs word by word, and each distinct word is compute
 no piece holds are spelled in byte pieces. All pieces and the end sum to one.
 
 Spark's part. Words are counted per task before the shuffle into one table of distinct words. The
-``frequent`` most common ones (a fixed number) go to all tasks with their scores; the others meet
+``frequent`` most common ones (at most that number) go to all tasks with their scores; the others meet
 their documents in a join on the word.
 
 Defined cases: a null text is empty, it has the end alone; a document with a null id is a training
@@ -154,6 +154,23 @@ def _scored_words(words: DataFrame, scores: dict[str | int, float]) -> DataFrame
     return map_columns(words, "word binary, n_train bigint, n_all bigint, score double", worker)
 
 
+def _most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, as many whole steps of counts as ``most`` words allow.
+
+    Counts are put on a scale of 16 steps to a doubling, so that the driver sees a thousand sizes at
+    most and no task sorts all words.
+    """
+    step = F.floor(F.log2("n_all") * 16)
+    sizes = words.groupBy(step.alias("step")).count().collect()
+    least, taken = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        taken += row["count"]
+        if taken > most:
+            break
+        least = row["step"]
+    return words.where(F.lit(False) if least is None else step >= least)
+
+
 def score_documents(
     docs: DataFrame,
     held_out: Column,
@@ -185,7 +202,7 @@ def score_documents(
     scored, _ = staged(_scored_words(counted, scores), "scored-words")
 
     spread = math.log10(tokens + distinct + 1)
-    common = scored.orderBy(F.desc("n_all"), "word").limit(frequent).select("word", "n_train", "score").toArrow()
+    common = _most_frequent(scored, frequent).select("word", "n_train", "score").toArrow()
     shared = spark.sparkContext.broadcast(common)
     end = (math.log10(ends + 1) - spread, scores[-1], int(ends > 0))
 
