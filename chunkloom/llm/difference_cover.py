@@ -196,7 +196,7 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
             for row, (base, anchors, text) in enumerate(zip(*given, strict=True)):
                 words = text.split()
                 values = ids(words)
-                starts = windows_with(np.array(anchors), len(words) - window + 1, period)
+                starts = windows_with(_own(anchors, base), max(0, len(words) - window + 1), period)
                 first.append(window_hashes(values, window, 2)[starts])
                 second.append(window_hashes(values, window, 3)[starts])
                 places.append(starts + base)
@@ -219,13 +219,17 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
 
 
 def _by_document(rows: DataFrame, name: str) -> DataFrame:
-    """The places of each document, without its base, as one array no longer than its text."""
-    place = F.shiftright("mark", 2).bitwiseAND((1 << 36) - 1).cast("int")
-    base = (F.shiftright("mark", 38) * F.lit(1 << 36)).alias("at_base")
-    grouped = rows.select(F.col("doc_id").alias("of"), base, place.alias("place")).groupBy("of", "at_base")
+    """The places under each id as one array: of one text, or of all that share the id."""
+    grouped = rows.select(F.col("doc_id").alias("of"), F.shiftright("mark", 2).alias("place")).groupBy("of")
     return grouped.agg(F.collect_list("place").alias(name))
 
 
+def _own(places: list[int], base: int) -> np.ndarray:
+    """The places that belong to the text with this base, counted in it."""
+    found = np.array(places, np.int64) - base
+    return found[(found >= 0) & (found < 1 << 36)]
+
+
 def _again() -> Column:
     return F.col("mark").bitwiseAND(1) == 1
 
@@ -245,12 +249,12 @@ def _strip(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         for batch in batches:
             out: Columns = {"doc_id": batch.column(0), "n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            given = (batch.column(1).to_pylist(), batch.column(2).to_pylist(), _unpacked(batch.column(3)))
-            for copy, starts, text in zip(*given, strict=True):
+            given = (*(batch.column(i).to_pylist() for i in (1, 2, 3)), _unpacked(batch.column(4)))
+            for copy, base, starts, text in zip(*given, strict=True):
                 words = text.split()
                 kept = [] if copy else words
                 if starts and not copy:
-                    gone = covered_words(np.array(starts), len(words), window)
+                    gone = covered_words(_own(starts, base), len(words), window)
                     kept = [words[i] for i in np.flatnonzero(~gone)]
                 joined = b" ".join(kept)
                 out["n_words"].append(len(words))
@@ -260,7 +264,7 @@ def _strip(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
                     out["kept_text"].append(joined)
             yield out if with_text else {k: v for k, v in out.items() if k != "kept_text"}
 
-    return map_columns(rows.select("doc_id", "copy", "starts", "text"), ddl, worker)
+    return map_columns(rows.select("doc_id", "copy", "base", "starts", "text"), ddl, worker)
 
 
 def remove_repeats(
@@ -277,13 +281,14 @@ def remove_repeats(
     picked = docs.select(F.col(id_column).alias("doc_id"), binary_text(text_column).alias("text"))
     placed = picked.where("doc_id IS NOT NULL").withColumn("tie", F.xxhash64("text"))
     # one exchange of the texts serves the three joins below
-    texts = _packed(placed).repartition("doc_id")
+    # the filter is one that Spark adds before an inner join; stated here it is in every use alike
+    texts = _packed(placed).where("doc_id IS NOT NULL").repartition("doc_id")
     special = _special(placed, window)
     # only the id is a join key, so that the exchange above serves; the rest is compared behind it
     is_special = (F.col("doc_id") == F.col("special_id")) & (F.col("tie") - F.col("special_tie") == 0)
     judged = texts.join(special, is_special, "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
     judged = judged.select("doc_id", "tie", "copy", _base().alias("base"), "text")
-    mine = (F.col("doc_id") == F.col("of")) & (F.col("base") - F.col("at_base") == 0)
+    mine = F.col("doc_id") == F.col("of")
 
     anchors = _anchors(judged.where("NOT copy"), window, period)
     alike = F.count("*").over(Window.partitionBy("key", _apart()))
@@ -295,6 +300,10 @@ def remove_repeats(
     repeats = found.withColumn("n", F.rank().over(order)).where((F.col("n") > 1) | _again())
     stripped = _strip(judged.join(_by_document(repeats, "starts"), mine, "left"), window, with_text)
     unplaced = _packed(picked.where("doc_id IS NULL").withColumn("tie", F.lit(0).cast("bigint"))).select(
-        "doc_id", F.lit(False).alias("copy"), F.lit(None).cast("array<int>").alias("starts"), "text"
+        "doc_id",
+        F.lit(False).alias("copy"),
+        F.lit(0).cast("bigint").alias("base"),
+        F.lit(None).cast("array<bigint>").alias("starts"),
+        "text",
     )
     return stripped.union(_strip(unplaced, window, with_text))
