@@ -125,8 +125,83 @@ def _url_templates() -> str:
         FROM placed JOIN {last} USING (host, shape) JOIN pure USING (host, template)"""
 
 
+_SUFFIX = """
+    WITH folded AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    doc AS (SELECT doc_id, regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM folded),
+    item AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+        FROM benchmark),
+    item_place AS (
+        SELECT item_id, words, least(len(words), 13) AS size, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS s
+        FROM item WHERE len(words) > 0),
+    item_window AS (
+        SELECT DISTINCT item_id, size, array_to_string(words[s:s + size - 1], ' ') AS key FROM item_place),
+    sizes AS (SELECT DISTINCT size FROM item_window),
+    doc_place AS (
+        SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS s FROM doc JOIN sizes ON len(words) >= size),
+    hit AS (
+        SELECT doc_id, s, w.size, item_id
+        FROM (SELECT doc_id, s, size, array_to_string(words[s:s + size - 1], ' ') AS key FROM doc_place) p
+        JOIN item_window w ON p.key = w.key AND p.size = w.size),
+    covered AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+            SELECT doc_id, unnest(range(s, s + size)) AS place FROM hit) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+    FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+_COVER = """
+    WITH doc AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    place AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM doc WHERE len(words) >= 20),
+    ranked AS (
+        SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(words[s:s + 19], ' ') ORDER BY doc_id, s) AS n
+        FROM place),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM ranked WHERE n > 1),
+    word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM doc),
+    left_over AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+        FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(l.text, '')) AS kept_sha256
+    FROM doc LEFT JOIN left_over l USING (doc_id)"""
+
+_SHINGLES = """
+    WITH RECURSIVE folded AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents),
+    place AS (
+        SELECT doc_id, words, least(len(words), 4) AS size, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS s
+        FROM folded WHERE len(words) > 0),
+    shingle AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(words[s:s + size - 1], ' ') AS key FROM place),
+    sized AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+    shared AS MATERIALIZED (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+        FROM shingle a JOIN shingle b ON a.key = b.key AND a.doc_id < b.doc_id GROUP BY ALL),
+    link AS MATERIALIZED (
+        SELECT x, y FROM shared JOIN sized a ON a.doc_id = x JOIN sized b ON b.doc_id = y
+        WHERE 100 * common >= 80 * (a.n + b.n - common)),
+    edge AS MATERIALIZED (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+    reach(doc_id, least) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT e.y, r.least FROM reach r JOIN edge e ON e.x = r.doc_id WHERE r.least < e.y)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(least) AS component_id, min(least) = d.doc_id AS kept
+    FROM documents d LEFT JOIN sized USING (doc_id) JOIN reach r ON r.doc_id = d.doc_id GROUP BY d.doc_id, n"""
+
 ORACLES: dict[str, str] = {
     "op1_raked_mix": _raked_mix(),
     "op4_warc_chains": _WARC,
+    "op5_odd_sketch": _SHINGLES,
+    "op6_suffix_arrays": _SUFFIX,
     "op8_url_templates": _url_templates(),
+    "op10_difference_cover": _COVER,
 }
