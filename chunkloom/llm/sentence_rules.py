@@ -15,7 +15,7 @@ whole, one at a time.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -97,11 +97,6 @@ SENTENCES = {
     "reserved": "All rights reserved",
 }
 
-# What a sentence of a known licence has at least one of; other texts need no closer look.
-_HINTS = re.compile(
-    rb"licen[sc]e|permission|redistribut|copyright|warrant|rights reserved|public domain|free software|compliance",
-    re.IGNORECASE,
-)
 _REFERENCE = re.compile(
     r"^(?:this|the|all|our)? ?(?:work|software|text|document|page|file|article|content|code|site|project|program|material)?s? ?"
     r"(?:is|are)? ?(?:licensed|licenced|released|distributed|published|available|made available|provided)"
@@ -125,6 +120,28 @@ def _known() -> dict[str, str]:
 
 KNOWN = _known()
 
+
+class Hints:
+    """Words of which every text with a known sentence has at least one; other texts need no closer look.
+
+    Single words, so that no line end or space can part them: of a reference its preposition, of any
+    other sentence its longest word. None has a k, which is also the lower case of the Kelvin sign.
+    """
+
+    def __init__(self, known: Iterable[str]):
+        words = {"under", "according"}
+        for sentence in known:
+            if not sentence.startswith("under "):
+                words.add(max((w for w in sentence.split() if "k" not in w), key=len))
+        self.words = sorted(w.encode() for w in words)
+
+    def search(self, text: bytes) -> bool:
+        lower = text.lower()
+        return any(word in lower for word in self.words)
+
+
+_HINTS = Hints(KNOWN)
+
 # In this order: a longer licence before one whose identifiers it also has.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit.grant", "mit.notice", "mit.warranty")),

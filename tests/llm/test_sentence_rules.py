@@ -62,3 +62,17 @@ def test_table(spark):
     ]
     assert found[2]["n_sentences"] == 0
     assert sr.scan_licences(docs.limit(0)).count() == 0
+
+
+def test_no_known_sentence_is_filtered_out(spark):
+    cases = [("Released under CC0.", ["CC0-1.0"]), ("All rights\nreserved.", [sr.RESERVED]), ("All  rights \t reserved", [sr.RESERVED])]
+    cases += [("This software is released under the GPLv3.", ["GPL-3.0"]), ("Our wor\u212a is provided\naccording to CC BY 4.0!", ["CC-BY-4.0"])]
+    cases += [(f"This text is published under\nthe {name}.", [spdx]) for name, spdx in sr.NAMES.items()]
+    cases += [(f"Provided according to the terms of the {name.upper()}.", [spdx]) for name, spdx in sr.NAMES.items()]
+    cases += [("\n".join(s.split(" ", 10)), None) for s in sr.SENTENCES.values()]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id bigint, text string")
+    for row in sr.scan_licences(docs).collect():
+        text, named = cases[row["doc_id"]]
+        assert row["sentence_ids"] == sr.sentence_ids(text) != []
+        assert named is None or row["licences"] == named
+    assert all(sr._HINTS.search(sentence.upper().encode()) for sentence in sr.KNOWN)
