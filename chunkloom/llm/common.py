@@ -41,6 +41,11 @@ def binary_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
 
 
+def text_digest(column: str = "text") -> Column:
+    """128 bits that tell the texts of rows apart whose ids do not; the same for null and empty texts."""
+    return F.unhex(F.md5(binary_text(column)))
+
+
 def lists(rows: list[tuple], names: Iterable[str]) -> Columns:
     """Rows as columns."""
     names = list(names)

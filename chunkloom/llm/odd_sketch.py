@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, WordIds, binary_text, kept_in_process, map_columns, mixed, window_hashes
+from chunkloom.llm.common import Columns, WordIds, binary_text, kept_in_process, map_columns, mixed, text_digest, window_hashes
 from chunkloom.operators.storage import remove, staged
 
 BANDS, ROWS = 32, 4
@@ -351,14 +351,23 @@ def _closest(star: DataFrame, similarity: float) -> DataFrame:
     return best.select("best.a", "b")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are kept, their columns as they are: one id of every group.
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The documents that are kept, their columns as they are: one row of every group.
 
-    Rows that share an id stay together.
+    It is the row of the smallest id that is not null. Of different texts with that id, or of a group
+    without ids, it is the text with the smallest digest, and of rows that repeat id and text any one.
+    Rows without words are their own groups and stay.
     """
-    groups = near_duplicates(docs, **options)
-    return docs.join(
-        groups.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct(),
-        F.col("doc_id").eqNullSafe(F.col("__kept_id")),
-        "left_semi",
-    )
+    digest = text_digest(text_column)
+    # ids that are null or repeated do not tell rows apart; with the digests of their texts they do
+    key = F.struct(F.when(F.col(id_column).isNull(), 1).alias("missing"), F.col(id_column).alias("id"), digest.alias("digest"))
+    groups = near_duplicates(docs.select(key.alias("doc_id"), F.col(text_column).alias("text")), **options)
+    kept = groups.where("kept").groupBy(F.col("doc_id.id").alias("__kept_id"), F.col("doc_id.digest").alias("__kept_digest"))
+    kept, _ = staged(kept.agg(((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("__repeated")), "kept")
+    same = F.col(id_column).eqNullSafe(F.col("__kept_id")) & (digest == F.col("__kept_digest"))
+    left = docs.join(kept.where("NOT __repeated"), same, "left_semi")
+    repeated = kept.where("__repeated")
+    if repeated.isEmpty():
+        return left
+    again = docs.join(repeated, same).dropDuplicates(["__kept_id", "__kept_digest"])
+    return left.union(again.select(*[again[f"`{c}`"] for c in docs.columns]))

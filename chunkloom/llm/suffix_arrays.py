@@ -12,8 +12,8 @@ Test items are read in blocks of about ``block_bytes``; each block is one pass o
 that what tasks and driver hold at once has that bound however large the test set is.
 
 Defined cases: null texts have no words and hit nothing; an item without words is no window; repeated
-items each count with their own id; repeated documents are judged each by itself; rows that repeat a
-document id share one result; no items leave all documents clean. Of the inputs only the ids and texts
+items each count with their own id; every row is judged by its own text and has its own result, also
+if its id is null or repeated; no items leave all documents clean. Of the inputs only the ids and texts
 are read. Memory: one shard of ``shard_words`` words, or one longer document.
 """
 
@@ -21,13 +21,14 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, binary_text, lists, map_columns
+from chunkloom.llm.common import Columns, binary_text, lists, map_columns, text_digest
 
 WINDOW = 13
 SHARE = 20  # contaminated: at least one word in so many is hit
@@ -165,7 +166,7 @@ def _blocks(items: DataFrame, id_column: str, text_column: str, block_bytes: int
         yield [(r["item"], bytes(r["text"])) for r in part.collect()]
 
 
-def find_matches(
+def _passes(
     docs: DataFrame,
     items: DataFrame,
     window: int = WINDOW,
@@ -175,13 +176,15 @@ def find_matches(
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
     shard_words: int = SHARD_WORDS,
-) -> DataFrame:
-    """``doc_id, n_words, matches``: one row per document and block of test items."""
-    picked = docs.select(F.col(id_column).alias("doc_id"), binary_text(text_column).alias("text"))
+) -> list[DataFrame]:
+    """``doc_id, digest, n_words, matches`` for each block of test items: one row per document."""
+    picked = docs.select(
+        F.col(id_column).alias("doc_id"), text_digest(text_column).alias("digest"), binary_text(text_column).alias("text")
+    )
     id_type = docs.schema[id_column].dataType.simpleString()
     item_type = items.schema[item_column].dataType.simpleString()
-    ddl = f"doc_id {id_type}, n_words bigint, matches {_MATCHES.format(item=item_type)}"
-    found = None
+    ddl = f"doc_id {id_type}, digest binary, n_words bigint, matches {_MATCHES.format(item=item_type)}"
+    passes = []
     for block in _blocks(items, item_column, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
@@ -189,48 +192,72 @@ def find_matches(
             test = TestSet(shared.value, window)
             number = test.numbers.get
 
-            def settled(keys: list, counts: list, shard: Shard) -> Columns:
+            def settled(keys: list, digests: list, counts: list, shard: Shard) -> Columns:
                 matches: list[list[dict]] = [[] for _ in keys]
                 for document, at, item, start, length in shard.matches(test):
                     row = {"item": test.items[item][0], "item_start": start, "doc_start": at, "length": length}
                     matches[document].append(row)
-                return {"doc_id": keys, "n_words": counts, "matches": matches}
+                return {"doc_id": keys, "digest": digests, "n_words": counts, "matches": matches}
 
-            keys, counts, shard, read = [], [], Shard(), 0
+            keys, digests, counts, shard, read = [], [], [], Shard(), 0
             for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for key, digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     words = words_of(text)
                     if keys and read + len(words) > shard_words:
-                        yield settled(keys, counts, shard)
-                        keys, counts, shard, read = [], [], Shard(), 0
+                        yield settled(keys, digests, counts, shard)
+                        keys, digests, counts, shard, read = [], [], [], Shard(), 0
                     ids = np.fromiter((number(w, 0) for w in words), np.int64, len(words))
                     for start, end in test.stretches(ids):
                         shard.add(len(keys), start, ids[start:end])
                     keys.append(key)
+                    digests.append(digest)
                     counts.append(len(words))
                     read += len(words)
             if keys:
-                yield settled(keys, counts, shard)
+                yield settled(keys, digests, counts, shard)
 
-        part = map_columns(picked, ddl, worker)
-        found = part if found is None else found.union(part)
-    return found
+        passes.append(map_columns(picked, ddl, worker))
+    return passes
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE, **options) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, longest, contaminated``, one row per document id.
+def find_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, **options) -> DataFrame:
+    """``doc_id, n_words, matches``: one row per document and block of test items."""
+    return reduce(DataFrame.union, _passes(docs, items, window, **options)).drop("digest")
 
-    ``items`` are the ids of matched items, sorted as strings; ``longest`` is the longest match.
-    """
-    found = find_matches(docs, items, window, **options)
+
+def _judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE, **options) -> DataFrame:
+    """What :func:`contamination` gives, and the ``digest`` of the text."""
     spans = F.transform("matches", lambda m: F.struct(m["doc_start"].alias("a"), (m["doc_start"] + m["length"]).alias("b")))
-    per_block = found.select("doc_id", "n_words", spans.alias("spans"), F.col("matches.item").alias("items"),
-                             F.array_max(F.col("matches.length")).alias("longest"))
-    one = per_block.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")).cast("array<string>"))).alias("items"),
-        F.coalesce(F.max("longest"), F.lit(0)).alias("longest"),
+    own = F.col("matches.item").cast("array<string>").alias("items")
+    longest = F.array_max(F.col("matches.length")).alias("longest")
+    first, *others = (
+        found.select("doc_id", "digest", "n_words", spans.alias("spans"), own, longest)
+        for found in _passes(docs, items, window, **options)
+    )
+    if others:
+        # only what other blocks hit is grouped, by text and block before the blocks are put together,
+        # so that a text has a row per block however many rows repeat it
+        hits = [o.where(F.size("spans") > 0).withColumn("block", F.lit(i)) for i, o in enumerate(others)]
+        parts = ("spans", "items", "longest")
+        more = reduce(DataFrame.union, hits).groupBy("doc_id", "digest", "block").agg(*[F.first(c).alias(c) for c in parts])
+        more = more.groupBy(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest")).agg(
+            *[F.flatten(F.collect_list(c)).alias(f"more_{c}") for c in parts[:2]], F.max("longest").alias("more_longest")
+        )
+        same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest"))
+        first = first.join(more, same, "left").select(
+            "doc_id",
+            "digest",
+            "n_words",
+            *[F.concat(c, F.coalesce(f"more_{c}", F.slice(c, 1, 0))).alias(c) for c in parts[:2]],
+            F.greatest("longest", "more_longest").alias("longest"),
+        )
+    one = first.select(
+        "doc_id",
+        "digest",
+        "n_words",
+        F.array_sort("spans").alias("spans"),
+        F.array_sort(F.array_distinct("items")).alias("items"),
+        F.coalesce("longest", F.lit(0)).alias("longest"),
     )
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("to"))
     covered = F.aggregate(
@@ -242,13 +269,24 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
         ),
         lambda acc: acc["n"],
     )
-    return one.select("doc_id", "n_words", covered.alias("n_hit"), "items", "longest").withColumn(
+    return one.select("doc_id", "digest", "n_words", covered.alias("n_hit"), "items", "longest").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
     )
 
 
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE, **options) -> DataFrame:
+    """``doc_id, n_words, n_hit, items, longest, contaminated``, one row per document.
+
+    ``items`` are the ids of matched items, sorted as strings; ``longest`` is the longest match.
+    """
+    return _judged(docs, items, window, share, **options).drop("digest")
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, their columns as they are."""
-    # the contaminated are few, so that Spark can send their ids to the documents
-    gone = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left_anti")
+    # the contaminated are few, so that Spark can send their ids and digests to the documents
+    gone = _judged(docs, items, **options).where("contaminated")
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct()
+    same_id = F.col(options.get("id_column", "doc_id")).eqNullSafe(F.col("__gone_id"))
+    same_text = text_digest(options.get("text_column", "text")) == F.col("__gone_digest")
+    return docs.join(gone, same_id & same_text, "left_anti")

@@ -99,3 +99,19 @@ def test_one_of_each_and_empty_tables(spark):
     assert left.columns == frame.columns
     assert sorted(r[0] for r in left.collect()) == [1, 3, 3]
     assert od.near_duplicates(frame.where(F.lit(False))).count() == 0
+
+
+def test_one_text_of_each_group_whatever_the_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base, f"end{i}"]) for i in range(3)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (None, "alone and without an id"), (None, None), (None, "")]
+    rows += [(5, "x " + near[0][::-1]), (5, "y " + near[0][::-1]), (5, "another text of the same id"), (6, "z " + near[0][::-1])]
+    rows += [(7, "a row that is there twice"), (7, "a row that is there twice")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = od.one_of_each(frame)
+    assert left.columns == frame.columns
+    left = [tuple(r) for r in left.collect()]
+    assert sum(text in near for _, text in left) == 1
+    assert sum(text in (rows[6][1], rows[7][1]) and key == 5 for key, text in left) == 1
+    others = sorted((r for r in left if r[1] not in (*near, rows[6][1], rows[7][1])), key=repr)
+    assert others == sorted([*rows[3:6], rows[8], rows[10]], key=repr)

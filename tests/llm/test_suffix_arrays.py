@@ -65,3 +65,16 @@ def test_no_items_and_no_documents(spark):
     items = spark.createDataFrame([], "item_id bigint, text string")
     assert [tuple(r) for r in sa.contamination(docs, items).collect()] == [(1, 2, 0, [], 0, False)]
     assert sa.contamination(docs.limit(0), docs.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 8, "shard_words": 40}])
+def test_every_text_is_judged_by_itself(spark, options):
+    items = [(7, "x y z v"), (8, "one two three four"), (9, "p q r s")]
+    docs = [(1, "x y z v one two three four"), (1, "x y z v one two three four"), (1, "long " * 500), (1, "p q r s " + "long " * 500)]
+    docs += [(None, "a x y z v"), (None, "clean"), (None, "clean"), (None, None), (None, "")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    given = spark.createDataFrame(items, "item_id bigint, text string")
+    found = sa.contamination(frame, given, window=4, **options).collect()
+    assert sorted(((r[0], r[1], r[2], r[3], r[5]) for r in found), key=repr) == brute(docs, items, 4)
+    left = sorted(map(tuple, sa.clean_documents(frame, given, window=4, **options).collect()), key=repr)
+    assert left == sorted([*docs[2:4], *docs[5:]], key=repr)
