@@ -4,10 +4,10 @@ A path is first brought to its shape: digits and long hexadecimal parts of a seg
 shapes of a host form a tree, which is generalised level by level from the root. Among the branches
 below one node,
 
-* if there are ``MANY`` or more and they have fewer than ``FEW`` pages each, the segment is variable and
-  becomes the wildcard ``*``;
-* otherwise branches whose labelled share does not differ from that of all their siblings by ``Z``
-  standard errors are merged under ``*``, and those that differ keep their name.
+* if there are ``MANY`` or more, those with fewer than ``FEW`` pages each are values of a variable and
+  become the wildcard ``*``;
+* of all others, whatever their siblings, those whose labelled share does not differ from that of the
+  whole node by ``Z`` standard errors are merged under ``*``, and those that differ keep their name.
 
 The leaves are the host's templates. A template's purity is its share of good labels, smoothed by
 ``WEIGHT`` labels of the overall share; templates below ``PURITY`` are rejected. Only DataFrame functions
@@ -87,15 +87,14 @@ def templates(shapes: DataFrame, depth: int = DEPTH) -> DataFrame:
         branches = below.groupBy("host", "template", "branch").agg(*[F.sum(c).alias(c) for c in ("pages", "labelled", "good")])
         nodes = branches.groupBy("host", "template").agg(
             F.count("*").alias("ways"),
-            F.sum("pages").alias("all_pages"),
             F.sum("labelled").alias("all_labelled"),
             F.sum("good").alias("all_good"),
         )
         share = (F.col("all_good") + 1) / (F.col("all_labelled") + 2)
         error = F.sqrt(share * (1 - share) * F.greatest("labelled", F.lit(1)))
         alike = F.abs(F.col("good") - F.col("labelled") * share) <= Z * error
-        variable = (F.col("ways") >= MANY) & (F.col("all_pages") < FEW * F.col("ways"))
-        wild = (F.col("ways") > 1) & (variable | alike)
+        rare = (F.col("ways") >= MANY) & (F.col("pages") < FEW)
+        wild = (F.col("ways") > 1) & (rare | alike)
         # AQE splits the node of a host that has very many shapes
         named = branches.join(nodes, ["host", "template"]).select(
             "host", "template", "branch", F.when(wild, "*").otherwise(F.col("branch")).alias("name")

@@ -63,3 +63,17 @@ def test_repeats_and_no_pages(spark):
     assert ut.judged_urls(pages, labels).count() == 3
     assert ut.judged_urls(pages.where(F.lit(False)), labels).count() == 0
     assert ut.judged_urls(pages, labels.where(F.lit(False))).where("verdict = 'allow'").count() == 3
+
+
+def test_hot_branch_beside_a_long_tail_is_judged_by_itself(spark):
+    letters = [f"{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"]
+    urls = [(i, f"http://h.net/{name}") for i, name in enumerate(letters)]
+    urls += [(10_000 + i, f"http://h.net/spam/{chr(97 + i % 3)}") for i in range(1500)]
+    labels = [(i, 1 if i < 10_000 else 0, 0) for i, _ in urls]
+    rows = judged(spark, urls, labels)
+    assert {r["verdict"] for i, r in rows.items() if i >= 10_000} == {"block"}
+    assert {(r["template"], r["verdict"]) for i, r in rows.items() if i < 10_000} == {("/*", "allow")}
+    # the other way round: a clean branch in a bad tail
+    rows = judged(spark, urls, [(i, 1 - quality, 0) for i, quality, _ in labels])
+    assert {r["verdict"] for i, r in rows.items() if i >= 10_000} == {"allow"}
+    assert {r["verdict"] for i, r in rows.items() if i < 10_000} == {"block"}
