@@ -284,8 +284,9 @@ def remove_repeats(
     # the filter is one that Spark adds before an inner join; stated here it is in every use alike
     texts = _packed(placed).where("doc_id IS NOT NULL").repartition("doc_id")
     special = _special(placed, window)
-    # only the id is a join key, so that the exchange above serves; the rest is compared behind it
-    is_special = (F.col("doc_id") == F.col("special_id")) & (F.col("tie") - F.col("special_tie") == 0)
+    # only the id is a join key, so that the exchange above serves; the rest is compared behind it, by
+    # an expression that is no join key and, unlike a difference of hashes, cannot overflow
+    is_special = (F.col("doc_id") == F.col("special_id")) & (F.col("tie").bitwiseXOR(F.col("special_tie")) == 0)
     judged = texts.join(special, is_special, "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
     judged = judged.select("doc_id", "tie", "copy", _base().alias("base"), "text")
     mine = F.col("doc_id") == F.col("of")

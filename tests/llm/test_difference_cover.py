@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chunkloom.llm import difference_cover as dc
 
@@ -74,3 +75,14 @@ def test_text_that_is_kept(spark):
     rows = {r["doc_id"]: bytes(r["kept_text"]).decode() for r in dc.remove_repeats(frame, with_text=True).collect()}
     assert rows == {1: passage, 2: "before behind"}
     assert dc.covered_words(np.array([0]), 25, 20).sum() == 20
+
+
+def test_many_texts_under_one_id(spark):
+    passage = " ".join(f"w{i}" for i in range(25))
+    texts = [f"own{i} {passage} end{i}" for i in range(12)]
+    frame = spark.createDataFrame([(1, t) for t in texts] + [(2, passage)], "doc_id bigint, text string").repartition(3)
+    ties = [r[0] for r in frame.where("doc_id = 1").select(F.xxhash64(F.col("text").cast("binary"))).collect()]
+    assert max(ties) - min(ties) >= 2**63  # their difference is no 64-bit number
+    found = sorted(tuple(r)[:3] for r in dc.remove_repeats(frame).collect())
+    # one of them, the first by its hash, keeps the passage
+    assert found == [(1, 27, 0), *[(1, 27, 25)] * 11, (2, 25, 25)]
