@@ -9,6 +9,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +53,17 @@ def lists(rows: list[tuple], names: Iterable[str]) -> Columns:
     return dict(zip(names, map(list, zip(*rows)), strict=True)) if rows else {n: [] for n in names}
 
 
+def slices_of(values: pa.Array, bound: int) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of strings or binary values of about ``bound`` bytes; a longer one is alone."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(sizes):
+        stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + bound, "right"))
+        stop = max(start + 1, stop)
+        yield start, stop - start
+        start = stop
+
+
 def kept_in_process(kind: str, key: object, make: Callable[[], Any]) -> Any:
     """What a Python worker keeps from one task to the next: one value per kind, for the last key.
 

@@ -12,6 +12,7 @@ from chunkloom.llm import (
     odd_sketch,
     quality_rules,
     raking,
+    rank_merging,
     sentence_rules,
     subword_lattice,
     suffix_arrays,
@@ -95,6 +96,10 @@ def op10_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
     return difference_cover.remove_repeats(table(spark, folder, "documents"))
 
 
+def op11_rank_merging(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_merging.token_counts(table(spark, folder, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_raked_mix": op1_raked_mix,
     "op2_token_planes": op2_token_planes,
@@ -106,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_templates": op8_url_templates,
     "op9_sentence_rules": op9_sentence_rules,
     "op10_difference_cover": op10_difference_cover,
+    "op11_rank_merging": op11_rank_merging,
 }

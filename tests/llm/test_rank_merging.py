@@ -1,0 +1,95 @@
+"""Token counts against the tokenizer library, and merging against one pair at a time."""
+
+import functools
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer, models
+
+from chunkloom.llm import rank_merging as rm
+
+NAMES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
+ODD = [
+    "", "  a b\t\n", "Don't it's 'S we'LL can't.", "ÉCOLE, Straße! ŒUVRE;  x y z w  İstanbul. été, ŉ",
+    "<|endoftext|> a<|startoftext|>b<|endoftext", "日本語。テキスト 12345, a1b2! ½ ª º", "…,a​.b ﬁ ΑΣ. ς", "word### (x) a-b -- _z_ ~",
+    "a" * 31, "aaa " * 9, "é \x1c\x85 x",
+]
+
+
+@functools.cache
+def whole(name):
+    return Tokenizer.from_file(str(public_tokenizers.path(name)))
+
+
+@functools.cache
+def counter(name):
+    return rm.TokenCounter(str(public_tokenizers.path(name)), 300)
+
+
+def expected(name, text):
+    return len(whole(name).encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_odd_texts(name):
+    assert counter(name)(pa.array(ODD)).tolist() == [expected(name, t) for t in ODD]
+    assert counter(name).by_word == (name == NAMES[0])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=5), st.sampled_from(NAMES))
+def test_texts_count_like_the_library(texts, name):
+    assert counter(name)(pa.array(texts)).tolist() == [expected(name, t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.data())
+def test_merging_at_once_is_one_pair_at_a_time(data):
+    """Any merge table, also those where a product is in an earlier merge."""
+    vocabulary = {c: i for i, c in enumerate("abc")}
+    merges = []
+    for _ in range(data.draw(st.integers(0, 9))):
+        pair = (data.draw(st.sampled_from(sorted(vocabulary))), data.draw(st.sampled_from(sorted(vocabulary))))
+        if len("".join(pair)) < 7 and pair not in merges:
+            vocabulary.setdefault("".join(pair), len(vocabulary))
+            merges.append(pair)
+    order = data.draw(st.permutations(merges))
+    words = data.draw(st.lists(st.text("abcx", max_size=14), max_size=6))
+    library = Tokenizer(models.BPE(vocab=vocabulary, merges=list(order)))
+    table = rm.MergeTable({"vocab": vocabulary, "merges": list(order)})
+    assert table.counts(words).tolist() == [len(library.encode(w).ids) for w in words]
+
+
+def test_tokenizers_of_another_kind_are_refused(tmp_path):
+    path = str(tmp_path / "t.json")
+    Tokenizer(models.WordLevel({"a": 0}, unk_token="a")).save(path)
+    with pytest.raises(ValueError, match="WordLevel"):
+        rm.TokenCounter(path)
+    Tokenizer(models.BPE(vocab={"a": 0}, merges=[], unk_token="a")).save(path)
+    with pytest.raises(ValueError, match="unk_token"):
+        rm.TokenCounter(path)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_documents(spark, name, monkeypatch):
+    monkeypatch.setattr(rm, "SLICE_BYTES", 50)
+    rows = [(i, t, "clash") for i, t in enumerate(ODD)] + [(None, "no id", "c"), (1, "twin", "c"), (1, "twin", "c"), (2, None, None)]
+    rows.append((3, "a long text " * 9000, "c"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string").repartition(3)
+    found = rm.token_counts(docs, str(public_tokenizers.path(name)))
+    assert found.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    wanted = []
+    for key, text, _ in rows:
+        n = expected(name, text or "")
+        wanted.append((key, len((text or "").encode()), n, n > 2048))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(wanted, key=repr)
+    assert rm.token_counts(docs.limit(0), str(public_tokenizers.path(name))).count() == 0
+
+
+def test_bytes_that_are_no_text(spark):
+    docs = spark.sql("SELECT 1 AS doc_id, cast(unhex('61FF20C361') AS string) AS text")
+    found = rm.token_counts(docs, str(public_tokenizers.path(NAMES[0]))).first()
+    assert (found["n_bytes"], found["n_tokens"]) == (5, expected(NAMES[0], "a� �a"))
