@@ -197,6 +197,46 @@ _SHINGLES = """
     SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(least) AS component_id, min(least) = d.doc_id AS kept
     FROM documents d LEFT JOIN sized USING (doc_id) JOIN reach r ON r.doc_id = d.doc_id GROUP BY d.doc_id, n"""
 
+# The crc32 of a decimal id: its characters one after the other, eight steps of a bit (-1) behind each.
+_CRC = """xor(4294967295, list_reduce(
+    [CAST(4294967295 AS BIGINT)] || flatten([[CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+        FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"""
+
+_TRIE = f"""
+    WITH turn_of AS (
+        SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size,
+               md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, list({{'digest': digest, 'size': size}} ORDER BY turn NULLS FIRST, digest) AS turns,
+               {_CRC} % 9 AS h
+        FROM turn_of GROUP BY conv_id),
+    conv AS (
+        SELECT o.conv_id, coalesce(b.turns[1:o.h], []) || o.turns[o.h + 1:] AS turns
+        FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+    member AS (
+        SELECT conv_id, d AS depth, len(turns) AS length, [t.digest FOR t IN turns[1:d]] AS prefix,
+               CASE WHEN d = 0 THEN 0 ELSE turns[d].size END AS size
+        FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM conv)),
+    node AS (
+        SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+        FROM member GROUP BY prefix, depth),
+    linked AS (
+        SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children
+        FROM node n LEFT JOIN node p ON n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1]
+             LEFT JOIN (SELECT prefix[1:depth - 1] AS above, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1) c
+                  ON c.above = n.prefix),
+    reach AS (
+        SELECT prefix[1:d] AS top, n_children, (n_convs - 1) * size AS saved
+        FROM (SELECT *, unnest(range(depth + 1)) AS d FROM linked))
+    SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, l.n_children,
+           CAST(count(*) FILTER (r.n_children = 0) AS BIGINT) AS n_leaves,
+           CAST(sum(r.saved) AS BIGINT) AS saved_tokens, l.ends_sha256
+    FROM linked l JOIN reach r ON r.top = l.prefix
+    GROUP BY l.prefix, l.conv_id, l.depth, l.parent_conv_id, l.n_convs, l.n_children, l.ends_sha256"""
+
 ORACLES: dict[str, str] = {
     "op1_raked_mix": _raked_mix(),
     "op4_warc_chains": _WARC,
@@ -204,4 +244,5 @@ ORACLES: dict[str, str] = {
     "op6_suffix_arrays": _SUFFIX,
     "op8_url_templates": _url_templates(),
     "op10_difference_cover": _COVER,
+    "op12_conversation_tries": _TRIE,
 }

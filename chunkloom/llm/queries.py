@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.llm import (
+    conversation_tries,
     difference_cover,
     odd_sketch,
     quality_rules,
@@ -100,6 +101,11 @@ def op11_rank_merging(spark: SparkSession, folder: str) -> DataFrame:
     return rank_merging.token_counts(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op12_conversation_tries(spark: SparkSession, folder: str) -> DataFrame:
+    found = conversation_tries.sequences(table(spark, folder, "conversations"))
+    return conversation_tries.prefix_trie(conversation_tries.rebuilt(found)).drop("node")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_raked_mix": op1_raked_mix,
     "op2_token_planes": op2_token_planes,
@@ -112,4 +118,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentence_rules": op9_sentence_rules,
     "op10_difference_cover": op10_difference_cover,
     "op11_rank_merging": op11_rank_merging,
+    "op12_conversation_tries": op12_conversation_tries,
 }

@@ -19,8 +19,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 def test_query(spark, name):
     found = QUERIES[name](spark, FOLDER)
     rows = [tuple(r) for r in found.collect()]
-    table = "pages" if name.startswith(("op4", "op8")) else "documents"
-    assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    table = "pages" if name.startswith(("op4_", "op8_")) else "documents"
+    if not name.startswith(("op12_", "op13_")):
+        assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
     if name in ORACLES:
         columns, expected = oracle.oracle_rows(oracle.connect(FOLDER), ORACLES[name])
         assert oracle.bag(found.columns, rows) == oracle.bag(columns, expected)
