@@ -237,6 +237,26 @@ _TRIE = f"""
     FROM linked l JOIN reach r ON r.top = l.prefix
     GROUP BY l.prefix, l.conv_id, l.depth, l.parent_conv_id, l.n_convs, l.n_children, l.ends_sha256"""
 
+_NEGATIVES = """
+    WITH vec AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+               [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+               CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM vec a JOIN vec b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    positive AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE own = label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank
+    FROM positive JOIN scored USING (anchor_id)
+    WHERE own <> label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3"""
+
 ORACLES: dict[str, str] = {
     "op1_raked_mix": _raked_mix(),
     "op4_warc_chains": _WARC,
@@ -245,4 +265,5 @@ ORACLES: dict[str, str] = {
     "op8_url_templates": _url_templates(),
     "op10_difference_cover": _COVER,
     "op12_conversation_tries": _TRIE,
+    "op13_multi_index": _NEGATIVES,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chunkloom.llm import (
     conversation_tries,
     difference_cover,
+    multi_index,
     odd_sketch,
     quality_rules,
     raking,
@@ -106,6 +107,13 @@ def op12_conversation_tries(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_tries.prefix_trie(conversation_tries.rebuilt(found)).drop("node")
 
 
+def op13_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    rows = multi_index.scaled(table(spark, folder, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return multi_index.hard_negatives(rows, rows.where("vec_id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_raked_mix": op1_raked_mix,
     "op2_token_planes": op2_token_planes,
@@ -119,4 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_difference_cover": op10_difference_cover,
     "op11_rank_merging": op11_rank_merging,
     "op12_conversation_tries": op12_conversation_tries,
+    "op13_multi_index": op13_multi_index,
 }
