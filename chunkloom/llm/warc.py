@@ -15,6 +15,11 @@ Defined cases: a null html is an empty payload; a null url leaves out its header
 are percent-encoded; a record with a null id is a response and is never referred to; rows that repeat
 an id and a payload are all responses if they have the largest id; no pages give no records. Of the
 input only the id, the url and the html are read. Memory: one record, and the heads of one split.
+
+Damage: a file whose chain breaks off (a wrong length, a record cut short, no archive at all) ends the
+reading with ``ValueError`` naming the file and the byte, and so does, as an error of the job, a payload
+that is not what its headers say. With ``skip_damaged`` the records before a break and all sound ones are
+returned, and ``damaged_parts`` lists what was left out. An empty file is an archive without records.
 """
 
 from __future__ import annotations
@@ -34,23 +39,33 @@ MAGIC = b"WARC/1.1\r\n"
 END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 MIN_BYTES = 1000
+BROADCAST_DIGESTS = 400_000  # of 28 bytes each
+
 
+def records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> tuple[DataFrame, str]:
+    """``page_id, url, payload, digest, first``: ``first`` is the page a revisit refers to, else null;
+    and the path of a copy to remove afterwards.
 
-def records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``page_id, url, payload, digest, first``: ``first`` is the page a revisit refers to, else null."""
+    Digests that occur twice are found without the payloads. Where these digests fit a broadcast, by
+    their number, pages stay where they are; only beyond that are payloads shuffled to them.
+    """
     page = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"").cast("binary")).alias("payload"))
     page = page.withColumn("digest", F.sha1("payload"))
+    long_enough = F.octet_length("payload") >= min_bytes
     shared = (
-        page.where(F.octet_length("payload") >= min_bytes)
-        .groupBy(F.col("digest").alias("of"))
+        page.where(long_enough)
+        .groupBy(F.unhex("digest").alias("of"))
         .agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
         .where("n > 1 AND largest IS NOT NULL")
         .drop("n")
     )
-    # AQE splits the pages of a payload that very many pages have
-    long_enough = F.octet_length("payload") >= min_bytes
-    found = page.join(shared, (F.col("digest") == F.col("of")) & long_enough, "left")
-    return found.withColumn("first", F.when(F.col("largest") > F.col("page_id"), F.col("largest"))).drop("of", "largest")
+    shared, copy = staged(shared, "warc-shared")
+    if shared.count() <= BROADCAST_DIGESTS:
+        shared = F.broadcast(shared)
+    # else AQE splits the pages of a payload that very many pages have
+    found = page.join(shared, F.when(long_enough, F.unhex("digest")) == F.col("of"), "left")
+    found = found.withColumn("first", F.when(F.col("largest") > F.col("page_id"), F.col("largest"))).drop("of", "largest")
+    return found, copy
 
 
 def _header(name: str, value) -> object:
@@ -73,14 +88,18 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> N
         _header("Content-Length", F.octet_length("block").cast("string")),
         F.lit("\r\n"),
     )
-    lines = records(pages, min_bytes).withColumn("block", block)
+    found, copy = records(pages, min_bytes)
+    lines = found.withColumn("block", block)
     lines.select(F.concat(head, F.col("block")).alias("value")).write.option("lineSep", END).text(path)
+    remove(pages.sparkSession, copy)
 
 
 _HEAD = re.compile(rb"(?:[A-Za-z-]+: [^\r\n]*\r\n)+\r\n")
 _FIELD = re.compile(rb"([A-Za-z-]+): ([^\r\n]*)\r\n")
 _PAGE = re.compile(rb"<urn:page:(-?\d+)>")
 _FIELDS = "page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string"
+_FIELD_NAMES = [part.split()[0] for part in _FIELDS.split(", ")]
+PART_BYTES = 4 << 20
 
 
 def parse_record(piece: bytes) -> tuple[int, dict[bytes, bytes]] | None:
@@ -197,44 +216,58 @@ def _entered(placed: DataFrame, scratch: list[str]) -> DataFrame:
 
 
 def _on_chain(placed: DataFrame, entered: DataFrame) -> DataFrame:
-    """The rows of ``placed`` that the chain passes, with ``owner``, the offset of the record they lie in.
+    """The rows of ``placed`` that the chain passes.
 
-    Splits that no chain enters lie inside a record that began before them; their rows get no owner
-    here and are found by their place.
+    ``owner`` is the last record of the chain that begins at or before the row within its split, as
+    ``abs, size, whole``; null where the split begins inside a record of an earlier one.
     """
     entry = placed.join(entered, ["file", "abs"], "left_semi").select("file", "split", F.col("at").alias("entry"))
     rows = placed.join(entry, ["file", "split"], "left")
     ordered = rows.repartition("file", "split").sortWithinPartitions("file", "split", "at")
-    ddl = f"file string, split bigint, at bigint, abs bigint, succ bigint, whole boolean, {_FIELDS}, chained boolean"
-    names = [part.split()[0] for part in ddl.split(", ")]
+    ddl = (
+        f"file string, split bigint, at bigint, abs bigint, succ bigint, whole boolean, {_FIELDS}, chained boolean, "
+        "owner struct<abs:bigint,size:bigint,whole:boolean>"
+    )
+    names = ["file", "split", "at", "abs", "succ", "whole", *_FIELD_NAMES]
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        here, expected = None, None
+        here, expected, owner = None, None, None
         for batch in batches:
             out = []
-            for row in batch.select([*names[:-1], "entry"]).to_pylist():
+            for row in batch.select([*names, "entry"]).to_pylist():
                 if (row["file"], row["split"]) != here:
-                    here, expected = (row["file"], row["split"]), row["entry"]
+                    here, expected, owner = (row["file"], row["split"]), row["entry"], None
                 chained = row["at"] == expected
                 if chained:
                     expected = row["succ"]
-                out.append((*(row[n] for n in names[:-1]), chained))
-            yield lists(out, names)
+                    size = None if expected is None else expected - row["at"]
+                    owner = {"abs": row["abs"], "size": size, "whole": row["whole"]}
+                out.append((*(row[n] for n in names), chained, owner))
+            yield lists(out, [*names, "chained", "owner"])
 
     return map_columns(ordered, ddl, worker)
 
 
 def _in_parts(pieces: DataFrame, chain: DataFrame) -> DataFrame:
-    """Records whose payload holds the magic, put together from their pieces."""
-    before = Window.partitionBy("file").orderBy("abs").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("chained"), F.struct("abs", "succ", "whole", "at")), ignorenulls=True)
-    owned = chain.withColumn("owner", last.over(before)).where("owner.succ IS NOT NULL AND NOT owner.whole AND owner.abs > 0")
-    size = F.col("owner.succ") - F.col("owner.at")
-    keys = owned.where(F.col("abs") < F.col("owner.abs") + size).select("file", "split", "at", F.col("owner.abs").alias("owner"))
+    """``file, abs`` and the fields of records whose payload holds the magic, put together from their pieces."""
+    # the record in which a split begins is the last one of the splits before it: a row per split
+    last = chain.where("chained").groupBy("file", "split").agg(F.max_by("owner", "abs").alias("last"))
+    splits = chain.select("file", "split").distinct().join(last, ["file", "split"], "left")
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = splits.select("file", "split", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    owned = chain.join(carried, ["file", "split"]).withColumn("owner", F.coalesce("owner", "carried"))
+    owned = owned.where("owner.size IS NOT NULL AND NOT owner.whole AND owner.abs > 0 AND abs < owner.abs + owner.size")
+    keys = owned.select("file", "split", "at", F.col("owner.abs").alias("owner"))
 
     def placed_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
+        rows, held = [], 0
         for row in _walk(batches):
-            yield lists([row], ["file", "split", "at", "piece"])
+            rows.append(row)
+            held += len(row[3])
+            if held > PART_BYTES:
+                yield lists(rows, ["file", "split", "at", "piece"])
+                rows, held = [], 0
+        yield lists(rows, ["file", "split", "at", "piece"])
 
     bytes_of = map_columns(pieces, "file string, split bigint, at bigint, piece binary", placed_pieces)
     parts = bytes_of.join(keys, ["file", "split", "at"]).groupBy("file", "owner").agg(
@@ -244,34 +277,59 @@ def _in_parts(pieces: DataFrame, chain: DataFrame) -> DataFrame:
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         for batch in batches:
             rows = []
-            for parts in batch.column(0).to_pylist():
+            for file, owner, parts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 record = MAGIC.join(p["piece"] for p in parts)
                 size = parse_record(record)[0]
                 if size <= len(record):  # else the file ends inside it
-                    rows.append(describe_record(record[:size]))
-            yield lists(rows, [part.split()[0] for part in _FIELDS.split(", ")])
+                    rows.append((file, owner, *describe_record(record[:size])))
+            yield lists(rows, ["file", "abs", *_FIELD_NAMES])
 
-    return map_columns(parts.select("parts"), _FIELDS, worker)
+    return map_columns(parts.select("file", "owner", "parts"), f"file string, abs bigint, {_FIELDS}", worker)
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``page_id, record_type, refers_to, payload_bytes, payload_digest`` of every record on the chain."""
+def _read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``file, abs`` and fields of every record on the chain (no fields where the payload is not what the
+    headers say), and ``file, offset`` of files whose chain ends early."""
     pieces = _pieces(spark, path)
     found, copy = staged(_candidates(pieces), "warc")
     in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     # a row per split, thousands of times fewer than records
     splits = found.groupBy("file", "split").agg(F.max("total").alias("size"))
-    splits = splits.withColumn("base", F.coalesce(F.sum("size").over(in_file), F.lit(0))).drop("size")
-    placed = found.join(splits, ["file", "split"]).withColumn("abs", F.col("base") + F.col("at"))
+    splits = splits.withColumn("base", F.coalesce(F.sum("size").over(in_file), F.lit(0)))
+    placed = found.join(splits.drop("size"), ["file", "split"]).withColumn("abs", F.col("base") + F.col("at"))
     scratch = [copy]
-    chain, copy = staged(_on_chain(placed, _entered(placed, scratch)), "warc-chain")
+    chain, _ = staged(_on_chain(placed, _entered(placed, scratch)), "warc-chain")
+    # a sound chain reaches the end of its file; other chains end where their last record begins or leads
+    leads = F.col("abs") - F.col("at") + F.col("succ")
+    ends = splits.groupBy("file").agg(F.sum("size").alias("end"))
+    reached = chain.where("chained").groupBy("file").agg(F.max(leads).alias("reached"), F.max("abs").alias("begins"))
+    ends, copy = staged(ends.join(reached, "file", "left").where("reached IS NULL OR reached <> end"), "warc-ends")
     for used in scratch:
         remove(spark, used)
-    fields = [part.split()[0] for part in _FIELDS.split(", ")]
-    damaged = F.raise_error(F.concat(F.lit("damaged record in "), F.col("file")))
-    kind = F.when(F.col("record_type").isNull(), damaged.cast("string")).otherwise(F.col("record_type"))
-    chain = chain.withColumn("record_type", F.when(F.col("chained") & F.col("whole"), kind))
-    records_read = chain.where("chained AND whole").select(*fields)
-    if chain.where("chained AND succ IS NOT NULL AND NOT whole AND abs > 0").isEmpty():
-        return records_read
-    return records_read.union(_in_parts(pieces, chain))
+    inside = F.coalesce(F.when(F.col("reached") < F.col("end"), F.col("reached")), F.col("begins"), F.lit(0))
+    broken = ends.select("file", F.greatest(inside - len(MAGIC), F.lit(0)).alias("offset"))
+    fields = ["file", "abs", *_FIELD_NAMES]
+    whole = chain.where("chained AND whole").select(*fields)
+    if not chain.where("chained AND succ IS NOT NULL AND NOT whole AND abs > 0").isEmpty():
+        whole = whole.union(_in_parts(pieces, chain))
+    return whole, broken
+
+
+def damaged_parts(spark: SparkSession, path: str) -> DataFrame:
+    """``file, offset, damage``: where chains end early (``chain``: what follows in the file cannot be
+    read) and records whose payload is not what their headers say (``payload``)."""
+    found, broken = _read(spark, path)
+    wrong = found.where("record_type IS NULL").select("file", (F.col("abs") - len(MAGIC)).alias("offset"))
+    return broken.withColumn("damage", F.lit("chain")).union(wrong.withColumn("damage", F.lit("payload")))
+
+
+def read_archives(spark: SparkSession, path: str, skip_damaged: bool = False) -> DataFrame:
+    """``page_id, record_type, refers_to, payload_bytes, payload_digest`` of every record on the chain."""
+    found, broken = _read(spark, path)
+    if skip_damaged:
+        return found.where("record_type IS NOT NULL").select(*_FIELD_NAMES)
+    first = broken.orderBy("file").first()
+    if first is not None:
+        raise ValueError(f"{first['file']} is damaged at byte {first['offset']}")
+    wrong = F.raise_error(F.concat(F.lit("a payload is not what its headers say in "), F.col("file"))).cast("string")
+    return found.withColumn("record_type", F.coalesce("record_type", wrong)).select(*_FIELD_NAMES)

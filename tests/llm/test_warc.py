@@ -2,7 +2,6 @@ import hashlib
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from chunkloom.llm import warc
 
@@ -53,14 +52,49 @@ def test_no_pages(spark, tmp_path):
     assert read_back(spark, [], str(tmp_path / "none"), 30) == []
 
 
-def test_a_broken_chain_ends(spark, tmp_path):
-    rows = [(i, "u", "text") for i in range(5)]
-    warc.write_archives(spark.createDataFrame([(*r, "") for r in rows], SCHEMA).coalesce(1), str(tmp_path / "w"))
-    text = spark.read.option("wholetext", True).text(str(tmp_path / "w")).collect()
-    text = "".join(r[0] for r in text)
-    third = [i for i in range(len(text)) if text.startswith("WARC/1.1", i)][2]
-    folder = tmp_path / "cut"
-    folder.mkdir()
-    (folder / "a").write_bytes((text[:third] + "??" + text[third:]).encode())
-    assert warc.read_archives(spark, str(folder)).count() == 2
-    assert warc.read_archives(spark, str(folder)).agg(F.max("payload_bytes")).first()[0] == 4
+def archive(spark, tmp_path, n=5):
+    """The text of an archive of ``n`` records, and where each begins."""
+    rows = [(i, "u", "text", "") for i in range(n)]
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "w"))
+    text = "".join(r[0] for r in spark.read.text(str(tmp_path / "w"), wholetext=True).collect())
+    return text, [i for i in range(len(text)) if text.startswith("WARC/1.1", i)]
+
+
+@pytest.mark.parametrize("split_bytes", [700])
+def test_damaged_files(spark, tmp_path, split_bytes):
+    text, begins = archive(spark, tmp_path)
+    other = text.replace("\r\n\r\ntext", "\r\n\r\nTEXT", 1)
+    damaged = {
+        "broken": (text[: begins[2]] + "??" + text[begins[2] :], 2, begins[2], "chain"),
+        "cut": (text[:-3], 4, begins[4], "chain"),
+        "cut-head": (text[: begins[3] + 30], 3, begins[3], "chain"),
+        "foreign": ("no archive\n" * 9, 0, 0, "chain"),
+        "long": (text[: begins[1]] + text[begins[1] :].replace("Content-Length: ", "Content-Length: 999", 1), 1, begins[1], "chain"),
+        "payload": (other, 4, begins[0], "payload"),
+    }
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        folder = tmp_path / "all"
+        folder.mkdir()
+        for name, (content, *_) in damaged.items():
+            (folder / name).write_bytes(content.encode())
+        (folder / "empty").write_bytes(b"")
+        found = [(r["file"].rsplit("/", 1)[1], *tuple(r)[1:]) for r in warc.damaged_parts(spark, str(folder)).collect()]
+        assert sorted(found) == sorted((name, offset, damage) for name, (_, _, offset, damage) in damaged.items())
+        assert warc.read_archives(spark, str(folder), skip_damaged=True).count() == sum(d[1] for d in damaged.values())
+        with pytest.raises(ValueError, match=f"broken is damaged at byte {begins[2]}$"):
+            warc.read_archives(spark, str(folder))
+        (tmp_path / "two").mkdir()
+        (tmp_path / "two" / "a").write_bytes(damaged["payload"][0].encode())
+        with pytest.raises(Exception, match="a payload is not what its headers say"):
+            warc.read_archives(spark, str(tmp_path / "two")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_many_shared_digests_are_joined(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    rows = [(i, "u", f"text {i // 3}" * 9) for i in range(30)]
+    assert read_back(spark, rows, str(tmp_path / "w"), 30) == expected(rows, 30)
