@@ -12,15 +12,15 @@ whose words also start earlier: in a document of smaller id, or earlier in the s
 3. Extension. Only windows that hold such an anchor within their first v words can match. They are
    hashed whole (96 bits), and all but the first of each are repeats.
 
-Hot passages: before either shuffle each Arrow batch settles what repeats inside it, so that a
-passage has at most one row per batch in the shuffle, not one per document. The texts are
+Hot passages: before either shuffle each slice of ``SLICE_WORDS`` words settles what repeats inside it,
+so that a passage has at most one row per slice in the shuffle, not one per document. The texts are
 shuffled once, compressed and by id, and that exchange serves all three steps.
 
 Defined cases: a null text has no words; texts shorter than a window are left as they are; a row with a
 null id has no place in the order, so nothing is removed from it or because of it; rows that repeat an
 id and a text get the same result; rows that repeat an id with other texts are told apart by a hash of
-the text, which also orders them; extra columns do not matter. Memory: one text, and the word
-hashes of one Arrow batch.
+the text, which also orders them; extra columns do not matter. Memory: the words of one text, the
+hashes of one slice, and the values of up to 200,000 words kept between tasks.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ WINDOW = 20
 # Perfect difference sets, fixed values: every difference modulo the period occurs once.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 PERIOD = 13
+SLICE_WORDS = 400_000
 
 
 def anchor_places(count: int, period: int) -> np.ndarray:
@@ -73,7 +74,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
         compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            texts = [compress(t) for t in batch.column(2).to_pylist()]
+            texts = [compress(t.as_buffer()) for t in batch.column(2)]
             yield {"doc_id": batch.column(0), "tie": batch.column(1), "text": texts}
 
     return map_columns(docs.select("doc_id", "tie", "text"), f"doc_id {id_type}, tie bigint, text binary", worker)
@@ -82,7 +83,8 @@ def _packed(docs: DataFrame) -> DataFrame:
 def _unpacked(texts: pa.Array) -> Iterator[bytes]:
     import zstandard
 
-    return map(zstandard.ZstdDecompressor().decompress, texts.to_pylist())
+    decompress = zstandard.ZstdDecompressor().decompress
+    return (decompress(t.as_buffer()) for t in texts)
 
 
 def _digests(docs: DataFrame) -> DataFrame:
@@ -90,13 +92,12 @@ def _digests(docs: DataFrame) -> DataFrame:
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         for batch in batches:
-            words = [t.split() for t in batch.column(2).to_pylist()]
-            yield {
-                "doc_id": batch.column(0),
-                "tie": batch.column(1),
-                "n_words": [len(w) for w in words],
-                "digest": [blake2b(b" ".join(w), digest_size=16).digest() for w in words],
-            }
+            sizes, digests = [], []
+            for text in batch.column(2):
+                words = text.as_py().split()
+                sizes.append(len(words))
+                digests.append(blake2b(b" ".join(words), digest_size=16).digest())
+            yield {"doc_id": batch.column(0), "tie": batch.column(1), "n_words": sizes, "digest": digests}
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return map_columns(docs.select("doc_id", "tie", "text"), f"doc_id {id_type}, tie bigint, n_words bigint, digest binary", worker)
@@ -124,7 +125,7 @@ def _base() -> Column:
 
 
 def _settle(keys: list[np.ndarray], docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows have a key that an earlier row of the batch has, and which are not alone with it."""
+    """Which rows have a key that an earlier row of the slice has, and which are not alone with it."""
     if not len(places):
         return np.zeros(0, bool), np.zeros(0, bool)
     order = np.lexsort((places, docs, *reversed(keys)))
@@ -142,6 +143,12 @@ def _settle(keys: list[np.ndarray], docs: np.ndarray, places: np.ndarray) -> tup
     return again, many
 
 
+def _joined(parts: list[tuple]) -> list[np.ndarray]:
+    """The arrays of several texts, each in a row; first the number of the text."""
+    rows = np.concatenate([np.full(len(p[1]), p[0]) for p in parts])
+    return [rows, *(np.concatenate(column) for column in list(zip(*parts, strict=True))[1:])]
+
+
 def _marked(places: np.ndarray, again: np.ndarray, many: np.ndarray) -> np.ndarray:
     """Place and both flags in one number; rows stay in the order of the texts, which packs well."""
     return places << 2 | many.astype(np.int64) << 1 | again
@@ -150,33 +157,37 @@ def _marked(places: np.ndarray, again: np.ndarray, many: np.ndarray) -> np.ndarr
 def _anchors(docs: DataFrame, window: int, period: int) -> DataFrame:
     """``key, doc_id, mark``: the anchors of documents.
 
-    Of several in a batch one carries the key, for the other batches to see. The rest get a key of
+    Of several in a slice one carries the key, for the other slices to see. The rest get a key of
     their own, so that they do not meet in one task.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    def settled(docs: pa.Array, parts: list[tuple]) -> Columns:
+        row, key, place = _joined(parts)
+        again, many = _settle([key], row, place)
+        return {
+            "key": np.where(again, mixed(place.astype(np.uint64) + key), key).view(np.int64),
+            "doc_id": docs.take(pa.array(row)),
+            "mark": _marked(place, again, many),
+        }
+
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        ids = kept_in_process("word-ids", None, WordIds)
+        ids = kept_in_process("word-ids", None, lambda: WordIds(200_000))
         for batch in batches:
-            hashes, places, rows = [], [], []
+            parts, held = [], 0
             for row, (base, text) in enumerate(zip(batch.column(1).to_pylist(), _unpacked(batch.column(2)), strict=True)):
                 words = text.split()
                 if len(words) < window:
                     continue
                 values = window_hashes(ids(words), window - period + 1, 1)
                 at = anchor_places(len(values), period)
-                hashes.append(values[at])
-                places.append(at + base)
-                rows.append(np.full(len(at), row))
-            if not rows:
-                continue
-            key, place, row = map(np.concatenate, (hashes, places, rows))
-            again, many = _settle([key], row, place)
-            yield {
-                "key": np.where(again, mixed(place.astype(np.uint64) + key), key).view(np.int64),
-                "doc_id": batch.column(0).take(pa.array(row)),
-                "mark": _marked(place, again, many),
-            }
+                parts.append((row, values[at], at + base))
+                held += len(words)
+                if held >= SLICE_WORDS:
+                    yield settled(batch.column(0), parts)
+                    parts, held = [], 0
+            if parts:
+                yield settled(batch.column(0), parts)
 
     return map_columns(docs.select("doc_id", "base", "text"), f"key bigint, doc_id {id_type}, mark bigint", worker)
 
@@ -185,33 +196,37 @@ def _windows(docs: DataFrame, window: int, period: int) -> DataFrame:
     """``key, key2, doc_id, mark``: windows that can repeat."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    def settled(docs: pa.Array, ranks: np.ndarray, parts: list[tuple]) -> Columns:
+        row, a, b, place = _joined(parts)
+        b = (b >> np.uint64(32)).astype(np.int64).astype(np.int32)
+        again, many = _settle([a, b], ranks[row], place)
+        return {
+            "key": np.where(again, mixed(a + place.astype(np.uint64)), a).view(np.int64),
+            "key2": b,
+            "doc_id": docs.take(pa.array(row)),
+            "mark": _marked(place, again, many),
+        }
+
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        ids = kept_in_process("word-ids", None, WordIds)
+        ids = kept_in_process("word-ids", None, lambda: WordIds(200_000))
         for batch in batches:
-            first, second, places, rows = [], [], [], []
-            keys = batch.column(0)
-            rank = {k: i for i, k in enumerate(sorted(set(keys.to_pylist())))}
-            ranks = np.array([rank[k] for k in keys.to_pylist()])
-            given = (batch.column(1).to_pylist(), batch.column(2).to_pylist(), _unpacked(batch.column(3)))
+            parts, held = [], 0
+            docs = batch.column(0)
+            known = docs.to_pylist()
+            rank = {k: i for i, k in enumerate(sorted(set(known)))}
+            ranks = np.array([rank[k] for k in known])
+            given = (batch.column(1).to_pylist(), batch.column(2), _unpacked(batch.column(3)))
             for row, (base, anchors, text) in enumerate(zip(*given, strict=True)):
                 words = text.split()
                 values = ids(words)
-                starts = windows_with(_own(anchors, base), max(0, len(words) - window + 1), period)
-                first.append(window_hashes(values, window, 2)[starts])
-                second.append(window_hashes(values, window, 3)[starts])
-                places.append(starts + base)
-                rows.append(np.full(len(starts), row))
-            if not rows:
-                continue
-            a, b, place, row = map(np.concatenate, (first, second, places, rows))
-            b = (b >> np.uint64(32)).astype(np.int64).astype(np.int32)
-            again, many = _settle([a, b], ranks[row], place)
-            yield {
-                "key": np.where(again, mixed(a + place.astype(np.uint64)), a).view(np.int64),
-                "key2": b,
-                "doc_id": keys.take(pa.array(row)),
-                "mark": _marked(place, again, many),
-            }
+                starts = windows_with(_own(anchors.values, base), max(0, len(words) - window + 1), period)
+                parts.append((row, window_hashes(values, window, 2)[starts], window_hashes(values, window, 3)[starts], starts + base))
+                held += len(words)
+                if held >= SLICE_WORDS:
+                    yield settled(docs, ranks, parts)
+                    parts, held = [], 0
+            if parts:
+                yield settled(docs, ranks, parts)
 
     return map_columns(
         docs.select("doc_id", "base", "anchors", "text"), f"key bigint, key2 int, doc_id {id_type}, mark bigint", worker
@@ -224,9 +239,9 @@ def _by_document(rows: DataFrame, name: str) -> DataFrame:
     return grouped.agg(F.collect_list("place").alias(name))
 
 
-def _own(places: list[int], base: int) -> np.ndarray:
+def _own(places: pa.Array, base: int) -> np.ndarray:
     """The places that belong to the text with this base, counted in it."""
-    found = np.array(places, np.int64) - base
+    found = places.to_numpy() - base
     return found[(found >= 0) & (found < 1 << 36)]
 
 
@@ -235,7 +250,7 @@ def _again() -> Column:
 
 
 def _apart() -> Column:
-    """Null for rows that share their key; a row that an earlier one of its batch stands for has its own."""
+    """Null for rows that share their key; a row that an earlier one of its slice stands for has its own."""
     return F.when(_again(), F.col("mark"))
 
 
@@ -249,12 +264,12 @@ def _strip(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         for batch in batches:
             out: Columns = {"doc_id": batch.column(0), "n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            given = (*(batch.column(i).to_pylist() for i in (1, 2, 3)), _unpacked(batch.column(4)))
+            given = (batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), _unpacked(batch.column(4)))
             for copy, base, starts, text in zip(*given, strict=True):
                 words = text.split()
                 kept = [] if copy else words
-                if starts and not copy:
-                    gone = covered_words(_own(starts, base), len(words), window)
+                if starts.is_valid and not copy:
+                    gone = covered_words(_own(starts.values, base), len(words), window)
                     kept = [words[i] for i in np.flatnonzero(~gone)]
                 joined = b" ".join(kept)
                 out["n_words"].append(len(words))

@@ -38,7 +38,8 @@ def test_two_places_share_an_anchor():
 
 
 @pytest.mark.parametrize(("window", "period"), [(20, 13), (8, 7)])
-def test_removal_is_brute_force(spark, window, period):
+def test_removal_is_brute_force(spark, monkeypatch, window, period):
+    monkeypatch.setattr(dc, "SLICE_WORDS", 100)
     rng = random.Random(window)
     passages = [" ".join(rng.choice("abcd") for _ in range(n)) for n in (window - 1, window, window + 1, 3 * window, 90)]
     docs = []
