@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkloom.operators.storage import materialize
+from chunkloom.operators.storage import materialize, remove, staged
 from chunkloom.schema import DEFAULT_VECTOR, METHODS, REQUEST_SCHEMA
 
 _BUILT_IN = {"method": "cosine", "vector_name": DEFAULT_VECTOR, "include_vector": False}
@@ -137,3 +137,13 @@ def settle(requests: DataFrame, batch: BatchProfile) -> DataFrame:
     if not batch.is_small or size > SMALL_REQUESTS:
         return materialize(requests)
     return requests.sparkSession.createDataFrame(requests.toArrow(), requests.schema)
+
+
+def settle_costly(rows: DataFrame) -> DataFrame:
+    """Like ``settle`` for rows that are dear to compute: their size is read from a written copy."""
+    copy, path = staged(rows)
+    if (copy.agg(F.sum(row_bytes(copy))).first()[0] or 0) > SMALL_REQUESTS:
+        return copy
+    local = rows.sparkSession.createDataFrame(copy.toArrow(), rows.schema)
+    remove(rows.sparkSession, path)
+    return local

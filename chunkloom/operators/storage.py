@@ -45,6 +45,27 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``."""
+    system, target = _file_system(spark, path)
+    return system.exists(target) and len(system.listStatus(target)) > 0
+
+
+def remove_children(spark: SparkSession, path: str, prefixes: tuple[str, ...]) -> None:
+    """Remove what lies directly in ``path`` under a name with such a prefix, and ``path`` once empty."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return
+    left = 0
+    for status in system.listStatus(target):
+        if status.getPath().getName().startswith(prefixes):
+            system.delete(status.getPath(), True)
+        else:
+            left += 1
+    if not left:
+        system.delete(target, False)
+
+
 def materialize(frame: DataFrame) -> DataFrame:
     """``frame`` computed once, with its lineage cut."""
     return staged(frame)[0]

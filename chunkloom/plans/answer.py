@@ -13,7 +13,8 @@ from chunkloom.errors import NoCollectionProvided
 from chunkloom.operators.regroup import documents_json
 from chunkloom.operators.requests import profile, settle, with_defaults
 from chunkloom.plans.search import vector_search
-from chunkloom.sources.catalog import scan_collection, tenants
+from chunkloom.sources.catalog import has_buckets, scan_collection, tenants
+from chunkloom.sources.fetch import fetch_stored
 
 
 def answer(
@@ -40,7 +41,8 @@ def answer(
         missing = wanted.join(tenants(spark, name), "tenant", "left_anti").first()
         if missing is not None:
             raise KeyError(f"tenant {missing['tenant']} does not exist in collection {name}")
-        parts.append(documents_json(search(chunks, mine, defaults)))
+        fetch = fetch_stored(spark, name) if has_buckets(spark, name) else None
+        parts.append(documents_json(search(chunks, mine, defaults, fetch=fetch)))
     if not parts:
         return spark.createDataFrame(
             [], "request_id string, first_place bigint, part bigint, parts bigint, document string"

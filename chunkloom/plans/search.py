@@ -20,6 +20,7 @@ from chunkloom.operators.requests import BatchProfile, profile, settle, with_def
 from chunkloom.operators.scoring import scan
 
 Embedder = Callable[[Column], Column]
+Fetch = Callable[[DataFrame, BatchProfile], DataFrame]
 _IDS = ("tenant", "chunk_id", "parent_id")
 _ASKED = ("request_id", "query_embedding", "slot", "method", "top", "auto_limit", "horizon", "spec")
 
@@ -69,11 +70,14 @@ def ranked(hits: DataFrame, batch: BatchProfile) -> DataFrame:
 
 
 def _rows(
-    hits: DataFrame, chunks: DataFrame, requests: DataFrame, batch: BatchProfile
+    hits: DataFrame, chunks: DataFrame, requests: DataFrame, batch: BatchProfile, fetch: Fetch | None
 ) -> DataFrame:
-    """Full chunk rows of the hits and parents, with the vector of requests that want it."""
+    """Full chunk rows of the hits and parents, with the vector of requests that want it.
+
+    ``fetch`` gives the chunks of ids from where they are stored; without it they are joined.
+    """
     keys = apply_parent_strategy(hits, requests, batch)
-    rows = fetch_chunks(keys, chunks, batch)
+    rows = fetch(keys, batch) if fetch else fetch_chunks(keys, chunks, batch)
     if not batch.with_vectors:
         return rows.drop("embeddings")
     wanted = requests.select("request_id", "vector_name", "include_vector")
@@ -92,6 +96,7 @@ def vector_search(
     by_file: bool = True,
     in_tiles: bool = False,
     part_chunks: int | None = None,
+    fetch: Fetch | None = None,
 ) -> DataFrame:
     """Nearest chunks of each request, as documents per file or, with ``by_file`` off, as rows.
 
@@ -102,7 +107,7 @@ def vector_search(
     batch = profile(asked)
     asked = settle(asked, batch)
     hits = ranked(nearest(chunks, asked, batch, in_tiles), batch)
-    rows = _rows(hits, chunks, asked, batch)
+    rows = _rows(hits, chunks, asked, batch, fetch)
     return group_by_file(rows, part_chunks) if by_file else rows
 
 
@@ -112,10 +117,11 @@ def text_search(
     defaults: dict[str, Any] | None = None,
     by_file: bool = True,
     embed: Embedder = hashed_term_vector,
+    fetch: Fetch | None = None,
 ) -> DataFrame:
     """Vector search with the embedded ``query_text``; ``embed`` is the chunks' own embedder."""
     embedded = requests.withColumn("query_embedding", embed(F.col("query_text")))
-    return vector_search(chunks, embedded, defaults, by_file)
+    return vector_search(chunks, embedded, defaults, by_file, fetch=fetch)
 
 
 def _with_terms(
@@ -162,6 +168,7 @@ def hybrid_search(
     defaults: dict[str, Any] | None = None,
     by_file: bool = True,
     embed: Embedder = hashed_term_vector,
+    fetch: Fetch | None = None,
 ) -> DataFrame:
     """Keyword and vector relevance blended by ``alpha``; higher ``score`` first.
 
@@ -176,7 +183,7 @@ def hybrid_search(
     batch = profile(asked)
     asked = settle(asked, batch)
     if batch.count == 0:
-        rows = _rows(ranked(nearest(chunks, asked, batch), batch), chunks, asked, batch)
+        rows = _rows(ranked(nearest(chunks, asked, batch), batch), chunks, asked, batch, fetch)
         return group_by_file(rows) if by_file else _as_scores(rows)
     columns = [
         *[F.col(c) for c in _IDS],
@@ -190,7 +197,7 @@ def hybrid_search(
         ranges = hybrid.score_ranges(kept, numbered, batch)
         parts.append(hybrid.hybrid_scan(kept, numbered.join(ranges, "request_id"), batch))
     hits = ranked(reduce(DataFrame.unionByName, parts), batch)
-    rows = _rows(hits, chunks, asked, batch)
+    rows = _rows(hits, chunks, asked, batch, fetch)
     if not by_file:
         return _as_scores(rows)
     return group_by_file(rows)

@@ -1,0 +1,123 @@
+"""The pruned fetch of hits from stored collections, and what dropping a collection leaves."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from chunkloom.plans.search import vector_search
+from chunkloom.sources import catalog
+from chunkloom.sources.fetch import fetch_stored, grouped, id_ranges
+
+ROW = "chunk_id string, filename string, content string, parent_id string, hierarchy_level int, embedding array<float>"
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    name = "c_" + uuid.uuid4().hex
+    catalog.create_collection(spark, name, buckets=2, location=str(tmp_path / "table"))
+    for tenant in ("left", "right"):
+        catalog.create_tenant(spark, name, tenant)
+        for part in range(3):  # three files in each bucket
+            rows = [
+                (f"{part}-{i:02d}", f"{part}.txt", f"{tenant} text {part} {i}", f"{part}-00" if i else None, int(i > 0), [float(i), float(part + 1)])
+                for i in range(20)
+            ]
+            batch = spark.createDataFrame(rows, ROW).withColumn("embeddings", F.create_map(F.lit("default"), "embedding"))
+            catalog.persist_chunks(spark, name, batch.drop("embedding"), tenant)
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def keys_of(spark, hits):
+    rows = [("r", tenant, chunk, 0.0, i) for i, (tenant, chunk) in enumerate(hits)]
+    return spark.createDataFrame(rows, "request_id string, tenant string, chunk_id string, distance double, rank int")
+
+
+def scans_of_contents(frame):
+    """The rows, (text of the scan, files read) of every executed scan of contents, and the whole plan."""
+    rows = frame.collect()  # once: a second run would not list the files again
+    todo, found = [frame._jdf.queryExecution().executedPlan()], []
+    whole = todo[0].toString()
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        else:
+            children = plan.children()
+            todo += [children.apply(i) for i in range(children.size())]
+        if kind == "FileSourceScanExec" and "content" in [a.name() for a in _items(plan.output())]:
+            found.append((plan.toString(), plan.metrics().apply("numFiles").value()))
+    return rows, found, whole
+
+
+def _items(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_only_files_with_hits_are_read(spark, stored):
+    found = fetch_stored(spark, stored)(keys_of(spark, [("left", "1-07"), ("left", "9-99")]), None)
+    rows, ((scan, files),), _ = scans_of_contents(found)
+    assert [(r["tenant"], r["chunk_id"], r["content"]) for r in rows] == [("left", "1-07", "left text 1 7")]
+    assert files == 1
+    assert "PartitionFilters: [" in scan and "tenant" in scan.split("PartitionFilters:")[1].split("]")[0]
+    assert "chunk_id" in scan.split("PushedFilters:")[1]
+
+
+def test_contents_stay_in_place(spark, stored):
+    hits = [(t, f"{p}-{i:02d}") for t in ("left", "right") for p in range(3) for i in range(20)]
+    for bound in (200_000, 70, 1):  # one group, a group for two partitions, and joins by a shuffle
+        found = fetch_stored(spark, stored, bound)(keys_of(spark, hits), None)
+        rows, scans, whole = scans_of_contents(found)
+        assert sorted((r["tenant"], r["chunk_id"]) for r in rows) == sorted(hits)
+        if bound > 1:
+            assert "Exchange hashpartitioning" not in whole
+        assert sum(files for _, files in scans) == 12
+    assert fetch_stored(spark, stored)(keys_of(spark, []), None).count() == 0
+
+
+def test_searches_are_the_same(spark, stored):
+    requests = spark.createDataFrame([("a", [3.0, 1.0], "left"), ("b", [5.0, 9.0], None)], "request_id string, query_embedding array<float>, tenant_name string")
+    chunks = catalog.scan_collection(spark, stored)
+    for defaults in ({"top": 4, "parent_strategy": "include"}, {"horizon": 0.05, "parent_strategy": "replace"}, {"include_vector": True, "top": 3}):
+        plain = vector_search(chunks, requests, defaults, by_file=False)
+        pruned = vector_search(chunks, requests, defaults, by_file=False, fetch=fetch_stored(spark, stored))
+        columns = ["request_id", "tenant", "chunk_id", "content", "rank", "place"] + (["embedding"] if "include_vector" in defaults else [])
+        assert sorted(map(str, plain.select(columns).collect())) == sorted(map(str, pruned.select(columns).collect()))
+
+
+def test_predicates_cover_all_ids(spark):
+    ids = [f"{i:03d}" for i in range(100)]
+    frame = spark.createDataFrame([(i,) for i in ids], "chunk_id string")
+    assert frame.where(id_ranges(ids[10:50], 7)).count() == 40
+    assert frame.where(id_ranges(["003", "090"])).count() == 2
+    assert frame.where(id_ranges([])).count() == 0
+    assert grouped({("a", 0): 5, ("a", 1): 5, ("b", 0): 11, ("b", 1): 1}, 10) == [[("a", 0), ("a", 1)], [("b", 0)], [("b", 1)]]
+
+
+def test_drop_leaves_files_of_others(spark, stored, tmp_path):
+    (tmp_path / "table" / "keep.txt").write_text("mine")
+    catalog.drop_collection(spark, stored)
+    assert os.listdir(tmp_path / "table") == ["keep.txt"]
+    with pytest.raises(ValueError, match="holds files already"):
+        catalog.create_collection(spark, stored, location=str(tmp_path / "table"))
+
+
+def test_drop_with_a_property_named_location(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    (tmp_path / "string").mkdir()
+    (tmp_path / "string" / "keep.txt").write_text("mine")
+    name = "c_" + uuid.uuid4().hex
+    catalog.create_collection(spark, name, properties={"Location": "text"}, location=str(tmp_path / "table"))
+    catalog.create_tenant(spark, name, "t")
+    batch = spark.createDataFrame([("1", "f", "text", 0)], "chunk_id string, filename string, content string, hierarchy_level int")
+    catalog.persist_chunks(spark, name, batch, "t")
+    catalog.drop_collection(spark, name)
+    assert os.listdir(tmp_path / "string") == ["keep.txt"]
+    assert not (tmp_path / "table").exists()
+
+
