@@ -270,6 +270,44 @@ LATEST = (
 )
 NOT_LATEST = "NOT EXISTS (SELECT 1 FROM latest l WHERE l.chunk_id = c.chunk_id AND l.tenant = c.tenant)"
 
+STORED_BM25 = r"""
+current AS (
+  SELECT chunk_id, tenant, content FROM chunks c WHERE """ + NOT_LATEST + r""" AND language IS DISTINCT FROM 'fr'
+  UNION ALL
+  SELECT l.chunk_id, l.tenant, l.content FROM latest l LEFT JOIN chunks c USING (chunk_id, tenant)
+  WHERE c.language IS DISTINCT FROM 'fr'
+),
+stored_words AS (
+  SELECT chunk_id, tenant,
+         list_filter(regexp_split_to_array(lower(content), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS words
+  FROM current WHERE content IS NOT NULL
+),
+scopes AS (
+  SELECT request_id, words,
+         CASE WHEN CAST(request_id AS INT) % 2 = 1
+              THEN concat('tenant_', CAST(CAST(request_id AS INT) % 3 AS VARCHAR)) ELSE '*' END AS scope
+  FROM queries
+),
+scoped_words AS (
+  SELECT *, tenant AS scope FROM stored_words UNION ALL SELECT *, '*' FROM stored_words
+),
+scope_sizes AS (SELECT scope, count(*) AS n, avg(len(words)) AS avgdl FROM scoped_words GROUP BY scope),
+scope_postings AS (
+  SELECT scope, chunk_id, tenant, word, dl, count(*) AS tf
+  FROM (SELECT scope, chunk_id, tenant, len(words) AS dl, unnest(words) AS word FROM scoped_words)
+  GROUP BY ALL
+),
+scope_frequency AS (SELECT scope, word, count(*) AS df FROM scope_postings GROUP BY scope, word),
+asked_scopes AS (SELECT request_id, scope, unnest(list_distinct(words)) AS word FROM scopes),
+stored_scores AS (
+  SELECT request_id, tenant, chunk_id,
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+               / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 9) AS score
+  FROM asked_scopes JOIN scope_postings USING (scope, word) JOIN scope_frequency USING (scope, word)
+  JOIN scope_sizes USING (scope)
+  GROUP BY request_id, tenant, chunk_id
+)"""
+
 READ_BACK = "SELECT chunk_id, language, source, label, {quality} AS quality, array_to_string(tags, '|') AS tags FROM chunks"
 
 
@@ -380,6 +418,10 @@ WHERE rank <= 10""", TEXTS, HASHED),
 SELECT request_id, chunk_id, round(score, 6) AS score, rank
 FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, chunk_id) AS rank
       FROM text_scores) WHERE rank <= 10""", TEXTS, BM25),
+    "bm25_stored": _with("""
+SELECT request_id, tenant, chunk_id, round(score, 6) AS score, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, chunk_id, tenant) AS rank
+      FROM stored_scores) WHERE rank <= 10""", TEXTS, UPSERT, STORED_BM25),
     "hybrid_search": _with("""
 SELECT request_id, chunk_id, round(score, 6) AS score, rank FROM placed WHERE rank <= 10""",
         TEXTS, BM25, HYBRID),

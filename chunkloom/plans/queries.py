@@ -473,20 +473,21 @@ METADATA_TYPE = "STRUCT<language: STRING, source: STRING>"
 CUSTOM_TYPE = "STRUCT<label: INT, quality: INT, tags: ARRAY<STRING>>"
 
 
-def _scratch(spark: SparkSession, tenancy: bool = True) -> tuple[str, str]:
+def _scratch(spark: SparkSession, tenancy: bool = True, text_index: bool = False) -> tuple[str, str]:
     """A new collection for one query, with its files in the shared folder."""
     name = f"scratch_{uuid.uuid4().hex}"
     folder = scratch_path(spark, name)
     catalog.create_collection(
         spark, name, metadata_type=METADATA_TYPE, custom_type=CUSTOM_TYPE,
         multi_tenancy={"enabled": tenancy}, buckets=4, location=f"{folder}/table",
+        text_index=text_index,
     )
     return name, folder
 
 
-def _filled(spark: SparkSession, folder: str) -> str:
+def _filled(spark: SparkSession, folder: str, text_index: bool = False) -> str:
     """All documents persisted, each tenant's into its own tenant."""
-    name, _ = _scratch(spark)
+    name, _ = _scratch(spark, text_index=text_index)
     documents = corpus.documents(spark, folder)
     for tenant in TENANTS:
         catalog.create_tenant(spark, name, tenant)
@@ -564,6 +565,23 @@ def search_stored(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("request_id", "first_place", "d.filename", ids.alias("chunk_ids"))
 
 
+def bm25_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Keyword search on stored postings, after an upsert of new versions and a delete by filter.
+
+    Every other request searches one tenant, by that tenant's statistics.
+    """
+    name = _filled(spark, folder, text_index=True)
+    batch = corpus.upsert_batch(spark, folder)
+    for tenant in TENANTS:
+        catalog.persist_chunks(spark, name, batch.where(F.col("tenant") == tenant).drop("tenant"), tenant)
+    catalog.delete_matching(spark, name, {"document_metadata.language": "fr"})
+    number = F.col("request_id").cast("int")
+    own = F.when(number % 2 == 1, F.concat(F.lit("tenant_"), (number % 3).cast("string")))
+    requests = corpus.text_requests(spark, folder).withColumn("tenant_name", own)
+    found = search.stored_keyword_search(spark, name, requests, {"top": 10})
+    return found.select("request_id", "tenant", "chunk_id", F.round("score", 6).alias("score"), "rank")
+
+
 def knn_tiles(spark: SparkSession, folder: str) -> DataFrame:
     """The way of batches too large to broadcast: request blocks meet chunk blocks in a join."""
     requests = corpus.vector_requests(spark, folder)
@@ -581,6 +599,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "bm25_stored": bm25_stored,
     "delete_emptied": delete_emptied,
     "describe_collection": describe_collection,
     "drop_collection": drop_collection,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.functions.distance import distance, pick_vector
@@ -16,9 +16,11 @@ from chunkloom.operators.filters_by_request import by_filters, predicate
 from chunkloom.operators.parents import apply_parent_strategy, beside_requests, fetch_chunks
 from chunkloom.operators.ranking import WINDOW_TOP, auto_cut, auto_cut_all, rank_all, top_k
 from chunkloom.operators.regroup import group_by_file
-from chunkloom.operators.requests import BatchProfile, profile, settle, with_defaults
+from chunkloom.operators.requests import BatchProfile, profile, settle, settle_costly, with_defaults
 from chunkloom.operators.scoring import scan
+from chunkloom.sources.catalog import scan_collection, stored_counts, stored_postings
 
+LISTED_TERMS = 2_000
 Embedder = Callable[[Column], Column]
 Fetch = Callable[[DataFrame, BatchProfile], DataFrame]
 _IDS = ("tenant", "chunk_id", "parent_id")
@@ -125,9 +127,9 @@ def text_search(
 
 
 def _with_terms(
-    chunks: DataFrame, requests: DataFrame, batch: BatchProfile
+    chunks: DataFrame, requests: DataFrame, batch: BatchProfile, counts: DataFrame | None = None
 ) -> DataFrame:
-    terms = hybrid.query_terms(chunks, requests, batch)
+    terms = hybrid.query_terms(chunks, requests, batch, counts)
     complete = requests.join(terms, "request_id", "left").withColumns(
         {
             "terms": F.coalesce("terms", F.array().cast("array<string>")),
@@ -162,6 +164,47 @@ def keyword_search(
     return _as_scores(hits.select("request_id", "tenant", "chunk_id", "distance", "rank"))
 
 
+def stored_keyword_search(
+    spark: SparkSession, name: str, requests: DataFrame, defaults: dict[str, Any] | None = None
+) -> DataFrame:
+    """Like ``keyword_search`` over a collection with a text index, whose contents are not read.
+
+    Terms meet stored postings in an equi-join. Chunks are only looked at, without their contents, where
+    requests have property or level filters.
+    """
+    asked = with_defaults(requests, defaults)
+    batch = profile(asked)
+    asked = settle(asked, batch)
+    scoped = hybrid.asked_terms(asked)
+    postings, counts = stored_postings(spark, name), stored_counts(spark, name)
+    terms = scoped.select("term").distinct()
+    if batch.is_small:
+        listed = [r["term"] for r in terms.limit(LISTED_TERMS + 1).collect()]
+        if len(listed) <= LISTED_TERMS:  # literals that Parquet checks against its statistics
+            postings = postings.where(F.col("term").isin(listed))
+            counts = counts.where(F.col("term").isin([*listed, ""]))
+    weighted = settle_costly(hybrid.weighted_terms(scoped, counts, batch))
+    scores = hybrid.posting_scores(postings, weighted, batch)
+    if asked.where("operation_level IS NOT NULL OR having_all IS NOT NULL OR having_any IS NOT NULL").isEmpty():
+        scores = beside_requests(scores, asked.select("request_id", "top", "auto_limit"), batch)
+    else:
+        chunks = scan_collection(spark, name)
+        parts = []
+        for kept, numbered in by_filters(chunks, asked, [F.col("tenant"), F.col("chunk_id")]):
+            mine = beside_requests(scores, numbered.select("request_id", "top", "auto_limit", "spec"), batch)
+            fit = mine.join(kept, ["tenant", "chunk_id"])
+            if "specs" in fit.columns:
+                fit = fit.where(F.array_contains("specs", F.col("spec")))
+            parts.append(fit.select(*scores.columns, "top", "auto_limit"))
+        scores = reduce(DataFrame.unionByName, parts)
+    hits = scores.select(
+        "request_id", "tenant", "chunk_id", F.lit(None).cast("string").alias("parent_id"),
+        "top", "auto_limit", (-F.col("score")).alias("distance"),
+    )
+    hits = ranked(hits, batch)
+    return _as_scores(hits.select("request_id", "tenant", "chunk_id", "distance", "rank"))
+
+
 def hybrid_search(
     chunks: DataFrame,
     requests: DataFrame,
@@ -169,12 +212,14 @@ def hybrid_search(
     by_file: bool = True,
     embed: Embedder = hashed_term_vector,
     fetch: Fetch | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Keyword and vector relevance blended by ``alpha``; higher ``score`` first.
 
     In documents per file the ``distance`` of a chunk is its negative score.
-    A request without ``query_embedding`` is embedded from its text. The chunks are read twice:
-    once for the range of both scores per request, once for the blended scores.
+    A request without ``query_embedding`` is embedded from its text. The chunks are read three times:
+    for the statistics of terms (unless stored ``counts`` are given), for the range of both scores per
+    request, and for the blended scores.
     """
     asked = with_defaults(requests, {"alpha": hybrid.ALPHA, **(defaults or {})})
     asked = asked.withColumn(
@@ -190,7 +235,7 @@ def hybrid_search(
         *_vector_columns(batch),
         tokens(F.col("content")).alias("tokens"),
     ]
-    prepared = _with_terms(chunks, _slots(asked, batch), batch)
+    prepared = _with_terms(chunks, _slots(asked, batch), batch, counts)
     parts = []
     for kept, numbered in by_filters(chunks, prepared, columns):
         numbered = numbered.select(*_ASKED, "alpha", "terms", "idf", "avg_length")
