@@ -40,6 +40,21 @@ def _members(value: Column) -> Column:
     return F.coalesce(F.map_entries(as_map), F.array().cast("array<struct<key:string,value:variant>>"))
 
 
+def _top_members(value: Column, prefix: str) -> Column:
+    first = F.lit(prefix + "." if prefix else "")
+    return F.transform(_members(value), lambda m: _entry(F.concat(first, m["key"]), m["value"]))
+
+
+def _opened(entries: Column) -> Column:
+    """Entries with every object replaced by its members, in its place."""
+
+    def members(e: Column) -> Column:
+        below = lambda m: _entry(F.concat(e["path"], F.lit("."), m["key"]), m["value"])
+        return F.when(is_object(e["value"]), F.transform(_members(e["value"]), below)).otherwise(F.array(e))
+
+    return F.flatten(F.transform(entries, members))
+
+
 def flatten_variant(value: Column, prefix: str = "", max_depth: int = MAX_DEPTH) -> Column:
     """All leaves of a VARIANT object as ``array<struct<path, value>>``.
 
@@ -48,23 +63,9 @@ def flatten_variant(value: Column, prefix: str = "", max_depth: int = MAX_DEPTH)
     ``max_depth``, for which ``variant_depth`` measures a column; an object below that depth raises
     instead of being lost.
     """
-    first = F.lit(prefix + "." if prefix else "")
-    entries = F.transform(
-        _members(value), lambda m: _entry(F.concat(first, m["key"]), m["value"])
-    )
+    entries = _top_members(value, prefix)
     for _ in range(max_depth - 1):
-        entries = F.flatten(
-            F.transform(
-                entries,
-                lambda e: F.when(
-                    is_object(e["value"]),
-                    F.transform(
-                        _members(e["value"]),
-                        lambda m: _entry(F.concat(e["path"], F.lit("."), m["key"]), m["value"]),
-                    ),
-                ).otherwise(F.array(e)),
-            )
-        )
+        entries = _opened(entries)
     failure = F.raise_error(F.lit(f"properties nested deeper than {max_depth} levels"))
 
     def checked(leaves: Column) -> Column:
@@ -74,41 +75,38 @@ def flatten_variant(value: Column, prefix: str = "", max_depth: int = MAX_DEPTH)
     return _let(entries, checked)
 
 
-def object_depth(kind: str) -> int:
-    """Levels of objects in a VARIANT's schema text; what lies in lists does not count, lists are leaves."""
-    depth, deepest, open_types, quoted = 0, 0, [], False
-    for at, character in enumerate(kind):
-        if character == "`":
-            quoted = not quoted
-        elif quoted:
-            continue
-        elif character == "<":
-            is_object = kind[:at].endswith("OBJECT") and "ARRAY" not in open_types
-            open_types.append("OBJECT" if is_object else "ARRAY")
-            depth += is_object
-            deepest = max(deepest, depth)
-        elif character == ">" and open_types:
-            depth -= open_types.pop() == "OBJECT"
-    return deepest
-
-
-def variant_depth(frame: DataFrame, value: Column) -> int:
-    """How deep the objects of a VARIANT column go, from one aggregate over it."""
-    kind = frame.agg(F.schema_of_variant_agg(value)).first()[0]
-    return max(1, object_depth(kind or ""))
+def variant_depth(frame: DataFrame, *values: Column) -> int:
+    """How deep the objects of VARIANT columns go, from one aggregate for every eight levels.
 
-
-def _struct_leaves(column: Column, data_type: T.DataType, path: str, max_depth: int) -> list[Column]:
+    Lists are leaves, and what lies in them does not count. Rows may be of different kinds.
+    """
+    members = [_top_members(v, "") for v in values]
+    rows, depth = frame.select(F.concat(*members).alias("entries")), 1
+    while True:
+        for level in range(MAX_DEPTH):
+            objects = F.exists("entries", lambda e: is_object(e["value"]))
+            rows = rows.withColumns({f"open{level}": objects, "entries": _opened(F.col("entries"))})
+        found = rows.agg(*[F.bool_or(f"open{level}") for level in range(MAX_DEPTH)]).first()
+        below = [*found, False].index(False) if all(f is not None for f in found) else 0
+        if below < MAX_DEPTH:
+            return depth + below
+        rows, depth = rows.select("entries"), depth + MAX_DEPTH
+
+
+def _struct_leaves(
+    column: Column, data_type: T.DataType, path: str, walk: Callable[[Column, str], Column]
+) -> list[Column]:
+    """``walk`` gives the entries of an object in a VARIANT value."""
     if isinstance(data_type, T.StructType):
         leaves = []
         for field in data_type.fields:
             below = f"{path}.{field.name}" if path else field.name
-            leaves += _struct_leaves(column.getField(field.name), field.dataType, below, max_depth)
+            leaves += _struct_leaves(column.getField(field.name), field.dataType, below, walk)
         return leaves
     if isinstance(data_type, T.VariantType):
         # a VARIANT field may hold an object or a plain value
         plain = F.array(_entry(F.lit(path), column))
-        nested = flatten_variant(column, path, max_depth)
+        nested = walk(column, path)
         absent = F.array().cast(_ENTRY)
         return [F.when(is_object(column), nested).when(column.isNotNull(), plain).otherwise(absent)]
     value = column.cast("variant")
@@ -124,7 +122,7 @@ def flatten_properties(
 
     A STRUCT is walked as deep as its type goes; ``max_depth`` is for objects in VARIANT values.
     """
-    leaves = _struct_leaves(column, data_type, prefix, max_depth)
+    leaves = _struct_leaves(column, data_type, prefix, lambda value, path: flatten_variant(value, path, max_depth))
     return F.concat(*leaves) if leaves else F.array().cast(_ENTRY)
 
 
@@ -204,12 +202,16 @@ def unmap_properties(flat: Column, names: Column, max_depth: int = MAX_DEPTH) ->
 
     Flat names that the map does not list are dropped.
     """
+    return unflatten_properties(_known_entries(flat, names), max_depth)
+
+
+def _known_entries(flat: Column, names: Column) -> Column:
+    """``array<struct<path, value>>`` of the flat names that the map lists."""
     known = F.map_filter(flat, lambda key, _: F.map_contains_key(names, key))
-    entries = F.transform(
+    return F.transform(
         F.map_entries(known),
         lambda e: _entry(F.try_element_at(names, e["key"]), e["value"].cast("variant")),
     )
-    return unflatten_properties(entries, max_depth)
 
 
 def rebuild_struct(values: Column, data_type: T.StructType, prefix: str = "") -> Column:
@@ -223,3 +225,80 @@ def rebuild_struct(values: Column, data_type: T.StructType, prefix: str = "") ->
             part = F.try_element_at(values, F.lit(path)).cast(field.dataType)
         fields.append(part.alias(field.name))
     return F.struct(*fields)
+
+
+def _variants(column: Column, data_type: T.DataType) -> list[Column]:
+    """The VARIANT values that a column is or holds in the fields of a STRUCT."""
+    if isinstance(data_type, T.StructType):
+        return [v for f in data_type.fields for v in _variants(column.getField(f.name), f.dataType)]
+    return [column] if isinstance(data_type, T.VariantType) else []
+
+
+def flattened(frame: DataFrame, column: str, into: str, prefix: str = "") -> DataFrame:
+    """``frame`` with ``into``, all leaves of a STRUCT or VARIANT column as deep as they lie.
+
+    A pass over the column measures how deep its objects go; a STRUCT without VARIANT fields needs
+    none. Then every level is one row-local step.
+    """
+    data_type = frame.schema[column].dataType
+    value = F.col(f"`{column}`")
+    variants = _variants(value, data_type)
+    depth = variant_depth(frame, *variants) if variants else 1
+    leaves = _struct_leaves(value, data_type, prefix, _top_members)
+    frame = frame.withColumn(into, F.concat(*leaves) if leaves else F.array().cast(_ENTRY))
+    for _ in range(depth - 1):
+        frame = frame.withColumn(into, _opened(F.col(f"`{into}`")))
+    return frame
+
+
+def _longest_path(frame: DataFrame, paths: Column) -> int:
+    """Parts of the longest of all paths, an array column, from one aggregate over it."""
+    longest = F.array_max(F.transform(paths, lambda p: F.size(F.split(p, r"\."))))
+    return frame.agg(F.max(longest)).first()[0] or 1
+
+
+def unflattened(frame: DataFrame, entries: str, into: str) -> DataFrame:
+    """``frame`` with ``into``, the objects rebuilt from ``entries`` of paths of any length.
+
+    Like ``unflatten_properties``, but folded from the deepest level up, one row-local step per level:
+    what has a path of ``depth`` parts becomes members of the object above it. Of one path the entry, or
+    the object with a member, that comes last in the list wins.
+    """
+    own, place = F.col(f"`{entries}`"), F.col(f"`{into}`")
+    depth = _longest_path(frame, F.transform(own, lambda e: e["path"]))
+    part = lambda parts, value, at: F.struct(parts.alias("parts"), value.alias("value"), at.alias("at"))
+    frame = frame.withColumn(into, F.transform(own, lambda e, i: part(F.split(e["path"], r"\."), e["value"], i)))
+
+    def last(items: Column) -> Column:
+        """Of a list of entries the one that comes last."""
+        return F.reduce(items, F.get(items, F.lit(0)), lambda a, b: F.when(b["at"] > a["at"], b).otherwise(a))
+
+    for level in range(depth, 0, -1):
+        deep = F.filter(place, lambda e: F.size(e["parts"]) == level)
+        frame = frame.withColumns({f"{into}__deep": deep, into: F.filter(place, lambda e: F.size(e["parts"]) < level)})
+        deep = F.col(f"`{into}__deep`")
+        above = lambda e: F.slice(e["parts"], 1, level - 1)  # noqa: B023, E731
+        frame = frame.withColumn(f"{into}__tops", F.array_distinct(F.transform(deep, above)))
+
+        def rebuilt(top: Column) -> Column:
+            members = F.filter(deep, lambda e: above(e) == top)  # noqa: B023
+            names = F.array_distinct(F.transform(members, lambda e: F.element_at(e["parts"], -1)))
+
+            def member(name: Column) -> Column:
+                same = F.filter(members, lambda e: F.element_at(e["parts"], -1) == name)
+                return F.struct(name.alias("key"), last(same)["value"].alias("value"))
+
+            value = F.to_variant_object(F.map_from_entries(F.transform(names, member)))
+            return part(top, value, F.array_max(F.transform(members, lambda e: e["at"])))
+
+        frame = frame.withColumn(into, F.concat(place, F.transform(F.col(f"`{into}__tops`"), rebuilt)))
+        frame = frame.drop(f"{into}__deep", f"{into}__tops")
+    whole = F.get(place, F.lit(0))["value"]
+    empty = F.to_variant_object(F.map_from_entries(F.array().cast("array<struct<key:string,value:variant>>")))
+    return frame.withColumn(into, F.when(own.isNotNull(), F.coalesce(whole, empty)))
+
+
+def unmapped(frame: DataFrame, flat: str, names: str, into: str) -> DataFrame:
+    """``frame`` with ``into``, the objects rebuilt from flat names and their paths of any length."""
+    entries = _known_entries(F.col(f"`{flat}`"), F.col(f"`{names}`"))
+    return unflattened(frame.withColumn(f"{into}__entries", entries), f"{into}__entries", into).drop(f"{into}__entries")

@@ -349,6 +349,7 @@ FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
 SELECT event_id, concat('a0.a1.a2.a3.a4.a5.a6.a7.a8.a9.a10.a11.', k) AS path,
        json_extract_string(props, concat('$.', k)) AS value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
+    "unflatten_deep": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "unflatten_types": """
 SELECT event_id, CAST(ts AS DATE) AS day, value, user_id AS who, 'DATE' AS day_kind, 'DOUBLE' AS value_kind
 FROM events""",

@@ -144,14 +144,26 @@ def flatten_variant(spark: SparkSession, folder: str) -> DataFrame:
 
 def flatten_deep(spark: SparkSession, folder: str) -> DataFrame:
     """The properties of events below twelve levels of objects; the depth comes from the data."""
-    opened = "".join(f'{{"a{i}":' for i in range(12))
-    text = F.concat(F.lit(opened), "props", F.lit("}" * 12))
-    events = corpus.table(spark, folder, "events").select("event_id", F.parse_json(text).alias("deep"))
-    depth = props.variant_depth(events, F.col("deep"))
-    rows = events.select("event_id", F.explode(props.flatten_variant(F.col("deep"), max_depth=depth)).alias("p"))
+    rows = props.flattened(_deep_events(spark, folder, 12), "deep", "entries").select("event_id", F.explode("entries").alias("p"))
     return rows.select("event_id", F.col("p.path").alias("path"), F.col("p.value").cast("string").alias("value"))
 
 
+def _deep_events(spark: SparkSession, folder: str, levels: int) -> DataFrame:
+    opened = "".join(f'{{"a{i}":' for i in range(levels))
+    text = F.concat(F.lit(opened), "props", F.lit("}" * levels))
+    return corpus.table(spark, folder, "events").select("event_id", F.parse_json(text).alias("deep"))
+
+
+def unflatten_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """Properties below twenty levels, flattened to flat names and rebuilt by their paths."""
+    entries = props.flattened(_deep_events(spark, folder, 20), "deep", "entries").withColumns(
+        {"names": props.property_map(F.col("entries")), "flat": props.flat_properties(F.col("entries"))}
+    )
+    back = props.unmapped(entries.select("event_id", "names", "flat"), "flat", "names", "back")
+    path = "$" + "".join(f".a{i}" for i in range(20))
+    return back.select("event_id", F.variant_get("back", path + ".k", "bigint").alias("k"))
+
+
 def unflatten_types(spark: SparkSession, folder: str) -> DataFrame:
     """Dates, times and numbers of events keep their types in a rebuilt object."""
     given = {"when.day": F.to_date("ts"), "when.time": F.col("ts"), "value": F.col("value"), "who": F.col("user_id")}
@@ -609,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "knn_tiles": knn_tiles,
     "native_distance": native_distance,
     "search_stored": search_stored,
+    "unflatten_deep": unflatten_deep,
     "unflatten_types": unflatten_types,
     "uuid_normalise": uuid_normalise,
     "vector_search": vector_search,

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -130,3 +131,34 @@ def test_uuids(spark):
     assert uuid_list(good) == [good.lower()]
     with pytest.raises(ValueError):
         uuid_list(["nope"])
+
+
+def test_any_depth(spark):
+    """Objects of different depths, in a column and in a field of a struct, there and back."""
+    opened = "".join(f'{{"a{i}":' for i in range(20))
+    texts = [f'{opened}{{"x": 1, "y": [1, {{"z": 2}}], "n": null}}{"}" * 20}', '{"a0": {"b": "text"}}', '{"c": 2.5}', "{}", None, "7"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = rows.select("id", F.parse_json("text").alias("v"))
+    flat = props.flattened(rows, "v", "entries")
+    found = {r["id"]: r["n"] for r in flat.select("id", F.size("entries").alias("n")).collect()}
+    assert found == {0: 3, 1: 1, 2: 1, 3: 0, 4: 0, 5: 1}
+    back = props.unflattened(flat.where("id < 3"), "entries", "back")
+    same = back.select("id", F.to_json("v").alias("a"), F.to_json("back").alias("b")).collect()
+    assert all(json.loads(r["a"]) == json.loads(r["b"]) for r in same)
+    nested = rows.select("id", F.struct("id", F.struct("v").alias("in")).alias("s"))
+    paths = props.flattened(nested.where("id = 0"), "s", "e").select(F.explode("e.path")).collect()
+    assert max(len(r[0].split(".")) for r in paths) == 23
+    assert props.flattened(rows.limit(0), "v", "entries").count() == 0
+    assert props.unflattened(flat.limit(0), "entries", "back").count() == 0
+
+
+def test_folding_is_the_expression(spark):
+    """Both ways back give the same objects, also where a leaf and an object share a path."""
+    paths = ["a", "a.b", "a.b.c", "d.e", "a.b", "d", "d.e.f", "g", "a.x", "g"]
+    rng = random.Random(3)
+    rows = [(i, [(rng.choice(paths), j) for j in range(rng.randrange(8))]) for i in range(60)]
+    frame = spark.createDataFrame([*rows, (99, None)], "i int, e array<struct<path:string,value:int>>")
+    frame = frame.withColumn("e", F.transform("e", lambda e: F.struct(e["path"].alias("path"), e["value"].cast("variant").alias("value"))))
+    both = props.unflattened(frame, "e", "folded").withColumn("built", props.unflatten_properties(F.col("e")))
+    for r in both.select("i", F.to_json("folded").alias("a"), F.to_json("built").alias("b")).collect():
+        assert (r["a"] and json.loads(r["a"])) == (r["b"] and json.loads(r["b"])), rows[r["i"]] if r["i"] < 60 else None
