@@ -66,7 +66,7 @@ def _raked_mix() -> str:
 
 
 def _url_templates() -> str:
-    """The tree level by level, each a few common tables."""
+    """The tree level by level, each a few common tables; nodes below ``DEPTH`` segments are not followed."""
     t = url_templates
     parts = """
         WITH found AS (
@@ -96,12 +96,12 @@ def _url_templates() -> str:
             SELECT host, template, shape[{level + 1}] AS branch, sum(pages) AS pages, sum(labelled) AS labelled, sum(good) AS good
             FROM tree{level} WHERE len(shape) > {level} GROUP BY ALL),
         nodes{level} AS (
-            SELECT *, count(*) OVER node AS ways, sum(pages) OVER node AS all_pages,
+            SELECT *, count(*) OVER node AS ways,
                    (sum(good) OVER node + 1) / (sum(labelled) OVER node + 2) AS mean
             FROM branches{level} WINDOW node AS (PARTITION BY host, template)),
         named{level} AS (
             SELECT host, template, branch, CASE WHEN ways > 1 AND (
-                (ways >= {t.MANY} AND all_pages < {t.FEW} * ways)
+                (ways >= {t.MANY} AND pages < {t.FEW})
                 OR abs(good - labelled * mean) <= {t.Z} * sqrt(mean * (1 - mean) * greatest(labelled, 1)))
                 THEN '*' ELSE branch END AS name
             FROM nodes{level}),

@@ -15,7 +15,8 @@ are used, and beyond the pages themselves only distinct shapes are moved.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; pages without a label
 count for a template's size alone; several labels of a page count as their mean; repeated pages each
-have their row; no labels block nothing; segments below ``DEPTH`` are one wildcard ``**``.
+have their row; no labels block nothing. Paths are followed as deep as they go; below ``DEPTH`` segments
+only where the labelled pages of a node differ, else what follows is one wildcard ``**``.
 """
 
 from __future__ import annotations
@@ -65,24 +66,25 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def shape_of(path: Column, depth: int = DEPTH) -> Column:
-    """Segments with their variable parts marked, as an array of at most ``depth`` and a rest."""
+def shape_of(path: Column) -> Column:
+    """All segments with their variable parts marked."""
     def shaped(part: Column) -> Column:
         hexadecimal = part.rlike(r"^[0-9a-fA-F-]{8,}\z") & part.rlike("[0-9]") & part.rlike("[a-fA-F-]")
         return F.when(hexadecimal, "<x>").otherwise(F.regexp_replace(part, "[0-9]+", "<n>"))
 
-    parts = F.transform(F.filter(F.split(path, "/"), lambda p: p != ""), shaped)
-    rest = F.when(F.size(parts) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(parts, 1, depth), rest)
+    return F.transform(F.filter(F.split(path, "/"), lambda p: p != ""), shaped)
 
 
 def templates(shapes: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``host, shape, template`` from ``host, shape, pages, labelled, good`` (one row per shape)."""
-    deepest = min(shapes.agg(F.max(F.size("shape"))).first()[0] or 0, depth + 1)
-    tree = shapes.withColumn("template", F.lit(""))
-    copy = None
-    for level in range(deepest):
-        tree = tree.withColumn("branch", F.get("shape", F.lit(level)))
+    """``host, shape, template`` from ``host, shape, pages, labelled, good`` (one row per shape).
+
+    Below ``depth`` segments only nodes whose labelled pages differ are followed, as far as they go; the
+    rest of any other node is one ``**``.
+    """
+    tree = shapes.withColumns({"template": F.lit(""), "open": F.lit(True)})
+    copy, level = None, 0
+    while not tree.where(F.col("open") & (F.size("shape") > level)).isEmpty():
+        tree = tree.withColumn("branch", F.when(F.col("open"), F.get("shape", F.lit(level))))
         below = tree.where("branch IS NOT NULL")
         branches = below.groupBy("host", "template", "branch").agg(*[F.sum(c).alias(c) for c in ("pages", "labelled", "good")])
         nodes = branches.groupBy("host", "template").agg(
@@ -95,18 +97,27 @@ def templates(shapes: DataFrame, depth: int = DEPTH) -> DataFrame:
         alike = F.abs(F.col("good") - F.col("labelled") * share) <= Z * error
         rare = (F.col("ways") >= MANY) & (F.col("pages") < FEW)
         wild = (F.col("ways") > 1) & (rare | alike)
+        differ = (F.col("all_good") > 0) & (F.col("all_good") < F.col("all_labelled"))
+        ends = F.lit(False) if level < depth else ~differ
         # AQE splits the node of a host that has very many shapes
         named = branches.join(nodes, ["host", "template"]).select(
-            "host", "template", "branch", F.when(wild, "*").otherwise(F.col("branch")).alias("name")
+            "host",
+            "template",
+            "branch",
+            F.when(ends, "**").when(wild, "*").otherwise(F.col("branch")).alias("name"),
+            (~ends).alias("goes_on"),
         )
-        tree = tree.join(named, ["host", "template", "branch"], "left").withColumn(
-            "template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "name"), F.lit("")))
+        tree = tree.join(named, ["host", "template", "branch"], "left").withColumns(
+            {
+                "template": F.concat("template", F.coalesce(F.concat(F.lit("/"), "name"), F.lit(""))),
+                "open": F.coalesce("goes_on", F.lit(False)),
+            }
         )
-        new, new_copy = staged(tree.drop("branch", "name"), "templates")
+        new, new_copy = staged(tree.drop("branch", "name", "goes_on"), "templates")
         if copy:
             remove(tree.sparkSession, copy)
-        tree, copy = new, new_copy
-    return tree
+        tree, copy, level = new, new_copy, level + 1
+    return tree.drop("open")
 
 
 def judged_urls(pages: DataFrame, labels: DataFrame, rules=RULES, depth: int = DEPTH) -> DataFrame:
@@ -115,7 +126,7 @@ def judged_urls(pages: DataFrame, labels: DataFrame, rules=RULES, depth: int = D
     ``labels`` has ``doc_id`` (the page) and ``quality``, 1 for good.
     """
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    placed = parts.withColumn("shape", shape_of(F.col("path"), depth))
+    placed = parts.withColumn("shape", shape_of(F.col("path")))
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("page_id"))
     known = known.agg(F.avg("quality").alias("good"))
     labelled = placed.select("page_id", "host", "shape").join(known, "page_id", "left")

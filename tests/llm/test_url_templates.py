@@ -1,6 +1,11 @@
+import random
+
+import oracle
 from pyspark.sql import functions as F
 
 from chunkloom.llm import url_templates as ut
+from chunkloom.llm.oracles import ORACLES
+from chunkloom.llm.queries import QUERIES
 
 PAGES = "page_id bigint, url string, html string, host string"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -77,3 +82,39 @@ def test_hot_branch_beside_a_long_tail_is_judged_by_itself(spark):
     rows = judged(spark, urls, [(i, 1 - quality, 0) for i, quality, _ in labels])
     assert {r["verdict"] for i, r in rows.items() if i >= 10_000} == {"allow"}
     assert {r["verdict"] for i, r in rows.items() if i < 10_000} == {"block"}
+
+
+def test_branches_that_part_far_below(spark):
+    """Good and bad pages that part at the twelfth segment are told apart there."""
+    start = "http://h.net/" + "/".join("abcdefghijk")
+    urls, labels = [], []
+    for i in range(120):
+        part = "good" if i % 2 else "bad"
+        urls.append((i, f"{start}/{part}/page{i}"))
+        labels.append((i, i % 2, 0))
+    urls += [(500, f"{start}/bad/new"), (501, f"{start}/good/new"), (502, "http://k.net/" + "/".join("abcdefghijkl"))]
+    rows = judged(spark, urls, labels)
+    assert {r["verdict"] for i, r in rows.items() if i < 120 and i % 2 == 0} == {"block"}
+    assert {r["verdict"] for i, r in rows.items() if i < 120 and i % 2} == {"allow"}
+    assert (rows[500]["verdict"], rows[501]["verdict"]) == ("block", "allow")
+    assert rows[502]["template"] == "/a/b/c/d/e/f/g/h/**"
+
+
+def test_sql_is_the_operator_beside_a_long_tail(spark, tmp_path):
+    """A hot bad branch beside very many small ones."""
+    rng = random.Random(8)
+    tail = ["".join(rng.choice("abcdef") for _ in range(7)) for _ in range(400)]
+    urls = [(i, f"http://h.net/{t}/x") for i, t in enumerate(tail)]
+    urls += [(1000 + i, f"http://h.net/spam/{rng.choice('pqrs')}/p{i}") for i in range(600)]
+    urls += [(2000 + i, f"http://k.net/{rng.choice(['a', 'b', 'c'])}/{i}") for i in range(90)]
+    labels = [(i, int(i < 1000 or i >= 2000 and rng.random() < 0.7), 0) for i, _ in urls if i % 3 == 0]
+    pages = spark.createDataFrame([(i, u, "", "") for i, u in urls], PAGES)
+    given = spark.createDataFrame(labels, LABELS)
+    for name, frame in (("pages", pages), ("labels", given)):
+        frame.toPandas().to_parquet(tmp_path / f"{name}.parquet")
+    names, expected = oracle.oracle_rows(oracle.connect(str(tmp_path)), ORACLES["op8_url_templates"])
+    found = QUERIES["op8_url_templates"](spark, str(tmp_path))
+    rows = [tuple(r) for r in found.collect()]
+    assert oracle.bag(found.columns, rows) == oracle.bag(names, expected)
+    verdicts = {r["page_id"]: r["verdict"] for r in found.collect()}
+    assert {verdicts[1000 + i] for i in range(600)} == {"block"} and {verdicts[i] for i in range(400)} == {"allow"}
