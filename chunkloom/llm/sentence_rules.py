@@ -1,7 +1,8 @@
 """Licence recognition: known sentences become identifiers, identifier sequences meet ordered rules.
 
 A text is cut into sentences at line ends and behind sentence marks; lines without a mark at their end
-also join the next ones, up to ``MAX_LINES``, as wrapped licence texts do. A sentence is normalised
+also join the next ones, as wrapped licence texts do, as long as what they make can still become a known
+sentence, over however many lines. A sentence is normalised
 (lower case, letters and digits only, the many ways to say "licensed under" made one) and looked up
 among the known licence sentences. The identifiers a text gives, in order, are then read from left to
 right: the first rule of the list whose identifiers follow there, with at most ``MAX_GAP`` others
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 
 from chunkloom.llm.common import Columns, binary_text, lists, map_columns
 
-MAX_LINES = 12
 MAX_GAP = 2
 
 # Names under which licences are referred to, and their SPDX identifiers.
@@ -121,6 +121,29 @@ def _known() -> dict[str, str]:
 KNOWN = _known()
 
 
+def _beginnings() -> frozenset[str]:
+    """Everything that known sentences begin with, word by word."""
+    words = (sentence.split() for sentence in KNOWN)
+    return frozenset(" ".join(w[:i]) for w in words for i in range(1, len(w) + 1))
+
+
+_BEGINNINGS = _beginnings()
+# Words before the "under" of a reference, and between that and the name.
+_LEAD = frozenset(
+    "this the all our a an is are made available licensed licenced released distributed published provided "
+    "under according to terms and conditions of".split()
+) | {noun + s for noun in "work software text document page file article content code site project program material".split() for s in ("", "s")}
+_LEAD_WORDS = 16
+
+
+def may_go_on(plain: str) -> bool:
+    """Whether a normalised text can be the beginning of a known sentence."""
+    if plain in _BEGINNINGS:
+        return True
+    words = plain.split()
+    return bool(words) and len(words) <= _LEAD_WORDS and all(w in _LEAD for w in words)
+
+
 class Hints:
     """Words of which every text with a known sentence has at least one; other texts need no closer look.
 
@@ -175,12 +198,15 @@ def sentence_ids(text: str) -> list[str]:
     found, at = [], 0
     while at < len(units):
         joined, best = units[at], None
-        for last in range(at, min(len(units), at + MAX_LINES)):
+        for last in range(at, len(units)):
             if last > at:
                 joined += " " + units[last]
-            key = KNOWN.get(normalised(joined))
+            plain = normalised(joined)
+            key = KNOWN.get(plain)
             if key:
                 best = (key, last)
+            if not may_go_on(plain):
+                break
             # sentences with a semicolon inside go on behind it
             if joined.rstrip()[-1:] in ".!?:" and not joined.rstrip().endswith(("v.", "Inc.")):
                 break

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from chunkloom.llm import sentence_rules as sr
@@ -27,6 +29,9 @@ def wrapped(text, width=60):
         (MIT, ["MIT"]),
         (wrapped(MIT), ["MIT"]),
         (wrapped(MIT).replace("\n", " \n  "), ["MIT"]),
+        (wrapped(MIT, 20), ["MIT"]),
+        (wrapped(MIT, 1), ["MIT"]),
+        (wrapped("This work is made available under the terms and conditions of the MIT License", 1), ["MIT"]),
         (". ".join(sr.SENTENCES[k] for k in ("bsd.grant", "bsd.source", "bsd.binary", "bsd.names")) + ".", ["BSD-3-Clause"]),
         (". ".join(sr.SENTENCES[k] for k in ("bsd.grant", "bsd.source", "bsd.binary")) + ".", ["BSD-2-Clause"]),
         ("This program is free software: " + sr.SENTENCES["gpl.terms3"] + ".", ["GPL-3.0-or-later"]),
@@ -76,3 +81,35 @@ def test_no_known_sentence_is_filtered_out(spark):
         assert row["sentence_ids"] == sr.sentence_ids(text) != []
         assert named is None or row["licences"] == named
     assert all(sr._HINTS.search(sentence.upper().encode()) for sentence in sr.KNOWN)
+
+
+def plain_ids(text):
+    """Every run of units against the table, the longest first; a run ends at the first end of a sentence."""
+    units = [u for u in sr._ENDS.split(text) if u and not u.isspace()]
+
+    def ends(unit):
+        return unit.rstrip()[-1:] in ".!?:" and not unit.rstrip().endswith(("v.", "Inc."))
+
+    found, at = [], 0
+    while at < len(units):
+        stop = next((i for i in range(at, len(units)) if ends(" ".join(units[at : i + 1]))), len(units) - 1)
+        for last in range(stop, at - 1, -1):
+            key = sr.KNOWN.get(sr.normalised(" ".join(units[at : last + 1])))
+            if key:
+                found.append(key)
+                at = last
+                break
+        at += 1
+    return found
+
+
+def test_recognition_is_a_plain_search_of_all_windows():
+    rng = random.Random(9)
+    known = [*sr.SENTENCES.values(), *(f"This work is licensed under the {name}" for name in sr.NAMES), "Released under CC0"]
+    other = ["under the", "this software", "Permission is", "all", "The quick brown fox", "licensed", "v.", "Redistribution and use; in"]
+    for _ in range(300):
+        parts = [rng.choice(known if rng.random() < 0.5 else other) for _ in range(rng.randrange(1, 6))]
+        text = "".join(p + rng.choice([". ", "\n", ".\n", "; ", " "]) for p in parts)
+        words = text.split(" ")
+        text = "".join(w + rng.choice([" ", " ", " ", "\n"]) for w in words)
+        assert sr.sentence_ids(text) == plain_ids(text), text
