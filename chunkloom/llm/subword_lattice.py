@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import Columns, binary_text, kept_in_process, lists, map_columns
+from chunkloom.llm.common import Columns, binary_text, kept_in_process, lists, map_columns, text_digest
 from chunkloom.operators.storage import staged
 
 FREQUENT = 400_000
@@ -189,7 +189,7 @@ def score_documents(
     picked = docs.select(
         F.col(id_column).alias("doc_id"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.hash(text_column).alias("tie"),
+        text_digest(text_column).alias("tie"),
         binary_text(text_column).alias("text"),
     )
     counted, _ = staged(word_counts(picked.select((~F.col("held_out")).alias("training"), "text")), "words")
@@ -216,7 +216,7 @@ def score_documents(
         return kept_in_process("words", shared_key, read)
 
     id_type = docs.schema[id_column].dataType.simpleString()
-    key = f"doc_id {id_type}, held_out boolean, tie int"
+    key = f"doc_id {id_type}, held_out boolean, tie binary"
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
         known = known_words()

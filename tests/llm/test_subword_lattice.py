@@ -69,3 +69,18 @@ def test_documents(spark, frequent):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert sl.score_documents(docs, sl.held_out_seventh(), MODEL).count() == 0
+
+
+def test_texts_of_one_id_with_one_32_bit_hash(spark):
+    """Two texts that a 32-bit hash takes for one are scored each by itself, under one id as under two."""
+    texts = ["w254943", "w267111"]
+    assert len({r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("hash(t)").collect()}) == 1
+
+    def scores(ids):
+        docs = spark.createDataFrame([*zip(ids, texts, strict=True), (7, "other words")], "doc_id bigint, text string")
+        found = sl.score_documents(docs, sl.held_out_seventh(), MODEL).where("doc_id IS NULL OR doc_id <> 7")
+        return sorted(round(r["score"], 9) for r in found.collect())
+
+    a, b = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2][:2]  # none is held out
+    assert scores([a, a]) == scores([None, None]) == scores([a, b])
+    assert len(set(scores([a, a]))) == 2
