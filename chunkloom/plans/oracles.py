@@ -270,6 +270,13 @@ LATEST = (
 )
 NOT_LATEST = "NOT EXISTS (SELECT 1 FROM latest l WHERE l.chunk_id = c.chunk_id AND l.tenant = c.tenant)"
 
+PRESENT = f"""
+present AS (
+  SELECT chunk_id, tenant, content FROM chunks c WHERE {NOT_LATEST}
+  UNION ALL SELECT chunk_id, tenant, content FROM latest
+)"""
+PRESENT_TEXTS = TEXTS.replace("FROM chunks WHERE", "FROM present WHERE")
+
 STORED_BM25 = r"""
 current AS (
   SELECT chunk_id, tenant, content FROM chunks c WHERE """ + NOT_LATEST + r""" AND language IS DISTINCT FROM 'fr'
@@ -415,6 +422,9 @@ SELECT request_id, chunk_id, rank * 2, FALSE, hierarchy_level FROM hits""", _pai
     "text_search": _with("""
 SELECT request_id, chunk_id, round(distance, 6) AS distance, rank FROM near_ranked
 WHERE rank <= 10""", TEXTS, HASHED),
+    "text_search_stored": _with("""
+SELECT request_id, chunk_id, round(distance, 6) AS distance, rank FROM near_ranked
+WHERE rank <= 10""", UPSERT, PRESENT, PRESENT_TEXTS, HASHED),
     "bm25": _with("""
 SELECT request_id, chunk_id, round(score, 6) AS score, rank
 FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, chunk_id) AS rank

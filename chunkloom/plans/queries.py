@@ -22,6 +22,7 @@ from chunkloom.plans import search
 from chunkloom.plans.answer import answer
 from chunkloom.sources import catalog, corpus
 from chunkloom.sources.catalog import scan_collection, scan_tenant
+from chunkloom.sources.fetch import fetch_stored
 from chunkloom.streaming.ingest import ingest, stream_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -416,6 +417,24 @@ def bm25(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("request_id", "chunk_id", F.round("score", 6).alias("score"), "rank")
 
 
+def text_search_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks without vectors, embedded as they are stored and as they are replaced; then searched."""
+    name, _ = _scratch(spark)
+    bare = corpus.documents(spark, folder).withColumn(
+        "chunks", F.transform("chunks", lambda c: c.withField("embedding", F.lit(None).cast("array<float>")))
+    )
+    batch = corpus.upsert_batch(spark, folder)
+    for tenant in TENANTS:
+        catalog.create_tenant(spark, name, tenant)
+        mine = bare.where(F.col("tenant") == tenant).drop("tenant")
+        catalog.persist_documents(spark, name, mine, tenant, embed=hashed_term_vector)
+        revised = batch.where(F.col("tenant") == tenant).drop("tenant")
+        catalog.persist_chunks(spark, name, revised, tenant, embed=hashed_term_vector)
+    requests = corpus.text_requests(spark, folder)
+    chunks, fetch = scan_collection(spark, name), fetch_stored(spark, name)
+    return _hits(search.text_search(chunks, requests, {"top": 10}, by_file=False, fetch=fetch))
+
+
 def hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
     """Each benchmark text together with the embedding of the same number."""
     vectors = corpus.vector_requests(spark, folder).select("request_id", "query_embedding")
@@ -657,6 +676,7 @@ QUERIES: dict[str, Query] = {
     "parent_replace": _parents("replace"),
     "parent_include": _parents("include"),
     "text_search": text_search,
+    "text_search_stored": text_search_stored,
     "bm25": bm25,
     "hybrid_search": hybrid_search,
     "upsert_rows": upsert_rows,

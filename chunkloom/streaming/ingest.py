@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from chunkloom.operators.ingest import Embedder
 from chunkloom.schema import document_schema
 from chunkloom.sources.catalog import persist_documents
 
@@ -22,12 +23,16 @@ def ingest(
     checkpoint: str,
     tenant: str | None = None,
     vector_name: str | None = None,
+    embed: Embedder | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Upsert every micro-batch; a replayed batch writes the same rows under the same ids."""
+    """Upsert every micro-batch; a replayed batch writes the same rows under the same ids.
+
+    With ``embed``, chunks that come without a vector are stored with one.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        persist_documents(batch.sparkSession, collection, batch, tenant, vector_name)
+        persist_documents(batch.sparkSession, collection, batch, tenant, vector_name, embed=embed)
 
     writer = documents.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
