@@ -95,6 +95,27 @@ def auto_cut(ranked: DataFrame) -> DataFrame:
     )
 
 
+def auto_cut_first(first: DataFrame) -> DataFrame:
+    """``auto_cut`` of the first hits of each request, told the ``total, low, high`` of all of them.
+
+    Adds ``cut_group`` and ``settled``: whether these hits hold the place of the cut, or are all there
+    are. The last of them has no neighbour behind it, so it is only judged where it ends the whole list.
+    """
+    whole = Window.partitionBy("request_id")
+    in_order = whole.orderBy("rank")
+    bulge = _bulge(F.col("rank"), F.col("total"), F.col("distance"), F.col("low"), F.col("high"))
+    marked = first.withColumn("bulge", bulge)
+    here, below = F.col("bulge"), F.lag("bulge", 1).over(in_order)
+    ends = F.col("rank") == F.col("total")
+    other = F.when(ends, F.lag("bulge", 2).over(in_order)).otherwise(F.lead("bulge", 1).over(in_order))
+    starts = F.coalesce((here > below) & (here > other), F.lit(False)).cast("int")
+    grouped = marked.withColumn("starts", starts).withColumn("cut_group", F.sum("starts").over(in_order))
+    settled = (F.max("rank").over(whole) == F.col("total")) | (
+        F.max("cut_group").over(whole) >= F.col("auto_limit")
+    )
+    return grouped.withColumn("settled", settled).drop("bulge", "starts")
+
+
 def auto_cut_all(ranked: DataFrame, largest_limit: int) -> DataFrame:
     """``auto_cut`` for result lists without a bound.
 

@@ -7,22 +7,23 @@ pairs are never emitted. A request without ``top`` gets all its hits within ``ho
 The product only screens: a bound on its rounding error is added to the cut-off, and what passes
 is scored again pair by pair. Distances, and so ties, do not depend on how Spark cuts the batches.
 
-A small batch of requests goes to the tasks as one broadcast. A larger one is packed
-into blocks, chunks are packed likewise, and an equi-join on a slot number meets every chunk block
-with every request block; both sides are shuffled and neither has to fit in memory.
+A small batch of requests goes to the tasks as one broadcast. A larger one is cut into groups that
+fit in a task, and chunks are dealt to slots. Each (slot, group) is one partition: its requests come
+first and stay, its chunks follow and are read once, and only the nearest hits of each request leave.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.operators.requests import BatchProfile
+from chunkloom.operators.requests import SMALL_REQUESTS, BatchProfile
 
 POOL_ROWS = 1 << 20  # hits kept per task on the broadcast path
 BLOCK_REQUESTS = 512
@@ -30,6 +31,7 @@ BLOCK_CHUNKS = 2048
 _CELLS = 1 << 21  # scores held at once by the kernel
 _PAIR_CELLS = 1 << 22  # vector elements held at once when pairs are scored again
 _TILE = 1 << 15
+_REQUESTS, _CHUNKS = 0, 1  # requests are sorted before the chunks they meet
 
 HIT_DDL = (
     "request_id string, tenant string, chunk_id string, parent_id string, "
@@ -191,10 +193,17 @@ def nearest_first(
 def score(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Table]]:
     """Hits of one batch of chunks: request rows, distances and the chunks' own columns."""
     chunks = in_id_order(chunks)
+    carried = chunks.select(["tenant", "chunk_id", "parent_id"])
+    for r, distance, place in hits(block, chunks):
+        near = nearest_first(block, r, distance, place)
+        yield r[near], distance[near], carried.take(pa.array(place[near]))
+
+
+def hits(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Request rows, distances and chunk rows of the pairs of one batch that may be hits."""
     vectors = {
         slot: matrix(chunks[f"v{slot}"].combine_chunks()) for slot in {g[0] for g in block.groups}
     }
-    carried = chunks.select(["tenant", "chunk_id", "parent_id"])
     for slot, method, spec, rows, queries in block.groups:
         present, stored = vectors[slot]
         chosen = with_spec(chunks, spec)[present]
@@ -220,9 +229,7 @@ def score(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, n
                 qi, cj = i[at : at + pairs], j[at : at + pairs]
                 distance = pair_distance(queries[qi], part[cj], method)
                 near = np.flatnonzero(distance <= block.horizon[rows[qi]])
-                near = near[nearest_first(block, rows[qi[near]], distance[near], cj[near])]
-                found = carried.take(pa.array(present[start + cj[near]]))
-                yield rows[qi[near]], distance[near], found
+                yield rows[qi[near]], distance[near], present[start + cj[near]]
 
 
 class HitPool:
@@ -325,23 +332,48 @@ def over_blocks(
 
         return chunks.mapInArrow(scan_batches, ddl)
 
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunk_blocks = _prefixed(_packed(chunks, BLOCK_CHUNKS), "c_").withColumn(
-        "slot_no", F.pmod(F.xxhash64(F.get("c_chunk_id", F.lit(0))), F.lit(slots))
+    groups = request_groups(batch)
+    slots = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // groups)
+
+    def dealt(no: Column, ways: int) -> Column:
+        return F.pmod(F.xxhash64(no), F.lit(ways)).cast("int")
+
+    def everywhere(ways: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
+
+    request_blocks = _prefixed(_packed(requests, BLOCK_REQUESTS), "q_").withColumns(
+        {"kind": F.lit(_REQUESTS), "group_no": dealt(F.get("q_request_id", F.lit(0)), groups), "slot_no": everywhere(slots)}
     )
-    request_blocks = _prefixed(_packed(requests, BLOCK_REQUESTS), "q_").withColumn(
-        "slot_no", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<bigint>"))
+    chunk_blocks = _prefixed(_packed(chunks, BLOCK_CHUNKS), "c_").withColumns(
+        {"kind": F.lit(_CHUNKS), "group_no": everywhere(groups), "slot_no": dealt(F.get("c_chunk_id", F.lit(0)), slots)}
     )
-    tiles = chunk_blocks.join(request_blocks.hint("merge"), "slot_no").drop("slot_no")
+    met = request_blocks.unionByName(chunk_blocks, allowMissingColumns=True)
+    met = met.withColumn("place", F.col("slot_no") * groups + F.col("group_no")).drop("slot_no", "group_no")
+    tiles = met.repartitionById(slots * groups, "place").sortWithinPartitions("place", "kind")
 
     def scan_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in batches:
-            for row in range(tile.num_rows):
-                yield from process(_unpacked(tile, row, "q_"), iter([_unpacked(tile, row, "c_")]))
+        rows = ((tile, row) for tile in batches for row in range(tile.num_rows))
+        asked: list[pa.Table] = []
+        for (_, kind), blocks in groupby(rows, key=_place_and_kind):
+            if kind == _REQUESTS:
+                asked = [_unpacked(tile, row, "q_") for tile, row in blocks]
+            elif asked:
+                yield from process(pa.concat_tables(asked), (_unpacked(tile, row, "c_") for tile, row in blocks))
+                asked = []
 
     return tiles.mapInArrow(scan_tiles, ddl)
 
 
+def request_groups(batch: BatchProfile) -> int:
+    """In how many groups a batch must be cut so that the requests and hits of one fit in a task."""
+    return max(1, -(-batch.bytes // SMALL_REQUESTS), -(-batch.limited_hits // POOL_ROWS))
+
+
+def _place_and_kind(block: tuple[pa.RecordBatch, int]) -> tuple[int, int]:
+    tile, row = block
+    return tile.column("place")[row].as_py(), tile.column("kind")[row].as_py()
+
+
 def scan(
     chunks: DataFrame,
     requests: DataFrame,
@@ -360,3 +392,33 @@ def scan(
         return collect_hits(block, (hit for chunks in batches for hit in score(block, chunks)))
 
     return over_blocks(chunks, requests, batch, nearest, HIT_DDL, in_tiles)
+
+
+SPREAD_DDL = "request_id string, total bigint, low double, high double"
+
+
+def spreads(chunks: DataFrame, requests: DataFrame, batch: BatchProfile) -> DataFrame:
+    """``request_id, total, low, high``: number, least and largest distance of all hits per request.
+
+    Arguments as for ``scan``, of requests without a ``top``. Pairs are counted where they are
+    scored; a task sends one row per request.
+    """
+
+    def measure(asked: pa.Table, batches: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        block = RequestBlock(asked)
+        size = len(asked)
+        total, low, high = np.zeros(size, np.int64), np.full(size, np.inf), np.full(size, -np.inf)
+        for part in batches:
+            for r, distance, _ in hits(block, part):
+                total += np.bincount(r, minlength=size)
+                np.minimum.at(low, r, distance)
+                np.maximum.at(high, r, distance)
+        met = np.flatnonzero(total)
+        names = asked["request_id"].combine_chunks().take(pa.array(met))
+        columns = [names, pa.array(total[met]), pa.array(low[met]), pa.array(high[met])]
+        yield pa.RecordBatch.from_arrays(columns, names=["request_id", "total", "low", "high"])
+
+    partial = over_blocks(chunks, requests, batch, measure, SPREAD_DDL)
+    return partial.groupBy("request_id").agg(
+        F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")
+    )

@@ -13,15 +13,18 @@ from chunkloom.functions.distance import distance, pick_vector
 from chunkloom.functions.text import hashed_term_vector, tokens
 from chunkloom.operators import hybrid
 from chunkloom.operators.filters_by_request import by_filters, predicate
+from chunkloom.operators.ingest import Embedder
 from chunkloom.operators.parents import apply_parent_strategy, beside_requests, fetch_chunks
-from chunkloom.operators.ranking import WINDOW_TOP, auto_cut, auto_cut_all, rank_all, top_k
+from chunkloom.operators.ranking import WINDOW_TOP, auto_cut, auto_cut_all, auto_cut_first, rank_all, top_k
 from chunkloom.operators.regroup import group_by_file
 from chunkloom.operators.requests import BatchProfile, profile, settle, settle_costly, with_defaults
-from chunkloom.operators.scoring import scan
+from chunkloom.operators.scoring import scan, spreads
+from chunkloom.operators.storage import materialize
 from chunkloom.sources.catalog import scan_collection, stored_counts, stored_postings
 
 LISTED_TERMS = 2_000
-Embedder = Callable[[Column], Column]
+FIRST_TOP = 64
+TOP_STEP = 4
 Fetch = Callable[[DataFrame, BatchProfile], DataFrame]
 _IDS = ("tenant", "chunk_id", "parent_id")
 _ASKED = ("request_id", "query_embedding", "slot", "method", "top", "auto_limit", "horizon", "spec")
@@ -71,6 +74,56 @@ def ranked(hits: DataFrame, batch: BatchProfile) -> DataFrame:
     return auto_cut_all(listed, batch.auto_limit) if batch.auto_limit else listed
 
 
+def nearest_ranked(
+    chunks: DataFrame, asked: DataFrame, batch: BatchProfile, in_tiles: bool = False
+) -> DataFrame:
+    """The final hits of completed requests, with their ``rank``.
+
+    Requests with an ``auto_limit`` but no ``top`` need few of their hits, though how many only the hits
+    tell: they are cut step by step, apart from the others.
+    """
+    if batch.top is not None or not batch.auto_limit or batch.auto_limit <= 0:
+        return ranked(nearest(chunks, asked, batch, in_tiles), batch)
+    without_top = F.col("top").isNull() & F.coalesce(F.col("auto_limit") > 0, F.lit(False))
+    parts, left = _cut_in_steps(chunks, asked.where(without_top), batch)
+    for others in (asked.where(~without_top), left):
+        its = profile(others)
+        if its.count or not parts:
+            parts.append(ranked(nearest(chunks, others, its, in_tiles), its))
+    columns = parts[0].columns
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+
+
+def _cut_in_steps(
+    chunks: DataFrame, asked: DataFrame, batch: BatchProfile
+) -> tuple[list[DataFrame], DataFrame]:
+    """Hits before the cut, and the requests whose cut lies behind ``WINDOW_TOP`` hits.
+
+    One pass counts and measures all hits of a request where they are scored. Then its nearest hits are
+    looked at, more of them in each step, until they hold the start of the group that is not wanted.
+    """
+    columns = [*[F.col(c) for c in _IDS], *_vector_columns(batch)]
+    measured = reduce(
+        DataFrame.unionByName,
+        [spreads(k, n.select(*_ASKED), batch) for k, n in by_filters(chunks, _slots(asked, batch), columns)],
+    )
+    left = materialize(asked.join(measured, "request_id"))
+    parts, top = [], FIRST_TOP
+    while top <= WINDOW_TOP:
+        tried = left.withColumn("top", F.lit(top))
+        its = profile(tried)
+        if its.count == 0:
+            break
+        best = top_k(nearest(chunks, tried, its), top)
+        told = beside_requests(best, left.select("request_id", "total", "low", "high"), its)
+        seen = materialize(auto_cut_first(told))
+        before = seen.where(F.col("settled") & (F.col("cut_group") < F.col("auto_limit")))
+        parts.append(before.withColumn("top", F.lit(None).cast("int")).drop("total", "low", "high", "cut_group", "settled"))
+        left = materialize(left.join(seen.where("NOT settled").select("request_id").distinct(), "request_id", "left_semi"))
+        top *= TOP_STEP
+    return parts, left.drop("total", "low", "high")
+
+
 def _rows(
     hits: DataFrame, chunks: DataFrame, requests: DataFrame, batch: BatchProfile, fetch: Fetch | None
 ) -> DataFrame:
@@ -108,7 +161,7 @@ def vector_search(
     asked = with_defaults(requests, defaults)
     batch = profile(asked)
     asked = settle(asked, batch)
-    hits = ranked(nearest(chunks, asked, batch, in_tiles), batch)
+    hits = nearest_ranked(chunks, asked, batch, in_tiles)
     rows = _rows(hits, chunks, asked, batch, fetch)
     return group_by_file(rows, part_chunks) if by_file else rows
 

@@ -3,7 +3,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.functions.distance import distance
+from chunkloom.operators import scoring
+from chunkloom.operators.ranking import auto_cut_all, rank_all
+from chunkloom.operators.requests import profile, with_defaults
 from chunkloom.operators.scoring import pair_distance, screen
+from chunkloom.plans import search
 from chunkloom.plans.search import search_one, vector_search
 from chunkloom.schema import METHODS
 
@@ -124,3 +128,61 @@ def test_unknown_method(spark, chunks):
 def test_no_requests(spark, chunks):
     none = spark.createDataFrame([], "request_id string, query_embedding array<float>")
     assert vector_search(chunks, none, by_file=False).count() == 0
+
+
+def asked_for(spark, vectors, rows):
+    """Completed requests: (number of the vector, top, auto_limit, horizon) each."""
+    requests = spark.createDataFrame(
+        [(f"r{i}", vectors[v].tolist(), "l2-squared", top, cut, far) for i, (v, top, cut, far) in enumerate(rows)],
+        "request_id string, query_embedding array<float>, method string, top int, auto_limit int, horizon double",
+    )
+    return with_defaults(requests)
+
+
+def listed(hits):
+    return sorted((r["request_id"], r["rank"], r["chunk_id"], r["distance"]) for r in hits.collect())
+
+
+def test_only_the_nearest_leave_a_task(spark, vectors, chunks, monkeypatch):
+    asked = asked_for(spark, vectors, [(i, 3, None, None) for i in range(1, 11)])
+    batch = profile(asked)
+    monkeypatch.setattr(scoring, "BLOCK_CHUNKS", 4)
+    monkeypatch.setattr(scoring, "BLOCK_REQUESTS", 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    expected = listed(search.ranked(search.nearest(chunks, asked, batch), batch))
+    try:
+        for partitions, pool in (("1", 1 << 20), ("6", 8)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            monkeypatch.setattr(scoring, "POOL_ROWS", pool)
+            groups = scoring.request_groups(batch)
+            assert groups == (1 if pool > 30 else 4)
+            hits = search.nearest(chunks, asked, batch, in_tiles=True)
+            assert hits.count() <= 30 * max(1, int(partitions) // groups)
+            assert listed(search.ranked(hits, batch)) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_cut_in_steps_equals_cut_of_all_hits(spark, vectors, chunks, monkeypatch):
+    monkeypatch.setattr(search, "FIRST_TOP", 2)
+    monkeypatch.setattr(search, "TOP_STEP", 3)
+    monkeypatch.setattr(search, "WINDOW_TOP", 20)  # some requests are left for the way of all hits
+    rows = [(i, None, i % 4 + 1, None) for i in range(1, 9)]
+    rows += [(12, None, 30, None), (13, None, 0, 40.0), (14, None, None, None), (15, 5, 2, None), (16, None, 2, 0.0)]
+    rows += [(17, None, 1, -1.0)]  # no hit at all
+    asked = asked_for(spark, vectors, rows)
+    batch = profile(asked)
+    found = listed(search.nearest_ranked(chunks, asked, batch))
+    everything = search.nearest(chunks, asked, batch)
+    assert found == listed(auto_cut_all(rank_all(everything), batch.auto_limit))
+    assert {r[0] for r in found} == {f"r{i}" for i in range(len(rows) - 1)}
+
+
+def test_measures_of_all_hits(spark, vectors, chunks):
+    asked = asked_for(spark, vectors, [(3, None, 1, None), (4, None, 1, 30.0)])
+    batch = profile(asked)
+    columns = ["tenant", "chunk_id", "parent_id", F.col("embeddings")["default"].alias("v0")]
+    numbered = asked.withColumns({"slot": F.lit(0), "spec": F.lit(0)})
+    measured = {r["request_id"]: tuple(r)[1:] for r in scoring.spreads(chunks.select(*columns), numbered, batch).collect()}
+    hits = search.nearest(chunks, asked, batch).groupBy("request_id").agg(F.count("*"), F.min("distance"), F.max("distance"))
+    assert measured == {r["request_id"]: tuple(r)[1:] for r in hits.collect()}
