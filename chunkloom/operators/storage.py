@@ -45,6 +45,72 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``; none if it is not there."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(target)]
+
+
+def same_path(spark: SparkSession, one: str, other: str) -> bool:
+    first, second = (spark._jvm.org.apache.hadoop.fs.Path(p).toUri().getPath() for p in (one, other))
+    return first == second
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file another name; nothing happens if another job has done so."""
+    system, source = _file_system(spark, path)
+    if system.exists(source):
+        system.rename(source, _file_system(spark, to)[1])
+
+
+def move_files(spark: SparkSession, path: str, to: str) -> None:
+    """Move the files of a folder into another one of the same file system; those moved already stay."""
+    system, folder = _file_system(spark, path)
+    _, target = _file_system(spark, to)
+    if not system.exists(folder):
+        return
+    system.mkdirs(target)
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        there = spark._jvm.org.apache.hadoop.fs.Path(target, name)
+        if not system.rename(status.getPath(), there) and not system.exists(there):
+            raise OSError(f"{name} could not be moved to {to}")
+    system.delete(folder, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written under another name, then renamed."""
+    system, target = _file_system(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    stream = system.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not system.rename(part, target) and not system.exists(target):
+        raise OSError(f"{path} could not be written")
+    system.delete(part, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; None if it is not there."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at ``path``."""
     system, target = _file_system(spark, path)

@@ -454,6 +454,9 @@ FROM chunks WHERE label = 1"""),
     "persist_committed": _with(
         f"SELECT {STORED} FROM chunks c WHERE {NOT_LATEST} UNION ALL {LATEST}", UPSERT
     ),
+    "commit_replayed": _with(
+        f"SELECT {STORED} FROM chunks c WHERE {NOT_LATEST} UNION ALL {LATEST}", UPSERT
+    ),
     "delete_committed": _kept(
         "language = 'fr' OR quality = 0 OR filename = 'doc_3.txt' OR tenant = 'tenant_2'"
     ),

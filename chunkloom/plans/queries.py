@@ -629,8 +629,28 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(scan_collection(spark, name))
 
 
+def commit_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of a stream for each tenant, and both played again after the second.
+
+    The first batch played again would bring old versions back; it is known and changes nothing.
+    """
+    name, _ = _scratch(spark)
+    documents, batch = corpus.documents(spark, folder), corpus.upsert_batch(spark, folder)
+    for tenant in TENANTS:
+        catalog.create_tenant(spark, name, tenant)
+        mine = F.col("tenant") == tenant
+        for number in (0, 1, 0, 1):
+            stream = (f"feed-of-{tenant}", number)
+            if number == 0:
+                catalog.persist_documents(spark, name, documents.where(mine).drop("tenant"), tenant, stream=stream)
+            else:
+                catalog.persist_chunks(spark, name, batch.where(mine).drop("tenant"), tenant, stream=stream)
+    return _stored(scan_collection(spark, name))
+
+
 QUERIES: dict[str, Query] = {
     "bm25_stored": bm25_stored,
+    "commit_replayed": commit_replayed,
     "delete_emptied": delete_emptied,
     "describe_collection": describe_collection,
     "drop_collection": drop_collection,

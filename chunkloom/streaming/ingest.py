@@ -26,13 +26,17 @@ def ingest(
     embed: Embedder | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Upsert every micro-batch; a replayed batch writes the same rows under the same ids.
+    """Upsert every micro-batch once: the collection remembers the last batch of the stream.
 
-    With ``embed``, chunks that come without a vector are stored with one.
+    A batch that is played again after a crash changes nothing. A stream that starts anew, as after a
+    lost checkpoint, is another one and writes the same rows under the same ids. With ``embed``, chunks
+    that come without a vector are stored with one.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        persist_documents(batch.sparkSession, collection, batch, tenant, vector_name, embed=embed)
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream = (spark.sparkContext.getLocalProperty("sql.streaming.queryId"), number)
+        persist_documents(spark, collection, batch, tenant, vector_name, embed=embed, stream=stream)
 
     writer = documents.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
