@@ -1,0 +1,134 @@
+"""The whole pipeline against plain versions of its stages, written from the rules and not from the operators."""
+
+import hashlib
+import random
+import re
+import struct
+import zlib
+from itertools import combinations
+
+import pytest
+from test_raking import fitted
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from chunkloom.llm import raking
+from chunkloom.llm.queries import tokenizer_path
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def corpus():
+    """Documents with near copies, benchmark passages, bad lines, short texts and nulls; and the items."""
+    dice = random.Random(7)
+    names = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ro", "su", "ta") for b in ("rin", "del", "mos", "vat", "gul")]
+
+    def line(count):
+        return " ".join(dice.choice(names) for _ in range(count)) + "."
+
+    items = [line(20)[:-1] for _ in range(3)] + [line(6)[:-1]]
+    texts = ["\n".join(line(12) for _ in range(8)) for _ in range(30)]
+    for i in range(6):  # one changed word among 96: still a near copy
+        words = texts[i].split(" ")
+        words[40] = "changed"
+        texts.append(" ".join(words))
+    texts += [texts[9]] * 4
+    texts += [texts[i].replace("\n", f"\n{items[i % 4]}.\n", 1) for i in range(10, 16)]
+    texts += ["\n".join([line(12)] * 3), "too short.", "", None]
+    bad = " ".join(names[:14])  # no mark of a sentence
+    texts += [texts[20] + "\n" + bad, "\n".join([line(12)] + [bad] * 6 + [line(12)])]
+    texts += ["\n".join([line(30), bad, line(30)]) for _ in range(4)]
+    rows = [(i * 3 % 101, t, ("en", "de")[i % 2], ("web", "web", "book")[i % 3], len(t or "")) for i, t in enumerate(texts)]
+    return rows, [(str(i), t) for i, t in enumerate(items)]
+
+
+def quality(rows):
+    """The base rules, and of the line rules the one that the fixture's bad lines break."""
+    for key, text, *rest in rows:
+        words = WORD.findall(text or "")
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        again = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+        lines = (text or "").split("\n")
+        good = [x for x in lines if len(WORD.findall(x)) < 3 or re.search("[.!?:;,]", x)]
+        size = len("".join(words))
+        lost = size - len("".join(WORD.findall(" ".join(good))))
+        if len(words) >= 50 and 2 * len(again) <= len(words) and 2 * lost <= size:
+            cleaned = "\n".join(good)
+            yield (key, cleaned, *rest[:2], len(cleaned))
+
+
+def near_dedup(rows):
+    sets = {}
+    for key, text, *_ in rows:
+        words = WORD.findall(text.lower())
+        sets[key] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    group = {k: k for k in sets}
+    for a, b in combinations(sorted(sets), 2):
+        if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+            low, high = sorted((group[a], group[b]))
+            group = {k: low if g == high else g for k, g in group.items()}
+    return [r for r in rows if group[r[0]] == r[0]]
+
+
+def decontaminated(rows, items):
+    windows = set()
+    for _, text in items:
+        words = ITEM_WORD.findall(text.lower())
+        windows |= {tuple(words[i : i + 13]) for i in range(max(1, len(words) - 12))}
+    for row in rows:
+        words = ITEM_WORD.findall(row[1].lower())
+        hit = {i + j for w in windows for i in range(len(words) - len(w) + 1) if tuple(words[i : i + len(w)]) == w for j in range(len(w))}
+        if not hit or 20 * len(hit) < len(words):
+            yield row
+
+
+def topic(text, tokens):
+    return "note" if tokens < 100 else "prose"
+
+
+def mixed(rows):
+    tokens = {r[0]: len(WORD.findall(r[1])) for r in rows}
+    cell = {r[0]: (r[3], r[2], topic(r[1], tokens[r[0]])) for r in rows}
+    chance, *_ = fitted([(*cell[r[0]], tokens[r[0]]) for r in rows], [0.5, 0.7, 0.5], raking.ROUNDS, raking.BUDGET)
+    for row in rows:
+        drawn = int(hashlib.md5(f"{raking.SEED}:{row[0]}".encode()).hexdigest()[:13], 16) / 16**13
+        if drawn < chance[cell[row[0]]]:
+            yield row
+
+
+def test_pipeline_is_its_plain_stages(spark, tmp_path):
+    rows, items = corpus()
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    steps = [list(quality(rows))]
+    steps.append(near_dedup(steps[-1]))
+    steps.append(list(decontaminated(steps[-1], items)))
+    steps.append(list(mixed(steps[-1])))
+    sizes = [len(rows), *map(len, steps)]
+    assert all(a > b for a, b in zip(sizes, sizes[1:], strict=False)), sizes
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for (name, stage), expected in zip(corpus_pipeline.STAGES, steps, strict=False):
+        path = str(tmp_path / name)
+        stage(spark, docs, str(tmp_path)).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert sorted(map(tuple, docs.collect())) == sorted(expected), name
+    name, stage = corpus_pipeline.STAGES[-1]
+    encoder, start, written = Tokenizer.from_file(str(tokenizer_path())), 0, []
+    for key, text, *_ in sorted(steps[-1]):
+        ids = [*encoder.encode(text, add_special_tokens=False).ids, 1]
+        written.append((key, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    found = stage(spark, docs, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    assert sorted(map(tuple, found.collect())) == written
+
+
+@pytest.mark.parametrize("part", ["contaminated", "copies"])
+def test_fixture_holds_what_it_should(part):
+    rows, items = corpus()
+    kept = list(quality(rows))
+    if part == "copies":
+        assert len(kept) - len(near_dedup(kept)) >= 9
+    else:
+        assert len(kept) - len(list(decontaminated(kept, items))) >= 4
