@@ -45,7 +45,7 @@ STAGES = [
     ("token_output", token_output),
 ]
 
-# Tokenising and the odd sketches have no SQL form.
+# Tokenising has no SQL form; tests compare the run with plain versions of the stages.
 ORACLE_SQL = None
 
 
