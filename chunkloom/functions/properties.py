@@ -21,8 +21,14 @@ def flat_name_of_parts(parts: Column) -> Column:
     return flat_name(F.array_join(parts, "."))
 
 
+def _as_map(value: Column) -> Column:
+    """The members of a VARIANT object, null for anything else. It looks at one level: the schema of
+    a value would walk all that lies below."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
 def is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    return _as_map(value).isNotNull()
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -36,8 +42,7 @@ def _entry(path: Column, value: Column) -> Column:
 
 def _members(value: Column) -> Column:
     """The entries of a VARIANT object, an empty array for anything else."""
-    as_map = F.when(is_object(value), value).cast("map<string,variant>")
-    return F.coalesce(F.map_entries(as_map), F.array().cast("array<struct<key:string,value:variant>>"))
+    return F.coalesce(F.map_entries(_as_map(value)), F.array().cast("array<struct<key:string,value:variant>>"))
 
 
 def _top_members(value: Column, prefix: str) -> Column:
@@ -50,7 +55,7 @@ def _opened(entries: Column) -> Column:
 
     def members(e: Column) -> Column:
         below = lambda m: _entry(F.concat(e["path"], F.lit("."), m["key"]), m["value"])
-        return F.when(is_object(e["value"]), F.transform(_members(e["value"]), below)).otherwise(F.array(e))
+        return F.coalesce(F.transform(F.map_entries(_as_map(e["value"])), below), F.array(e))
 
     return F.flatten(F.transform(entries, members))
 
@@ -80,17 +85,18 @@ def variant_depth(frame: DataFrame, *values: Column) -> int:
 
     Lists are leaves, and what lies in them does not count. Rows may be of different kinds.
     """
-    members = [_top_members(v, "") for v in values]
-    rows, depth = frame.select(F.concat(*members).alias("entries")), 1
+    rows, depth = frame.select(F.array_compact(F.array(*[_as_map(v) for v in values])).alias("objects")), 1
     while True:
         for level in range(MAX_DEPTH):
-            objects = F.exists("entries", lambda e: is_object(e["value"]))
-            rows = rows.withColumns({f"open{level}": objects, "entries": _opened(F.col("entries"))})
+            # only objects are looked into further
+            within = F.flatten(F.transform("objects", lambda o: F.map_values(o)))
+            rows = rows.withColumn("objects", F.array_compact(F.transform(within, _as_map)))
+            rows = rows.withColumn(f"open{level}", F.size("objects") > 0)
         found = rows.agg(*[F.bool_or(f"open{level}") for level in range(MAX_DEPTH)]).first()
         below = [*found, False].index(False) if all(f is not None for f in found) else 0
         if below < MAX_DEPTH:
             return depth + below
-        rows, depth = rows.select("entries"), depth + MAX_DEPTH
+        rows, depth = rows.select("objects"), depth + MAX_DEPTH
 
 
 def _struct_leaves(
@@ -251,23 +257,48 @@ def flattened(frame: DataFrame, column: str, into: str, prefix: str = "") -> Dat
     return frame
 
 
-def _longest_path(frame: DataFrame, paths: Column) -> int:
-    """Parts of the longest of all paths, an array column, from one aggregate over it."""
-    longest = F.array_max(F.transform(paths, lambda p: F.size(F.split(p, r"\."))))
-    return frame.agg(F.max(longest)).first()[0] or 1
+def _shared_parts(one: Column, other: Column) -> Column:
+    """How many parts two paths begin with alike; 0 where there is no other."""
+    first_other = F.array_position(F.zip_with(one, other, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    alike = F.when(first_other > 0, first_other - 1).otherwise(F.size(one)).cast("int")
+    return F.when(other.isNull(), F.lit(0)).otherwise(alike)
+
+
+def _joints(entries: Column) -> Column:
+    """``array<struct<parts, value, at>>`` of entries, cut where paths of the list part.
+
+    What lies below the first part that no other path shares is an object of one member in each level:
+    it is built at once. In sorted order the path that shares most is a neighbour.
+    """
+    paths = F.array_sort(F.transform(entries, lambda e, i: F.struct(F.split(e["path"], r"\.").alias("parts"), i.alias("at"))))
+
+    def cut(ordered: Column) -> Column:
+        def joint(own: Column, i: Column) -> Column:
+            parts = own["parts"]
+            shared = [_shared_parts(parts, F.get(ordered, i + step)["parts"]) for step in (-1, 1)]
+            kept = F.greatest(*shared) + 1
+            below = F.reverse(F.slice(parts, kept + 1, F.size(parts)))
+            value = F.reduce(
+                below, F.get(entries, own["at"])["value"], lambda v, name: F.to_variant_object(F.create_map(name, v))
+            )
+            return F.struct(F.slice(parts, 1, kept).alias("parts"), value.alias("value"), own["at"].alias("at"))
+
+        return F.transform(ordered, joint)
+
+    return _let(paths, cut)
 
 
 def unflattened(frame: DataFrame, entries: str, into: str) -> DataFrame:
     """``frame`` with ``into``, the objects rebuilt from ``entries`` of paths of any length.
 
-    Like ``unflatten_properties``, but folded from the deepest level up, one row-local step per level:
-    what has a path of ``depth`` parts becomes members of the object above it. Of one path the entry, or
-    the object with a member, that comes last in the list wins.
+    Like ``unflatten_properties``, but folded from the deepest level up at which paths of a list part,
+    one row-local step per level: what has a path of ``depth`` parts becomes members of the object above
+    it. Of one path the entry, or the object with a member, that comes last in the list wins.
     """
     own, place = F.col(f"`{entries}`"), F.col(f"`{into}`")
-    depth = _longest_path(frame, F.transform(own, lambda e: e["path"]))
     part = lambda parts, value, at: F.struct(parts.alias("parts"), value.alias("value"), at.alias("at"))
-    frame = frame.withColumn(into, F.transform(own, lambda e, i: part(F.split(e["path"], r"\."), e["value"], i)))
+    frame = frame.withColumn(into, _joints(own))
+    depth = frame.agg(F.max(F.array_max(F.transform(place, lambda e: F.size(e["parts"]))))).first()[0] or 1
 
     def last(items: Column) -> Column:
         """Of a list of entries the one that comes last."""

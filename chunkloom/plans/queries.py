@@ -17,7 +17,7 @@ from chunkloom.operators.ingest import explode_documents
 from chunkloom.operators.predicates import compile_filter
 from chunkloom.operators.regroup import documents_json
 from chunkloom.operators.requests import with_defaults
-from chunkloom.operators.storage import scratch_path
+from chunkloom.operators.storage import scratch_path, spread
 from chunkloom.plans import search
 from chunkloom.plans.answer import answer
 from chunkloom.sources import catalog, corpus
@@ -152,7 +152,8 @@ def flatten_deep(spark: SparkSession, folder: str) -> DataFrame:
 def _deep_events(spark: SparkSession, folder: str, levels: int) -> DataFrame:
     opened = "".join(f'{{"a{i}":' for i in range(levels))
     text = F.concat(F.lit(opened), "props", F.lit("}" * levels))
-    return corpus.table(spark, folder, "events").select("event_id", F.parse_json(text).alias("deep"))
+    events = spread(corpus.table(spark, folder, "events").select("event_id", "props"))
+    return events.select("event_id", F.parse_json(text).alias("deep"))
 
 
 def unflatten_deep(spark: SparkSession, folder: str) -> DataFrame:

@@ -162,3 +162,39 @@ def test_folding_is_the_expression(spark):
     both = props.unflattened(frame, "e", "folded").withColumn("built", props.unflatten_properties(F.col("e")))
     for r in both.select("i", F.to_json("folded").alias("a"), F.to_json("built").alias("b")).collect():
         assert (r["a"] and json.loads(r["a"])) == (r["b"] and json.loads(r["b"])), rows[r["i"]] if r["i"] < 60 else None
+
+
+def test_lonely_tails_are_built_at_once(spark):
+    """Only parts that paths of a list share take a step of their own, however long the paths are."""
+    deep = ".".join(f"p{i}" for i in range(40))
+    frame = spark.createDataFrame(
+        [(0, [(deep, 1)]), (1, [("a.b." + deep, 2), ("a", 3), ("a.c", 4)]), (2, [(deep, 5), (deep, 6)])],
+        "i int, e array<struct<path:string,value:int>>",
+    )
+    frame = frame.withColumn("e", F.transform("e", lambda e: F.struct(e["path"].alias("path"), e["value"].cast("variant").alias("value"))))
+    sizes = frame.select("i", F.transform(props._joints(F.col("e")), lambda p: F.size(p["parts"])).alias("n")).collect()
+    assert {r["i"]: sorted(r["n"]) for r in sizes} == {0: [1], 1: [1, 2, 2], 2: [40, 40]}
+    wanted = {0: {deep: 1}, 1: {"a.b." + deep: 2, "a.c": 4}, 2: {deep: 6}}
+    for row in props.unflattened(frame, "e", "back").collect():
+        assert dict(paths(row["back"].toPython())) == wanted[row["i"]]
+
+
+def test_deep_events_are_the_work_of_all_tasks(spark, tmp_path):
+    """One small file is read by one task; what is done with its rows is not."""
+    from chunkloom.plans import queries
+
+    rows = spark.range(40).select(F.col("id").alias("event_id"), F.lit('{"k": 7}').alias("props"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    events = queries._deep_events(spark, str(tmp_path), 3)
+    assert events.rdd.getNumPartitions() == 4
+    assert {r["k"] for r in queries.unflatten_deep(spark, str(tmp_path)).collect()} == {7}
+
+
+def test_objects_are_told_without_their_whole_schema(spark):
+    """The schema of a value walks all that lies below it, once more on every level."""
+    values = [{"a": {}}, {"a": []}, {"a": None}, {"a": "OBJECT"}, {"a": {"b": 1}}, 7, None]
+    frame = variants(spark, values)
+    flat = props.flattened(frame, "v", "e")
+    assert "schema_of_variant" not in flat._jdf.queryExecution().analyzed().toString()
+    found = {r["i"]: r["o"] for r in frame.select("i", props.is_object(F.variant_get("v", "$.a", "variant")).alias("o")).collect() if r["i"] < 5}
+    assert found == {0: True, 1: False, 2: False, 3: False, 4: True}
