@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -186,3 +188,36 @@ def test_measures_of_all_hits(spark, vectors, chunks):
     measured = {r["request_id"]: tuple(r)[1:] for r in scoring.spreads(chunks.select(*columns), numbered, batch).collect()}
     hits = search.nearest(chunks, asked, batch).groupBy("request_id").agg(F.count("*"), F.min("distance"), F.max("distance"))
     assert measured == {r["request_id"]: tuple(r)[1:] for r in hits.collect()}
+
+
+@pytest.mark.parametrize("spread", ["near", "far", "few", "one", "many"])
+@pytest.mark.parametrize("method", ["manhattan", "hamming"])
+def test_screens_are_off_by_their_bound_at_most(method, spread):
+    rng = np.random.default_rng(5)
+    q, c = rng.normal(size=(70, 24)), rng.normal(size=(900, 24))
+    if spread == "far":
+        c[3, 2] = 1e7
+    elif spread == "few":
+        q, c = rng.integers(0, 3, q.shape) * 1.0, rng.integers(0, 3, c.shape) * 1.0
+    elif spread == "one":
+        q, c = np.ones((70, 24)), np.ones((900, 24))
+    elif spread == "many":
+        q, c = rng.integers(0, 9, q.shape) * 1.0, rng.integers(0, 9, c.shape) * 1.0
+    rough, error = scoring.screen(q, c, method)
+    exact = np.array([scoring.pair_distance(np.repeat(q[i : i + 1], len(c), axis=0), c, method) for i in range(len(q))])
+    assert (np.abs(rough - exact) <= error[:, None]).all()
+
+
+def test_what_is_sent_grows_as_the_batch(spark, vectors):
+    """Ten times the requests and chunks are met in as many slots and groups."""
+    asked = profile(asked_for(spark, vectors, [(i, 10, None, None) for i in range(1, 11)]))
+    shapes = []
+    for times in (1_000, 10_000):
+        batch = replace(asked, count=10 * times, bytes=6_400 * times, limited_hits=100 * times)
+        assert not batch.is_shared
+        shapes.append(scoring.tile_shape(batch, 10 * times, 48))
+    assert shapes[0] == shapes[1]
+    slots, groups = shapes[0]
+    assert groups > slots > 1 and slots * groups <= 48
+    many = replace(asked, count=10, bytes=6_400, limited_hits=100)
+    assert many.is_shared and scoring.tile_shape(many, 10**9, 48) == (48, 1)
