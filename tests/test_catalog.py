@@ -228,3 +228,14 @@ def test_deleted_rows_do_not_come_back(spark, tmp_path, own_place):
     catalog.create_tenant(spark, name, "left")
     assert catalog.scan_collection(spark, name).count() == 0
     catalog.drop_collection(spark, name)
+
+
+def test_only_ids_that_come_again_are_brought_together(spark):
+    """The last versions of a batch, also of null ids; contents of other rows are not shuffled."""
+    rows = [(None, "t", "f", f"n{i}", 0, i) for i in range(3)]
+    rows += [(f"c{i % 7}", "t", "f", f"x{i}", i % 2, i) for i in range(9)] + [("c1", "u", "f", "other tenant", 0, 0)]
+    batch = spark.createDataFrame(rows, "chunk_id string, tenant string, filename string, content string, hierarchy_level int, position int")
+    found, _ = catalog._last_versions(batch)
+    assert sorted(map(str, found.collect())) == sorted(map(str, catalog.mutate.last_of_each(batch).select(*batch.columns).collect()))
+    once, _ = catalog._last_versions(batch.where("content IN ('x0', 'x1')"))
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
