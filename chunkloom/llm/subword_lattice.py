@@ -144,7 +144,7 @@ def _scored_words(words: DataFrame, scores: dict[str | int, float]) -> DataFrame
     shared_key = uuid.uuid4().hex
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
-        lattice = kept_in_process("lattice", shared_key, lambda: Lattice(shared.value))
+        lattice = kept_in_process("lattice", shared_key, lambda: Lattice(shared.value), beside=("words",))
         for batch in batches:
             yield {
                 **{name: batch.column(i) for i, name in enumerate(("word", "n_train", "n_all"))},
@@ -213,7 +213,7 @@ def score_documents(
             rows = zip(*(c.to_pylist() for c in shared.value.columns), strict=True)
             return {w: (math.log10(n + 1) - spread, s, int(n > 0)) for w, n, s in rows}
 
-        return kept_in_process("words", shared_key, read)
+        return kept_in_process("words", shared_key, read, beside=("lattice",))
 
     id_type = docs.schema[id_column].dataType.simpleString()
     key = f"doc_id {id_type}, held_out boolean, tie binary"
