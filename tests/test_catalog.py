@@ -239,3 +239,21 @@ def test_only_ids_that_come_again_are_brought_together(spark):
     assert sorted(map(str, found.collect())) == sorted(map(str, catalog.mutate.last_of_each(batch).select(*batch.columns).collect()))
     once, _ = catalog._last_versions(batch.where("content IN ('x0', 'x1')"))
     assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_stay_are_not_shuffled(spark, name, monkeypatch):
+    """A new version of one chunk rewrites its partition, but only the new row is clustered again."""
+    catalog.create_collection(spark, name, multi_tenancy={"enabled": False}, buckets=1)
+    columns = "chunk_id string, filename string, content string"
+    catalog.persist_chunks(spark, name, spark.createDataFrame([(f"c{i}", "f", f"old {i}") for i in range(20)], columns))
+    moved, hint = [], type(spark.range(1)).hint
+
+    def seen(frame, kind, *keys):
+        moved.append(frame.count() if kind == "rebalance" else 0)
+        return hint(frame, kind, *keys)
+
+    monkeypatch.setattr(type(spark.range(1)), "hint", seen)
+    catalog.persist_chunks(spark, name, spark.createDataFrame([("c7", "f", "new")], columns))
+    rows = {r["chunk_id"]: r["content"] for r in catalog.scan_collection(spark, name).collect()}
+    assert rows == {f"c{i}": f"old {i}" for i in range(20)} | {"c7": "new"}
+    assert moved == [1]
