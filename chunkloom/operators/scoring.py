@@ -12,6 +12,9 @@ fit in a task, and chunks are dealt to slots. Each (slot, group) is one partitio
 first and stay, its chunks follow and are read once, and only the nearest hits of each request leave.
 Chunks are sent once per group, requests and their hits once per slot: there are as many of each as
 make what is sent least.
+
+Unbounded lists of many requests are ranked where they are scored: with one slot, all hits of a request
+come up in one task (``scan_listed``), and leave it in order.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ from pyspark.sql import functions as F
 from chunkloom.operators.requests import SMALL_REQUESTS, BatchProfile
 
 POOL_ROWS = 1 << 19  # hits kept per task
+LISTED_ROWS = 1 << 23  # hits of unbounded lists held per task, 16 bytes each, on average
+LISTED_LONGEST = 1 << 22  # hits of one such list
+EMITTED_ROWS = 50_000
 HIT_BYTES = 100  # of one hit in a shuffle, with the id of its request
 BLOCK_REQUESTS = 512
 BLOCK_CHUNKS = 2048
@@ -339,6 +345,38 @@ class HitPool:
             yield self.block.emit(hits["r"].to_numpy(), hits["distance"].to_numpy(), hits)
 
 
+def listed_hits(block: RequestBlock, batches: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """All hits of the requests with their ``rank``, held as numbers until all chunks have passed.
+
+    Requests of one id share one list, as in a window by id.
+    """
+    who, where, far, seen, held = [], [], [], [], 0
+    for chunks in batches:
+        for r, distance, place in hits(block, chunks):
+            who.append(r.astype(np.int32))
+            where.append((place + held).astype(np.int32))
+            far.append(distance)
+        seen.append(chunks.select(["tenant", "chunk_id", "parent_id"]))
+        held += len(chunks)
+    if not who:
+        return
+    r, place, distance = np.concatenate(who), np.concatenate(where), np.concatenate(far)
+    del who, where, far
+    ids = pa.concat_tables(seen).combine_chunks()
+    keys = [("chunk_id", "ascending"), ("tenant", "ascending")]
+    in_order = np.empty(len(ids), np.int32)
+    in_order[pc.sort_indices(ids, sort_keys=keys, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+    names = block.table["request_id"].combine_chunks().dictionary_encode()
+    lists = names.indices.to_numpy(zero_copy_only=False)[r]
+    order = np.lexsort((in_order[place], distance, lists))
+    lists = lists[order]
+    for at in range(0, len(order), EMITTED_ROWS):
+        part, mine = order[at : at + EMITTED_ROWS], lists[at : at + EMITTED_ROWS]
+        rank = np.arange(at, at + len(part)) - np.searchsorted(lists, mine, side="left") + 1
+        out = block.emit(r[part], distance[part], ids.take(pa.array(place[part])))
+        yield from out.append_column("rank", pa.array(rank)).to_batches(max_chunksize=10_000)
+
+
 Hit = tuple[np.ndarray, np.ndarray, pa.Table]
 
 
@@ -393,10 +431,14 @@ def over_blocks(
     process: Process,
     ddl: str,
     in_tiles: bool = False,
+    listed: int | None = None,
 ) -> DataFrame:
-    """Run ``process(requests, batches of chunks)`` so that all requests meet all chunks."""
+    """Run ``process(requests, batches of chunks)`` so that all requests meet all chunks.
+
+    With ``listed``, in so many groups, each of which meets all chunks in one task with all requests of an id.
+    """
     spark = chunks.sparkSession
-    if batch.is_shared and not in_tiles:
+    if batch.is_shared and not in_tiles and listed is None:
         shared = spark.sparkContext.broadcast(requests.toArrow())
 
         def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,7 +446,10 @@ def over_blocks(
 
         return chunks.mapInArrow(scan_batches, ddl)
 
-    slots, groups = tile_shape(batch, chunks.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if listed is None:
+        slots, groups = tile_shape(batch, chunks.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    else:
+        slots, groups = 1, listed
 
     def dealt(no: Column, ways: int) -> Column:
         return F.pmod(F.xxhash64(no), F.lit(ways)).cast("int")
@@ -412,7 +457,7 @@ def over_blocks(
     def everywhere(ways: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
 
-    request_blocks = _prefixed(_packed(requests, DEALT_REQUESTS), "q_").withColumns(
+    request_blocks = _prefixed(_packed(requests, DEALT_REQUESTS if listed is None else 1), "q_").withColumns(
         {"kind": F.lit(_REQUESTS), "group_no": dealt(F.get("q_request_id", F.lit(0)), groups), "slot_no": everywhere(slots)}
     )
     chunk_blocks = _prefixed(_packed(chunks, DEALT_CHUNKS), "c_").withColumns(
@@ -490,6 +535,27 @@ def scan(
     return over_blocks(chunks, requests, batch, nearest, HIT_DDL, in_tiles)
 
 
+def listed_groups(batch: BatchProfile, chunks: int, total: int, longest: int, partitions: int) -> int | None:
+    """In how many groups unbounded lists can be ranked where they are scored; None where they cannot.
+
+    All lists of a group must fit in a task, every task needs requests, and the chunks, which are sent to
+    each group, must be less than the hits, which would be sent instead.
+    """
+    groups = max(partitions, -(-total // LISTED_ROWS))
+    sent = groups * chunks * (batch.bytes // max(1, batch.count))
+    fits = longest <= LISTED_LONGEST and batch.count >= groups and sent <= total * HIT_BYTES
+    return groups if fits else None
+
+
+def scan_listed(chunks: DataFrame, requests: DataFrame, batch: BatchProfile, groups: int) -> DataFrame:
+    """All hits of requests without a ``top``, with their ``rank``. Arguments as for ``scan``."""
+
+    def listed(asked: pa.Table, batches: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        return listed_hits(RequestBlock(asked), batches)
+
+    return over_blocks(chunks, requests, batch, listed, HIT_DDL + ", rank bigint", listed=groups)
+
+
 SPREAD_DDL = "request_id string, total bigint, low double, high double"
 
 

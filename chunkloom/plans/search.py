@@ -18,7 +18,7 @@ from chunkloom.operators.parents import apply_parent_strategy, beside_requests,
 from chunkloom.operators.ranking import WINDOW_TOP, auto_cut, auto_cut_all, auto_cut_first, rank_all, top_k
 from chunkloom.operators.regroup import group_by_file
 from chunkloom.operators.requests import BatchProfile, profile, settle, settle_costly, with_defaults
-from chunkloom.operators.scoring import scan, spreads
+from chunkloom.operators.scoring import listed_groups, scan, scan_listed, spreads
 from chunkloom.operators.storage import materialize
 from chunkloom.sources.catalog import scan_collection, stored_counts, stored_postings
 
@@ -82,6 +82,10 @@ def nearest_ranked(
     Requests with an ``auto_limit`` but no ``top`` need few of their hits, though how many only the hits
     tell: they are cut step by step, apart from the others.
     """
+    if batch.top is None and batch.limited_hits == 0 and not batch.auto_limit and batch.count and not in_tiles:
+        listed = _listed(chunks, asked.where("top IS NULL AND request_id IS NOT NULL"), batch)
+        if listed is not None:
+            return listed
     if batch.top is not None or not batch.auto_limit or batch.auto_limit <= 0:
         return ranked(nearest(chunks, asked, batch, in_tiles), batch)
     without_top = F.col("top").isNull() & F.coalesce(F.col("auto_limit") > 0, F.lit(False))
@@ -94,6 +98,24 @@ def nearest_ranked(
     return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
 
 
+def _listed(chunks: DataFrame, asked: DataFrame, batch: BatchProfile) -> DataFrame | None:
+    """Unbounded lists of many requests, ranked where they are scored; None if they must be sorted by Spark.
+
+    One pass counts the hits, so that a task gets no more lists than it can hold. The hits themselves, which
+    may be a share of all pairs, are then sent nowhere to be ranked.
+    """
+    columns = [*[F.col(c) for c in _IDS], *_vector_columns(batch)]
+    scans = list(by_filters(chunks, _slots(asked, batch), columns))
+    if len(scans) != 1:
+        return None
+    ((kept, numbered),) = scans
+    numbered = numbered.select(*_ASKED)
+    told = spreads(kept, numbered, batch).agg(F.sum("total").alias("total"), F.max("total").alias("longest")).first()
+    partitions = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = listed_groups(batch, kept.count(), told["total"] or 0, told["longest"] or 0, partitions)
+    return None if groups is None else scan_listed(kept, numbered, batch, groups)
+
+
 def _cut_in_steps(
     chunks: DataFrame, asked: DataFrame, batch: BatchProfile
 ) -> tuple[list[DataFrame], DataFrame]:

@@ -180,6 +180,33 @@ def test_cut_in_steps_equals_cut_of_all_hits(spark, vectors, chunks, monkeypatch
     assert {r[0] for r in found} == {f"r{i}" for i in range(len(rows) - 1)}
 
 
+def test_unbounded_lists_are_ranked_where_they_are_scored(spark, vectors, chunks, monkeypatch):
+    """Equal to Spark's sort with copies of chunks, ids without a value and ids of requests that come twice."""
+    twice = chunks.where("chunk_id < '2'").unionByName(chunks.limit(3).withColumn("chunk_id", F.lit(None).cast("string")))
+    stored = chunks.unionByName(twice)
+    asked = asked_for(spark, vectors, [(i, None, None, 8.0 + i) for i in range(1, 30)] + [(40, None, None, -1.0)])
+    asked = asked.unionByName(asked.where("request_id < 'r2'").withColumn("horizon", F.lit(25.0)))
+    batch = profile(asked)
+    everything = search.nearest(stored, asked, batch)
+    expected = sorted(map(str, listed(rank_all(everything))))
+    for rows in (1 << 23, 60):
+        monkeypatch.setattr(scoring, "LISTED_ROWS", rows)
+        monkeypatch.setattr(scoring, "HIT_BYTES", 10_000)
+        found = search.nearest_ranked(stored, asked, batch)
+        assert "rangepartitioning" not in found._jdf.queryExecution().toString()
+        assert sorted(map(str, listed(found))) == expected
+    monkeypatch.setattr(scoring, "LISTED_LONGEST", 5)  # too long for a task: the way of all hits
+    assert sorted(map(str, listed(search.nearest_ranked(stored, asked, batch)))) == expected
+
+
+def test_groups_of_unbounded_lists(spark, vectors):
+    batch = replace(profile(asked_for(spark, vectors, [(1, None, None, 9.0)])), count=100_000, bytes=66_000_000)
+    assert scoring.listed_groups(batch, 100_000, 800_000_000, 100_000, 48) == 96
+    assert scoring.listed_groups(batch, 100_000, 800_000_000, 1 << 23, 48) is None
+    assert scoring.listed_groups(batch, 100_000, 1_000_000, 100_000, 48) is None
+    assert scoring.listed_groups(replace(batch, count=3, bytes=2_000), 100_000, 300_000, 100_000, 48) is None
+
+
 def test_measures_of_all_hits(spark, vectors, chunks):
     asked = asked_for(spark, vectors, [(3, None, 1, None), (4, None, 1, 30.0)])
     batch = profile(asked)
