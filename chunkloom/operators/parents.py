@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chunkloom.operators.regroup import CHUNK_FIELDS, HOME, SHARE
 from chunkloom.operators.requests import BatchProfile
+from chunkloom.operators.storage import materialize
 
 BROADCAST_HITS = 200_000
+FILE_HITS = 100_000  # hits of one file that meet it in one task
+_STORED = ("filename", "document_metadata", "original_span_start", "original_span_end", "embeddings", *CHUNK_FIELDS)
 
 
 def beside_requests(rows: DataFrame, params: DataFrame, batch: BatchProfile) -> DataFrame:
@@ -55,3 +59,36 @@ def fetch_chunks(rows: DataFrame, chunks: DataFrame, batch: BatchProfile) -> Dat
     bounded = batch.max_hits is not None and 2 * batch.max_hits <= BROADCAST_HITS
     keys = F.broadcast(rows) if bounded else rows
     return chunks.join(keys, ["tenant", "chunk_id"])
+
+
+def fetch_by_file(rows: DataFrame, chunks: DataFrame, batch: BatchProfile) -> DataFrame:
+    """Like ``fetch_chunks`` for rows that are then grouped by file, with what grouping needs.
+
+    Hits and chunks meet in the partition of their file, where the documents are made too, so a content is
+    sent once, not with each of its hits. A file of very many hits is sent to several partitions, each
+    with a share of the requests.
+    """
+    if batch.max_hits is not None and 2 * batch.max_hits <= BROADCAST_HITS:
+        return fetch_chunks(rows, chunks, batch)
+    ids = ["tenant", "chunk_id"]
+    stored = chunks.select(*[c for c in chunks.columns if c in _STORED]).withColumn(HOME, F.xxhash64("filename"))
+    homes = stored.groupBy(*ids).agg(F.collect_set(HOME).alias(HOME))
+    keys = materialize(rows.join(homes, ids).withColumn(HOME, F.explode(HOME)))
+    crowded = F.broadcast(
+        keys.groupBy(HOME).agg(F.ceil(F.count("*") / FILE_HITS).alias("shares")).where("shares > 1")
+    )
+    shares = F.coalesce("shares", F.lit(1))
+    hits = keys.join(crowded, HOME, "left").select(
+        HOME, F.pmod(F.xxhash64("request_id"), shares).alias(SHARE), *ids, F.lit(1).alias("kind"),
+        F.struct(*[c for c in rows.columns if c not in ids]).alias("hit"),
+    )
+    contents = stored.join(crowded, HOME, "left").select(
+        HOME, F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)).alias(SHARE), *ids, F.lit(0).alias("kind"),
+        F.struct(*[c for c in stored.columns if c not in (*ids, HOME)]).alias("stored"),
+    )
+    partitions = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = contents.unionByName(hits, allowMissingColumns=True).repartition(partitions, HOME, SHARE)
+    # chunks come first; an id that is stored twice is found twice
+    before = Window.partitionBy(HOME, SHARE, *ids).orderBy("kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = met.withColumn("stored", F.collect_list("stored").over(before)).where("kind = 1")
+    return found.withColumn("stored", F.explode("stored")).select(HOME, SHARE, *ids, "stored.*", "hit.*")

@@ -18,6 +18,8 @@ CHUNK_FIELDS = (
     "rank",
     "is_parent",
 )
+# Where rows lie that were fetched by file: a hash of the file, and the share of requests that meet it there.
+HOME, SHARE = "__home", "__share"
 
 
 def group_by_file(rows: DataFrame, part_chunks: int | None = None) -> DataFrame:
@@ -27,12 +29,16 @@ def group_by_file(rows: DataFrame, part_chunks: int | None = None) -> DataFrame:
     each document is one row. For result lists without a bound the caller can give ``part_chunks``:
     every document, whatever its size, then comes in parts of so many hits, numbered by ``part`` of
     ``parts``, each with the place and the metadata of the whole document.
+
+    Rows that lie in the partition of their file (``HOME`` and ``SHARE``, which file and request tell) are
+    grouped there.
     """
+    keys = ["request_id", "filename", *[c for c in (HOME, SHARE) if c in rows.columns]]
     if part_chunks is None:
         parted = rows.withColumn("part", F.lit(0).cast("bigint"))
     else:
         # hits are numbered within their document by the sort of a window, which spills
-        order = Window.partitionBy("request_id", "filename").orderBy("place")
+        order = Window.partitionBy(*keys).orderBy("place")
         parted = rows.withColumn("part", F.floor((F.row_number().over(order) - 1) / part_chunks).cast("bigint"))
     shaped = parted.withColumn(
         "original_span",
@@ -41,11 +47,11 @@ def group_by_file(rows: DataFrame, part_chunks: int | None = None) -> DataFrame:
     if "embedding" not in shaped.columns:
         shaped = shaped.withColumn("embedding", F.lit(None).cast("array<float>"))
     chunk = F.struct("place", *CHUNK_FIELDS)
-    grouped = shaped.groupBy("request_id", "filename", "part").agg(
+    grouped = shaped.groupBy(*keys, "part").agg(
         F.min("place").alias("first_place"),
         F.min_by("document_metadata", "place").alias("document_metadata"),
         F.collect_list(chunk).alias("chunks"),
-    )
+    ).drop(HOME, SHARE)
     in_order = F.array_sort(
         "chunks", lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
     )

@@ -14,7 +14,7 @@ from chunkloom.functions.text import hashed_term_vector, tokens
 from chunkloom.operators import hybrid
 from chunkloom.operators.filters_by_request import by_filters, predicate
 from chunkloom.operators.ingest import Embedder
-from chunkloom.operators.parents import apply_parent_strategy, beside_requests, fetch_chunks
+from chunkloom.operators.parents import apply_parent_strategy, beside_requests, fetch_by_file, fetch_chunks
 from chunkloom.operators.ranking import WINDOW_TOP, auto_cut, auto_cut_all, auto_cut_first, rank_all, top_k
 from chunkloom.operators.regroup import group_by_file
 from chunkloom.operators.requests import BatchProfile, profile, settle, settle_costly, with_defaults
@@ -147,22 +147,25 @@ def _cut_in_steps(
 
 
 def _rows(
-    hits: DataFrame, chunks: DataFrame, requests: DataFrame, batch: BatchProfile, fetch: Fetch | None
+    hits: DataFrame, chunks: DataFrame, requests: DataFrame, batch: BatchProfile, fetch: Fetch | None, by_file: bool
 ) -> DataFrame:
     """Full chunk rows of the hits and parents, with the vector of requests that want it.
 
-    ``fetch`` gives the chunks of ids from where they are stored; without it they are joined.
+    ``fetch`` gives the chunks of ids from where they are stored; without it they are joined, and where they
+    are grouped ``by_file`` next, in the partitions of their files.
     """
     keys = apply_parent_strategy(hits, requests, batch)
-    rows = fetch(keys, batch) if fetch else fetch_chunks(keys, chunks, batch)
+    if batch.with_vectors:  # told to ids, so that contents need not move to the requests
+        keys = beside_requests(keys, requests.select("request_id", "vector_name", "include_vector"), batch)
+    else:
+        chunks = chunks.drop("embeddings")
+    joined = fetch_by_file if by_file else fetch_chunks
+    rows = fetch(keys, batch) if fetch else joined(keys, chunks, batch)
     if not batch.with_vectors:
         return rows.drop("embeddings")
-    wanted = requests.select("request_id", "vector_name", "include_vector")
     picked = pick_vector(F.col("embeddings"), F.col("vector_name"))
-    return (
-        beside_requests(rows, wanted, batch)
-        .withColumn("embedding", F.when(F.col("include_vector"), picked))
-        .drop("embeddings", "vector_name", "include_vector")
+    return rows.withColumn("embedding", F.when(F.col("include_vector"), picked)).drop(
+        "embeddings", "vector_name", "include_vector"
     )
 
 
@@ -184,7 +187,7 @@ def vector_search(
     batch = profile(asked)
     asked = settle(asked, batch)
     hits = nearest_ranked(chunks, asked, batch, in_tiles)
-    rows = _rows(hits, chunks, asked, batch, fetch)
+    rows = _rows(hits, chunks, asked, batch, fetch, by_file)
     return group_by_file(rows, part_chunks) if by_file else rows
 
 
@@ -303,7 +306,7 @@ def hybrid_search(
     batch = profile(asked)
     asked = settle(asked, batch)
     if batch.count == 0:
-        rows = _rows(ranked(nearest(chunks, asked, batch), batch), chunks, asked, batch, fetch)
+        rows = _rows(ranked(nearest(chunks, asked, batch), batch), chunks, asked, batch, fetch, by_file)
         return group_by_file(rows) if by_file else _as_scores(rows)
     columns = [
         *[F.col(c) for c in _IDS],
@@ -317,7 +320,7 @@ def hybrid_search(
         ranges = hybrid.score_ranges(kept, numbered, batch)
         parts.append(hybrid.hybrid_scan(kept, numbered.join(ranges, "request_id"), batch))
     hits = ranked(reduce(DataFrame.unionByName, parts), batch)
-    rows = _rows(hits, chunks, asked, batch, fetch)
+    rows = _rows(hits, chunks, asked, batch, fetch, by_file)
     if not by_file:
         return _as_scores(rows)
     return group_by_file(rows)

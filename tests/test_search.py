@@ -160,3 +160,37 @@ def test_profile_bounds(spark):
     assert (batch.count, batch.top, batch.max_hits) == (2, 3, 6)
     unbounded = profile(asked.union(asked.withColumn("top", F.lit(None).cast("int"))))
     assert unbounded.top is None and unbounded.max_hits is None and unbounded.limited_hits == 3
+
+
+def test_contents_meet_hits_in_the_partition_of_their_file(spark, monkeypatch):
+    """Equal to the join by id, with ids stored twice, files without a name, parents not stored and a crowded file."""
+    rows = [(f"c{i % 17}", None if i % 7 == 0 else f"f{i % 5}", "t", f"c{i % 4}" if i % 3 else "gone", f"text {i}", [1.0, float(i)]) for i in range(40)]
+    rows += [(None, "f1", "t", None, "no id", [1.0, 0.5])]
+    chunks = spark.createDataFrame(
+        [(i, f, t, p, x, 0, 0, len(x), {"default": v}, f or "none") for i, f, t, p, x, v in rows],
+        "chunk_id string, filename string, tenant string, parent_id string, content string, hierarchy_level int, "
+        "original_span_start bigint, original_span_end bigint, embeddings map<string,array<float>>, document_metadata string",
+    ).withColumn("custom_properties", F.struct(F.length("content").alias("size")))
+    asked = spark.createDataFrame(
+        [(f"r{i % 9}", [1.0, float(i)], i % 2 == 0) for i in range(10)],
+        "request_id string, query_embedding array<float>, include_vector boolean",
+    )
+    defaults = {"top": 6, "method": "l2-squared", "parent_strategy": "include"}
+
+    def plain(documents):
+        shown = documents.select("request_id", "filename", "first_place", "document_metadata", "part", "parts", "chunks")
+        return sorted(str((*r[:-1], sorted(map(str, r[-1])))) for r in shown.collect())
+
+    for part_chunks in (None, 2):
+        # the parts of equal places may hold other hits
+        searched = asked.where("request_id NOT IN ('r0', 'r3')") if part_chunks else asked
+        stored = chunks.dropDuplicates(["chunk_id"]) if part_chunks else chunks
+        stored = spark.createDataFrame(stored.collect(), stored.schema)
+        expected = plain(search.vector_search(stored, searched, defaults, part_chunks=part_chunks))
+        with monkeypatch.context() as patch:
+            patch.setattr("chunkloom.operators.parents.BROADCAST_HITS", 0)
+            patch.setattr("chunkloom.operators.parents.FILE_HITS", 4)
+            found = search.vector_search(stored, searched, defaults, part_chunks=part_chunks)
+            if part_chunks is None:
+                assert "hashpartitioning(request_id" not in found._jdf.queryExecution().toString()
+            assert plain(found) == expected
