@@ -151,6 +151,24 @@ def screen(q: np.ndarray, c: np.ndarray, method: str) -> tuple[np.ndarray, np.nd
     return value, 4 * unit * (nq**2 + largest**2)
 
 
+def quick_screen(q: np.ndarray, c: np.ndarray, method: str) -> tuple[np.ndarray, np.ndarray]:
+    """``screen`` for distances that are scored again: cosine in single precision, on vectors of length one."""
+    if method != "cosine":
+        return screen(q, c, method)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        a, b = ((m / _norms(m)[:, None]).astype(np.float32) for m in (q, c))
+    value = a @ b.T
+    np.subtract(1, value, out=value)
+    return value, np.full(len(q), 4 * (q.shape[1] + 16) * float(np.finfo(np.float32).eps))
+
+
+def within(rough: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the approximate distances up to the ``cut`` of their row."""
+    if rough.dtype == np.float32:
+        cut = np.nextafter(cut.astype(np.float32), np.float32(np.inf))
+    return np.divmod(np.flatnonzero(rough <= cut[:, None]), rough.shape[1])
+
+
 class RequestBlock:
     """Requests of one block, grouped by what they search with: vector, method and filter."""
 
@@ -255,13 +273,13 @@ def hits(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np
         step = max(1, _CELLS // len(rows))
         for start in range(0, len(present), step):
             part = stored[start : start + step]
-            rough, error = screen(queries, part, method)
+            rough, error = quick_screen(queries, part, method)
             cut = np.minimum(block.worst[rows], block.horizon[rows]) + error
             # once all requests have their hits, the last of these bounds better than one batch
             if limit is not None and 0 < limit < len(part) and not np.isfinite(cut).all():
                 nearest = np.partition(rough, limit - 1, axis=1)[:, limit - 1]
                 cut = np.fmin(cut, nearest + 2 * error)
-            i, j = np.nonzero(rough <= cut[:, None])
+            i, j = within(rough, cut)
             pairs = max(1, _PAIR_CELLS // max(1, part.shape[1]))
             for at in range(0, len(i), pairs):
                 qi, cj = i[at : at + pairs], j[at : at + pairs]
@@ -291,7 +309,7 @@ def measures(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray
         horizon, step = block.horizon[rows], max(1, _CELLS // len(rows))
         for start in range(0, len(stored), step):
             part = stored[start : start + step]
-            rough, error = screen(queries, part, method)
+            rough, error = quick_screen(queries, part, method)
             sure = rough <= (horizon - error)[:, None]
             total = np.count_nonzero(sure, axis=1)
             least = np.min(rough, axis=1, initial=np.inf, where=sure)

@@ -235,6 +235,24 @@ def test_screens_are_off_by_their_bound_at_most(method, spread):
     assert (np.abs(rough - exact) <= error[:, None]).all()
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-30, 1e30])
+def test_cosine_is_screened_in_single_precision(scale):
+    """Off by its bound at most, also for copies, near copies and opposite vectors; what is open is found."""
+    rng = np.random.default_rng(6)
+    q = rng.normal(size=(40, 64))
+    c = np.concatenate([rng.normal(size=(300, 64)), q, -q, q + rng.normal(size=q.shape) * 1e-6]) * scale
+    rough, error = scoring.quick_screen(q, c, "cosine")
+    assert rough.dtype == np.float32
+    exact = np.array([scoring.pair_distance(np.repeat(q[i : i + 1], len(c), axis=0), c, "cosine") for i in range(len(q))])
+    assert (np.abs(rough - exact) <= error[:, None]).all()
+    for cut in (0.0, 0.8, np.inf):
+        i, j = scoring.within(rough, cut + error)
+        found = set(zip(i.tolist(), j.tolist()))
+        assert found >= set(zip(*(x.tolist() for x in np.nonzero(exact <= cut))))
+    c[5] = 0
+    assert 5 not in scoring.within(scoring.quick_screen(q, c, "cosine")[0], np.full(len(q), np.inf))[1]
+
+
 def test_what_is_sent_grows_as_the_batch(spark, vectors):
     """Ten times the requests and chunks are met in as many slots and groups."""
     asked = profile(asked_for(spark, vectors, [(i, 10, None, None) for i in range(1, 11)]))
