@@ -11,7 +11,8 @@ A small batch of requests goes to the tasks as one broadcast. A larger one is cu
 fit in a task, and chunks are dealt to slots. Each (slot, group) is one partition: its requests come
 first and stay, its chunks follow and are read once, and only the nearest hits of each request leave.
 Chunks are sent once per group, requests and their hits once per slot: there are as many of each as
-make what is sent least.
+make what is sent least. There are a few tiles for each core however large the input is, so that what is
+sent grows as the input until the requests need more groups to fit in a task.
 
 Unbounded lists of many requests are ranked where they are scored: with one slot, all hits of a request
 come up in one task (``scan_listed``), and leave it in order.
@@ -26,7 +27,7 @@ from math import sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.operators.requests import SMALL_REQUESTS, BatchProfile
@@ -36,6 +37,7 @@ LISTED_ROWS = 1 << 23  # hits of unbounded lists held per task, 16 bytes each, o
 LISTED_LONGEST = 1 << 22  # hits of one such list
 EMITTED_ROWS = 50_000
 HIT_BYTES = 100  # of one hit in a shuffle, with the id of its request
+TILES_PER_CORE = 2
 BLOCK_REQUESTS = 512
 BLOCK_CHUNKS = 2048
 # Smaller blocks are dealt, so that all partitions get about as many.
@@ -465,7 +467,7 @@ def over_blocks(
         return chunks.mapInArrow(scan_batches, ddl)
 
     if listed is None:
-        slots, groups = tile_shape(batch, chunks.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        slots, groups = tile_shape(batch, chunks.count(), tile_count(spark))
     else:
         slots, groups = 1, listed
 
@@ -503,6 +505,12 @@ def request_groups(batch: BatchProfile) -> int:
     return max(1, -(-batch.bytes // SMALL_REQUESTS), -(-batch.limited_hits // POOL_ROWS))
 
 
+def tile_count(spark: SparkSession) -> int:
+    """How many tiles keep all cores busy; more of them, as a larger input has partitions, would only send more."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(partitions, TILES_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 def tile_shape(batch: BatchProfile, chunks: int, partitions: int) -> tuple[int, int]:
     """Slots of chunks and groups of requests, about as many tiles as ``partitions``.
 
@@ -513,7 +521,8 @@ def tile_shape(batch: BatchProfile, chunks: int, partitions: int) -> tuple[int,
     per_group = max(1, chunks * batch.bytes // max(1, batch.count))
     best = round(sqrt(partitions * per_slot / per_group))
     groups = max(request_groups(batch), min(best, partitions))
-    return max(1, partitions // groups), groups
+    slots = max(1, partitions // groups)
+    return slots, max(groups, partitions // slots)
 
 
 def _joined_blocks(blocks: Iterator[pa.Table]) -> Iterator[pa.Table]:

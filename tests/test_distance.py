@@ -266,3 +266,34 @@ def test_what_is_sent_grows_as_the_batch(spark, vectors):
     assert groups > slots > 1 and slots * groups <= 48
     many = replace(asked, count=10, bytes=6_400, limited_hits=100)
     assert many.is_shared and scoring.tile_shape(many, 10**9, 48) == (48, 1)
+
+
+def test_more_partitions_do_not_make_more_tiles(spark, vectors, chunks):
+    """Each tile is sent its requests and chunks, so tiles follow the cores, not the partitions of a larger input."""
+    asked = asked_for(spark, vectors, [(i, 3, None, None) for i in range(1, 11)])
+    batch = profile(asked)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    tiles, found = [], []
+    try:
+        for partitions in ("2", "8", "80"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            hits = search.nearest(chunks, asked, batch, in_tiles=True)
+            tiles.append(hits.rdd.getNumPartitions())
+            found.append(listed(search.ranked(hits, batch)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tiles[0] <= 2
+    assert tiles[1] == tiles[2]
+    assert tiles[2] <= scoring.TILES_PER_CORE * spark.sparkContext.defaultParallelism
+    assert found[0] == found[1] == found[2]
+
+
+def test_slots_and_groups_use_the_tiles(spark, vectors):
+    """Where the requests need more than half as many groups as there are tiles, cores are not left without any."""
+    batch = profile(asked_for(spark, vectors, [(i, 10, None, None) for i in range(1, 11)]))
+    for needed in (1, 5, 13, 24, 30):
+        large = replace(batch, count=52_000 * needed, bytes=640 * 52_000 * needed, limited_hits=520_000 * needed)
+        groups = scoring.request_groups(large)
+        slots, chosen = scoring.tile_shape(large, 52_000 * needed, 24)
+        assert chosen >= groups and (slots * chosen <= 24 or (slots, chosen) == (1, groups))
+        assert slots * chosen >= 20
