@@ -47,6 +47,16 @@ def _vector_columns(batch: BatchProfile) -> list[Column]:
     ]
 
 
+def _vector_scans(chunks: DataFrame, requests: DataFrame, batch: BatchProfile) -> list[tuple[DataFrame, DataFrame]]:
+    """What ``by_filters`` gives, with only the chunks that have a vector the batch searches: no other can be a hit."""
+    columns = [*[F.col(c) for c in _IDS], *_vector_columns(batch)]
+    searched = reduce(Column.__or__, [F.col(f"v{i}").isNotNull() for i in range(len(batch.vector_names))])
+    return [
+        (kept.where(searched), numbered.select(*_ASKED))
+        for kept, numbered in by_filters(chunks, _slots(requests, batch), columns)
+    ]
+
+
 def nearest(
     chunks: DataFrame, requests: DataFrame, batch: BatchProfile, in_tiles: bool = False
 ) -> DataFrame:
@@ -57,11 +67,7 @@ def nearest(
             requests.withColumn("slot", F.lit(0)).withColumn("spec", F.lit(0)).select(*_ASKED),
             batch,
         )
-    columns = [*[F.col(c) for c in _IDS], *_vector_columns(batch)]
-    with_slots = _slots(requests, batch)
-    parts = []
-    for kept, numbered in by_filters(chunks, with_slots, columns):
-        parts.append(scan(kept, numbered.select(*_ASKED), batch, in_tiles))
+    parts = [scan(kept, numbered, batch, in_tiles) for kept, numbered in _vector_scans(chunks, requests, batch)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -104,12 +110,10 @@ def _listed(chunks: DataFrame, asked: DataFrame, batch: BatchProfile) -> DataFra
     One pass counts the hits, so that a task gets no more lists than it can hold. The hits themselves, which
     may be a share of all pairs, are then sent nowhere to be ranked.
     """
-    columns = [*[F.col(c) for c in _IDS], *_vector_columns(batch)]
-    scans = list(by_filters(chunks, _slots(asked, batch), columns))
+    scans = _vector_scans(chunks, asked, batch)
     if len(scans) != 1:
         return None
     ((kept, numbered),) = scans
-    numbered = numbered.select(*_ASKED)
     told = spreads(kept, numbered, batch).agg(F.sum("total").alias("total"), F.max("total").alias("longest")).first()
     partitions = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = listed_groups(batch, kept.count(), told["total"] or 0, told["longest"] or 0, partitions)
@@ -124,10 +128,8 @@ def _cut_in_steps(
     One pass counts and measures all hits of a request where they are scored. Then its nearest hits are
     looked at, more of them in each step, until they hold the start of the group that is not wanted.
     """
-    columns = [*[F.col(c) for c in _IDS], *_vector_columns(batch)]
     measured = reduce(
-        DataFrame.unionByName,
-        [spreads(k, n.select(*_ASKED), batch) for k, n in by_filters(chunks, _slots(asked, batch), columns)],
+        DataFrame.unionByName, [spreads(kept, numbered, batch) for kept, numbered in _vector_scans(chunks, asked, batch)]
     )
     left = materialize(asked.join(measured, "request_id"))
     parts, top = [], FIRST_TOP

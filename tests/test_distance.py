@@ -297,3 +297,20 @@ def test_slots_and_groups_use_the_tiles(spark, vectors):
         slots, chosen = scoring.tile_shape(large, 52_000 * needed, 24)
         assert chosen >= groups and (slots * chosen <= 24 or (slots, chosen) == (1, groups))
         assert slots * chosen >= 20
+
+
+def test_chunks_without_a_searched_vector_are_not_sent(spark, vectors, chunks, monkeypatch):
+    counts, shape = [], scoring.tile_shape
+    monkeypatch.setattr(scoring, "tile_shape", lambda batch, count, tiles: counts.append(count) or shape(batch, count, tiles))
+    asked = asked_for(spark, vectors, [(i, 3, None, None) for i in range(1, 11)])
+    batch = profile(asked)
+    none = chunks.limit(40).withColumns(
+        {"chunk_id": F.concat(F.lit("n"), "chunk_id"), "embeddings": F.lit(None).cast("map<string,array<float>>")}
+    )
+    expected = listed(search.ranked(search.nearest(chunks, asked, batch), batch))
+    assert listed(search.ranked(search.nearest(chunks.unionByName(none), asked, batch, in_tiles=True), batch)) == expected
+    assert counts == [sum(i % 11 > 0 for i in range(len(vectors)))]
+    # of two named vectors, chunks with either stay
+    both = profile(asked.withColumn("vector_name", F.when(F.col("request_id") < "r5", "other").otherwise("default")))
+    scans = search._vector_scans(chunks.unionByName(none), asked, both)
+    assert scans[0][0].count() == len(vectors)
