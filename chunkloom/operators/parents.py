@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkloom.operators.regroup import CHUNK_FIELDS, HOME, SHARE
-from chunkloom.operators.requests import BatchProfile
+from chunkloom.operators.requests import BatchProfile, row_bytes
 from chunkloom.operators.storage import materialize
 
 BROADCAST_HITS = 200_000
+BROADCAST_CHUNKS = 64 << 20  # bytes of narrow chunks that unbounded hits are joined with where they are
 FILE_HITS = 100_000  # hits of one file that meet it in one task
 _STORED = ("filename", "document_metadata", "original_span_start", "original_span_end", "embeddings", *CHUNK_FIELDS)
 
@@ -51,14 +52,21 @@ def _result(chunk_id: str, is_parent: bool) -> Column:
     return F.struct(F.col(chunk_id).alias("chunk_id"), F.lit(is_parent).alias("is_parent"))
 
 
-def fetch_chunks(rows: DataFrame, chunks: DataFrame, batch: BatchProfile) -> DataFrame:
+def fetch_chunks(rows: DataFrame, chunks: DataFrame, batch: BatchProfile, narrow: bool = False) -> DataFrame:
     """The chunks behind result rows; a parent that is not stored is dropped.
 
-    Result rows are broadcast when requests x top bounds them, so the chunks are not shuffled.
+    Result rows are broadcast when requests x top bounds them, so the chunks are not shuffled. Where nothing
+    bounds them and the chunks are ``narrow``, without their contents, these are broadcast up to a measured
+    size: rows that may be a share of all pairs are then not sent to be joined.
     """
+    ids = ["tenant", "chunk_id"]
+    if narrow and batch.max_hits is None:
+        chunks = materialize(chunks)
+        size = chunks.agg(F.sum(row_bytes(chunks))).first()[0] or 0
+        return (F.broadcast(chunks) if size <= BROADCAST_CHUNKS else chunks).join(rows, ids)
     bounded = batch.max_hits is not None and 2 * batch.max_hits <= BROADCAST_HITS
     keys = F.broadcast(rows) if bounded else rows
-    return chunks.join(keys, ["tenant", "chunk_id"])
+    return chunks.join(keys, ids)
 
 
 def fetch_by_file(rows: DataFrame, chunks: DataFrame, batch: BatchProfile) -> DataFrame:

@@ -10,9 +10,9 @@ is scored again pair by pair. Distances, and so ties, do not depend on how Spark
 A small batch of requests goes to the tasks as one broadcast. A larger one is cut into groups that
 fit in a task, and chunks are dealt to slots. Each (slot, group) is one partition: its requests come
 first and stay, its chunks follow and are read once, and only the nearest hits of each request leave.
-Chunks are sent once per group, requests and their hits once per slot: there are as many of each as
-make what is sent least. There are a few tiles for each core however large the input is, so that what is
-sent grows as the input until the requests need more groups to fit in a task.
+Requests and chunks are written once each, whatever the number of tiles, and every tile reads its group and
+its slot from there. Chunks are read once per group, requests once per slot, which also sends its hits: there
+are as many of each as make what is moved least, and a few tiles for each core however large the input is.
 
 Unbounded lists of many requests are ranked where they are scored: with one slot, all hits of a request
 come up in one task (``scan_listed``), and leave it in order.
@@ -21,7 +21,7 @@ come up in one task (``scan_listed``), and leave it in order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import chain
 from math import sqrt
 
 import numpy as np
@@ -46,7 +46,7 @@ DEALT_CHUNKS = 256
 _CELLS = 1 << 21  # scores held at once by the kernel
 _PAIR_CELLS = 1 << 22  # vector elements held at once when pairs are scored again
 _TILE = 1 << 15
-_REQUESTS, _CHUNKS = 0, 1  # requests are sorted before the chunks they meet
+_IN_PARTITION = (1 << 33) - 1  # of a monotonically increasing id
 
 HIT_DDL = (
     "request_id string, tenant string, chunk_id string, parent_id string, "
@@ -383,20 +383,46 @@ def listed_hits(block: RequestBlock, batches: Iterator[pa.Table]) -> Iterator[pa
     r, place, distance = np.concatenate(who), np.concatenate(where), np.concatenate(far)
     del who, where, far
     ids = pa.concat_tables(seen).combine_chunks()
-    keys = [("chunk_id", "ascending"), ("tenant", "ascending")]
-    in_order = np.empty(len(ids), np.int32)
-    in_order[pc.sort_indices(ids, sort_keys=keys, null_placement="at_start").to_numpy()] = np.arange(len(ids))
     names = block.table["request_id"].combine_chunks().dictionary_encode()
     lists = names.indices.to_numpy(zero_copy_only=False)[r]
-    order = np.lexsort((in_order[place], distance, lists))
+    order, starts = in_lists(lists, len(names.dictionary), distance, place, ids)
     lists = lists[order]
     for at in range(0, len(order), EMITTED_ROWS):
         part, mine = order[at : at + EMITTED_ROWS], lists[at : at + EMITTED_ROWS]
-        rank = np.arange(at, at + len(part)) - np.searchsorted(lists, mine, side="left") + 1
+        rank = np.arange(at, at + len(part)) - starts[mine] + 1
         out = block.emit(r[part], distance[part], ids.take(pa.array(place[part])))
         yield from out.append_column("rank", pa.array(rank)).to_batches(max_chunksize=10_000)
 
 
+def in_lists(
+    lists: np.ndarray, count: int, distance: np.ndarray, place: np.ndarray, ids: pa.Table
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of hits by list, distance and id, and where each of the ``count`` lists starts (and the last ends)."""
+    # numbers of 16 bits are sorted by their digits
+    order = np.argsort(lists.astype(np.uint16) if count <= 1 << 16 else lists, kind="stable")
+    starts = np.searchsorted(lists[order], np.arange(count + 1), side="left")
+    by_id: np.ndarray | None = None
+    for start, stop in zip(starts[:-1], starts[1:]):
+        mine = order[start:stop]
+        far = distance[mine]
+        near = np.argsort(far)
+        far = far[near]
+        if (far[1:] == far[:-1]).any():  # only equal distances are told apart by ids
+            if by_id is None:
+                by_id = id_order(ids)
+            near = np.lexsort((by_id[place[mine]], distance[mine]))
+        order[start:stop] = mine[near]
+    return order, starts
+
+
+def id_order(ids: pa.Table) -> np.ndarray:
+    """The place of each row in the order of ids."""
+    keys = [("chunk_id", "ascending"), ("tenant", "ascending")]
+    by_id = np.empty(len(ids), np.int32)
+    by_id[pc.sort_indices(ids, sort_keys=keys, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+    return by_id
+
+
 Hit = tuple[np.ndarray, np.ndarray, pa.Table]
 
 
@@ -471,33 +497,54 @@ def over_blocks(
     else:
         slots, groups = 1, listed
 
-    def dealt(no: Column, ways: int) -> Column:
-        return F.pmod(F.xxhash64(no), F.lit(ways)).cast("int")
+    def dealt(blocks: DataFrame, no: str, ways: int) -> DataFrame:
+        way = F.pmod(F.xxhash64(F.get(no, F.lit(0))), F.lit(ways)).cast("int")
+        return blocks.withColumn("way", way).repartitionById(ways, "way").drop("way")
 
-    def everywhere(ways: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
-
-    request_blocks = _prefixed(_packed(requests, DEALT_REQUESTS if listed is None else 1), "q_").withColumns(
-        {"kind": F.lit(_REQUESTS), "group_no": dealt(F.get("q_request_id", F.lit(0)), groups), "slot_no": everywhere(slots)}
-    )
-    chunk_blocks = _prefixed(_packed(chunks, DEALT_CHUNKS), "c_").withColumns(
-        {"kind": F.lit(_CHUNKS), "group_no": everywhere(groups), "slot_no": dealt(F.get("c_chunk_id", F.lit(0)), slots)}
-    )
-    met = request_blocks.unionByName(chunk_blocks, allowMissingColumns=True)
-    met = met.withColumn("place", F.col("slot_no") * groups + F.col("group_no")).drop("slot_no", "group_no")
-    tiles = met.repartitionById(slots * groups, "place").sortWithinPartitions("place", "kind")
+    if listed is None:
+        asked = dealt(_prefixed(_packed(requests, DEALT_REQUESTS), "q_"), "q_request_id", groups)
+    else:
+        asked = _prefixed(_packed(requests.repartition(groups, "request_id"), DEALT_REQUESTS), "q_")
+    stored = dealt(_prefixed(_packed(chunks, DEALT_CHUNKS), "c_"), "c_chunk_id", slots)
+    met = _tiles(stored, asked)
 
-    def scan_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((tile, row) for tile in batches for row in range(tile.num_rows))
-        asked: list[pa.Table] = []
-        for (_, kind), blocks in groupby(rows, key=_place_and_kind):
-            if kind == _REQUESTS:
-                asked = [_unpacked(tile, row, "q_") for tile, row in blocks]
-            elif asked:
-                yield from process(pa.concat_tables(asked), _joined_blocks(_unpacked(tile, row, "c_") for tile, row in blocks))
-                asked = []
+        asked, first = [], []
+        for tile, row in rows:
+            if tile.column("has_chunks")[row].as_py():
+                first.append(_unpacked(tile, row, "c_"))
+            if not tile.column("has_requests")[row].as_py():
+                break
+            asked.append(_unpacked(tile, row, "q_"))
+        if asked:
+            others = (_unpacked(tile, row, "c_") for tile, row in rows)
+            yield from process(pa.concat_tables(asked), _joined_blocks(chain(first, others)))
+
+    return met.mapInArrow(scan_tile, ddl)
+
+
+def _tiles(stored: DataFrame, asked: DataFrame) -> DataFrame:
+    """Each partition of packed chunks with each of packed requests, as one partition: first the blocks of
+    requests, beside the first block of chunks, then the other blocks of chunks.
+
+    Both sides are written once, by their shuffles, and every tile reads its partitions from there, so what is
+    on disk does not grow with the number of tiles.
+    """
 
-    return tiles.mapInArrow(scan_tiles, ddl)
+    def first(frame: DataFrame) -> Column:
+        return frame["no"].bitwiseAND(_IN_PARTITION) == 0
+
+    stored, asked = (f.withColumn("no", F.monotonically_increasing_id()) for f in (stored, asked))
+    has_requests, has_chunks = first(stored), first(asked)
+    # the left side's rows pass one by one; the right side's partition is kept for them
+    pairs = stored.hint("shuffle_replicate_nl").join(asked, has_requests | has_chunks)
+    return pairs.select(
+        has_requests.alias("has_requests"),
+        has_chunks.alias("has_chunks"),
+        *[F.when(has_requests, asked[c]).alias(c) for c in asked.columns if c != "no"],
+        *[F.when(has_chunks, stored[c]).alias(c) for c in stored.columns if c != "no"],
+    )
 
 
 def request_groups(batch: BatchProfile) -> int:
@@ -537,11 +584,6 @@ def _joined_blocks(blocks: Iterator[pa.Table]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def _place_and_kind(block: tuple[pa.RecordBatch, int]) -> tuple[int, int]:
-    tile, row = block
-    return tile.column("place")[row].as_py(), tile.column("kind")[row].as_py()
-
-
 def scan(
     chunks: DataFrame,
     requests: DataFrame,

@@ -311,7 +311,7 @@ def _knn(**params: Callable[[], Column]) -> Query:
         requests = corpus.vector_requests(spark, folder).withColumns(
             {name: make() for name, make in params.items()}
         )
-        return _hits(search.vector_search(corpus.chunks(spark, folder), requests, by_file=False))
+        return _hits(search.vector_search(corpus.chunks(spark, folder), requests, by_file=False, fields=()))
 
     return run
 

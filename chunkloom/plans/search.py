@@ -148,14 +148,34 @@ def _cut_in_steps(
     return parts, left.drop("total", "low", "high")
 
 
+def _narrow(chunks: DataFrame, batch: BatchProfile, fields: tuple[str, ...]) -> DataFrame:
+    """Ids and ``fields`` of chunks. Beside unbounded hits only those with a searched vector, unless parents join these."""
+    ids = ["tenant", "chunk_id"]
+    narrow = chunks.select(*ids, *[f for f in fields if f not in ids])
+    if batch.with_parents or batch.max_hits is not None or batch.count == 0:
+        return narrow
+    searched = reduce(Column.__or__, [column.isNotNull() for column in _vector_columns(batch)])
+    return narrow.join(chunks.where(searched).select(*ids).distinct(), ids, "left_semi")
+
+
 def _rows(
-    hits: DataFrame, chunks: DataFrame, requests: DataFrame, batch: BatchProfile, fetch: Fetch | None, by_file: bool
+    hits: DataFrame,
+    chunks: DataFrame,
+    requests: DataFrame,
+    batch: BatchProfile,
+    fetch: Fetch | None,
+    by_file: bool,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Full chunk rows of the hits and parents, with the vector of requests that want it.
+    """Full chunk rows of the hits and parents, or their ids and ``fields``, with the vector of requests that want it.
 
     ``fetch`` gives the chunks of ids from where they are stored; without it they are joined, and where they
     are grouped ``by_file`` next, in the partitions of their files.
     """
+    if fields is not None and not batch.with_vectors and fetch is None:
+        return fetch_chunks(
+            apply_parent_strategy(hits, requests, batch), _narrow(chunks, batch, fields), batch, narrow=True
+        )
     keys = apply_parent_strategy(hits, requests, batch)
     if batch.with_vectors:  # told to ids, so that contents need not move to the requests
         keys = beside_requests(keys, requests.select("request_id", "vector_name", "include_vector"), batch)
@@ -179,18 +199,21 @@ def vector_search(
     in_tiles: bool = False,
     part_chunks: int | None = None,
     fetch: Fetch | None = None,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Nearest chunks of each request, as documents per file or, with ``by_file`` off, as rows.
 
     Order of work: property, level and tenant filters, distance, ``horizon``, ``top``,
-    ``auto_limit``, then the parent strategy and the regrouping per file.
+    ``auto_limit``, then the parent strategy and the regrouping per file. Rows have all columns of their
+    chunks, or with ``fields`` only the ids and those, so that long lists need not move to contents.
     """
     asked = with_defaults(requests, defaults)
     batch = profile(asked)
     asked = settle(asked, batch)
     hits = nearest_ranked(chunks, asked, batch, in_tiles)
-    rows = _rows(hits, chunks, asked, batch, fetch, by_file)
-    return group_by_file(rows, part_chunks) if by_file else rows
+    if by_file:
+        return group_by_file(_rows(hits, chunks, asked, batch, fetch, by_file), part_chunks)
+    return _rows(hits, chunks, asked, batch, fetch, by_file, fields)
 
 
 def text_search(
