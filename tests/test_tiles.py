@@ -94,3 +94,40 @@ def test_order_within_lists(count):
     expected = np.lexsort((by_id[place], distance, lists))
     assert [x[order].tolist() for x in (lists, distance, by_id[place])] == [x[expected].tolist() for x in (lists, distance, by_id[place])]
     assert starts[0] == 0 and starts[-1] == 400 and starts[count - 1] == (lists < count - 1).sum()
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_cut_where_hits_are_scored(spark, stored, monkeypatch, twice):
+    """Equal to the windows of Spark, with copies, lists without spread, empty ones and ids of requests that come twice."""
+    rows = [(None, i % 4 + 1, None) for i in range(12)] + [(None, 30, None), (None, 2, 0.0), (None, 1, -1.0), (None, 1, 2.5)]
+    asked = with_defaults(asked_for(spark, rows))
+    if twice:
+        asked = asked.unionByName(asked.where("request_id < 'r2'").withColumn("horizon", F.lit(5.0)))
+    batch = profile(asked)
+    monkeypatch.setattr(search, "FIRST_TOP", 2)
+    monkeypatch.setattr(search, "TOP_STEP", 3)
+    expected = listed(search.nearest_ranked(stored, asked, batch))
+    monkeypatch.setattr("chunkloom.operators.requests.SHARED_HITS", 1)
+    monkeypatch.setattr(scoring, "POOL_ROWS", 9)
+    found = search.nearest_ranked(stored, asked, batch)
+    assert listed(found) == expected
+    monkeypatch.setattr(search, "WINDOW_TOP", 3)  # behind it only tasks look for a cut
+    assert listed(search.nearest_ranked(stored, asked, batch)) == expected
+    assert "rangepartitioning" not in plan_of(search.nearest_ranked(stored, asked, batch))
+    monkeypatch.setattr(search, "LONGEST_CUT", 0)
+    assert listed(search.nearest_ranked(stored, asked, batch)) == expected
+
+
+def test_only_what_is_before_the_cut_leaves_a_task(spark, stored):
+    columns = ["tenant", "chunk_id", "parent_id", F.col("embeddings")["default"].alias("v0")]
+    frame = stored.select(*columns).where("v0 IS NOT NULL")
+    asked = with_defaults(asked_for(spark, [(40, i % 3 + 1, None) for i in range(15)]))
+    asked = asked.withColumns({"slot": F.lit(0), "spec": F.lit(0)})
+    batch = profile(asked)
+    told = asked.join(scoring.spreads(frame, asked.withColumn("top", F.lit(None).cast("int")), batch), "request_id")
+    left = scoring.scan_cut(frame, told, batch)
+    sent = left.groupBy("settled").count().collect()
+    assert sum(r["count"] for r in sent if not r["settled"]) <= 15
+    kept = left.where("settled").groupBy("request_id").agg(F.max("rank").alias("last"), F.count("*").alias("n")).collect()
+    assert kept and all(r["last"] == r["n"] for r in kept)
+    assert sum(r["n"] for r in kept) < 15 * 40 / 2
