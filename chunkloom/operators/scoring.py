@@ -39,13 +39,20 @@ EMITTED_ROWS = 50_000
 HIT_BYTES = 100  # of one hit in a shuffle, with the id of its request
 TILES_PER_CORE = 2
 BLOCK_REQUESTS = 512
-BLOCK_CHUNKS = 2048
+BLOCK_CHUNKS = 8192
 # Smaller blocks are dealt, so that all partitions get about as many.
 DEALT_REQUESTS = 64
 DEALT_CHUNKS = 256
 _CELLS = 1 << 21  # scores held at once by the kernel
+_WIDE_CELLS = 1 << 22  # of manhattan, which works along long rows
 _PAIR_CELLS = 1 << 22  # vector elements held at once when pairs are scored again
+_CACHED_CELLS = 1 << 18  # of these, as many as stay in the processor's cache
 _TILE = 1 << 15
+_TILE_WIDTH = 1 << 11
+_COARSE_TILE = 1 << 17  # of one byte each
+_FIRST_CHUNKS = 1 << 11  # scored by the finer screen alone where no bound is known
+_LEVELS = 63  # four differences of them fit in a byte
+_USEFUL = 1 / 8  # share of pairs up to which scoring them all again is cheaper than a finer screen
 _IN_PARTITION = (1 << 33) - 1  # of a monotonically increasing id
 
 HIT_DDL = (
@@ -87,19 +94,29 @@ def pair_distance(a: np.ndarray, b: np.ndarray, method: str) -> np.ndarray:
     return np.abs(gap).sum(axis=1) if method == "manhattan" else (gap != 0).sum(axis=1) * 1.0
 
 
+def pair_distances(q: np.ndarray, c: np.ndarray, i: np.ndarray, j: np.ndarray, method: str) -> np.ndarray:
+    """``pair_distance`` of the rows ``i`` of ``q`` to the rows ``j`` of ``c``."""
+    step = max(1, _CACHED_CELLS // max(1, c.shape[1]))
+    pieces = (slice(at, at + step) for at in range(0, max(1, len(i)), step))
+    return np.concatenate([pair_distance(q[i[piece]], c[j[piece]], method) for piece in pieces])
+
+
 def _sums_by_dimension(q: np.ndarray, c: np.ndarray, step: Callable[..., None]) -> np.ndarray:
     """``step(q, c, out)`` summed over dimensions, in the type of ``q`` and in tiles of whole rows small
     enough for the processor's cache."""
     c = np.ascontiguousarray(c.T)
     total = np.zeros((len(q), c.shape[1]), q.dtype)
-    height = max(1, _TILE // max(1, c.shape[1]))
-    gap = np.empty((height, c.shape[1]), q.dtype)
-    for start in range(0, len(q), height):
-        sums, rows = total[start : start + height], q[start : start + height]
-        part = gap[: len(rows)]
-        for j in range(len(c)):
-            step(rows[:, j, None], c[j], part)
-            np.add(sums, part, out=sums)
+    width = max(1, min(c.shape[1], _TILE_WIDTH))
+    height = max(1, _TILE // width)
+    gap = np.empty(height * width, q.dtype)
+    for left in range(0, c.shape[1], width):
+        columns = np.ascontiguousarray(c[:, left : left + width])
+        for start in range(0, len(q), height):
+            sums, rows = total[start : start + height, left : left + width], q[start : start + height]
+            part = gap[: sums.size].reshape(sums.shape)
+            for j in range(len(columns)):
+                step(rows[:, j, None], columns[j], part)
+                np.add(sums, part, out=sums)
     return total
 
 
@@ -125,6 +142,91 @@ def _screen_manhattan(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndar
     return total, unit * total.max(axis=1, initial=0.0).astype(np.float64)
 
 
+class CoarseGaps:
+    """Chunks as numbers of six bits or fewer, which tell fast which manhattan distances can be up to a cut.
+
+    A distance of the numbers differs from that of the vectors by what rounding took from both at most, which is
+    measured for each of them.
+    """
+
+    def __init__(self, c: np.ndarray):
+        self.levels = min(_LEVELS, 60_000 // max(1, c.shape[1]))
+        self.low, self.step = self._scale(c)
+        codes, lost = self.coded(c)
+        self.codes = np.ascontiguousarray(codes.T)
+        # a chunk that lost more than can be counted, or holds what is no number, is always open
+        counted = lost <= 5_000 * self.step
+        self.open = np.flatnonzero(~counted)
+        self.lost = np.zeros(len(c))
+        if self.suits():
+            self.lost[counted] = np.ceil(lost[counted] / self.step)
+
+    def _scale(self, c: np.ndarray) -> tuple[float, float]:
+        """The range of values that loses least on some of the chunks; values outside lose what they lie outside by."""
+        some = c[:: max(1, len(c) // 64)]
+        middle, spread = some.mean(), some.std()
+        ranges = [(some.min(), some.max()), *((middle - k * spread, middle + k * spread) for k in (2.5, 3.0, 4.0, 6.0))]
+        best, least = (0.0, 0.0), np.inf
+        for low, high in ranges:
+            step = (high - low) / max(1, self.levels)
+            if 0 < step < np.inf:
+                lost = np.abs(some - (low + step * np.clip(np.rint((some - low) / step), 0, self.levels))).sum()
+                best, least = ((low, step), lost) if lost < least else (best, least)
+        return best
+
+    def suits(self) -> bool:
+        return self.levels >= 2 and self.step > 0
+
+    def coded(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of each row, and how far they are from it in all."""
+        if not self.suits():
+            return np.zeros(m.shape, np.int8), np.zeros(len(m))
+        codes = np.clip(np.rint((m - self.low) / self.step), 0, self.levels)
+        lost = np.abs(m - (self.low + self.step * codes)).sum(axis=1)
+        return np.nan_to_num(codes).astype(np.int8), lost
+
+    def near(self, q: np.ndarray, start: int, stop: int, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Rows of ``q`` and of the chunks from ``start`` to ``stop`` (from 0) that may be up to the ``cut`` of the row
+        apart; None where these are too many to be of use."""
+        codes, lost = self.codes[:, start:stop], self.lost[start:stop]
+        width, together = codes.shape[1], 255 // self.levels
+        asked, lost_q = self.coded(q)
+        # one more for what is lost in adding up; above all sums everything is open
+        most = np.nan_to_num(np.floor((cut + lost_q) / self.step) + 1 + lost.max(), nan=65_535.0)
+        most = np.clip(most, 0, 65_535).astype(np.uint16)[:, None]
+        from_start = (lost.max() - lost).astype(np.uint16)
+        height = max(1, _COARSE_TILE // width)
+        sums = np.empty((height, width), np.uint16)
+        gaps, gap = np.empty((2, height, width), np.int8)
+        found_i, found_j, found = [], [], 0
+        for top in range(0, len(asked), height):
+            rows = asked[top : top + height]
+            total, some, one = sums[: len(rows)], gaps[: len(rows)], gap[: len(rows)]
+            some_sum, one_more = some.view(np.uint8), one.view(np.uint8)
+            total[:] = from_start
+            for first in range(0, len(codes), together):
+                np.subtract(rows[:, first, None], codes[first], out=some)
+                np.abs(some, out=some)
+                for j in range(first + 1, min(first + together, len(codes))):
+                    np.subtract(rows[:, j, None], codes[j], out=one)
+                    np.abs(one, out=one)
+                    np.add(some_sum, one_more, out=some_sum)
+                np.add(total, some_sum, out=total)
+            i, j = np.divmod(np.flatnonzero(total <= most[top : top + height]), width)
+            found_i.append(i + top)
+            found_j.append(j)
+            found += len(i)
+            if found > _USEFUL * len(rows) * width + _USEFUL * top * width:
+                return None
+        i, j = np.concatenate(found_i), np.concatenate(found_j)
+        wide = self.open[(self.open >= start) & (self.open < stop)] - start
+        if len(wide):
+            closed = ~np.isin(j, wide)
+            i = np.concatenate([i[closed], np.repeat(np.arange(len(q)), len(wide))])
+            j = np.concatenate([j[closed], np.tile(wide, len(q))])
+        return i, j
+
+
 def _screen_hamming(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exact counts: by a matrix product where the chunks hold few values, each of which has columns of its own."""
     values = np.unique(c[:4])
@@ -183,6 +285,8 @@ class RequestBlock:
         self.horizon = np.array([np.inf if h is None else h for h in horizons], dtype=np.float64)
         # distance of the last hit that counts, once a request has as many as it asked for
         self.worst = np.full(len(tops), np.inf)
+        # for how many blocks of chunks the coarse screen is left out, each time it has left too many pairs open
+        self.left_out = self.leave_out = 0
         queries = table["query_embedding"].combine_chunks()
         sizes = pc.list_value_length(queries).to_pylist()
         what = [table[c].to_pylist() for c in ("slot", "method", "spec")]
@@ -199,6 +303,19 @@ class RequestBlock:
                     _, vectors = matrix(queries.take(pa.array(rows)))
                     self.groups.append((slot, method, spec, rows, vectors))
 
+    def coarsely(
+        self, gaps: CoarseGaps, queries: np.ndarray, start: int, stop: int, cut: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray] | None:
+        """What the coarse screen leaves open; tried again after a while where that was too much."""
+        if not gaps.suits():
+            return None
+        if self.left_out < self.leave_out:
+            self.left_out += 1
+            return None
+        found = gaps.near(queries, start, stop, cut)
+        self.left_out, self.leave_out = 0, min(2 * self.leave_out + 1, 255) if found is None else 0
+        return found
+
     def all_groups(self) -> list[tuple]:
         """Also the requests without a query vector, which only text can answer."""
         return self.groups + self.without_vector
@@ -266,6 +383,7 @@ def hits(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np
     vectors = {
         slot: matrix(chunks[f"v{slot}"].combine_chunks()) for slot in {g[0] for g in block.groups}
     }
+    coarse: dict[tuple, CoarseGaps] = {}
     for slot, method, spec, rows, queries in block.groups:
         present, stored = vectors[slot]
         chosen = with_spec(chunks, spec)[present]
@@ -277,22 +395,34 @@ def hits(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np
                 f"vectors of different size: {queries.shape[1]} and {stored.shape[1]}"
             )
         limit = int(block.top[rows].max()) if block.limited[rows].all() else None
-        step = max(1, _CELLS // len(rows))
-        for start in range(0, len(present), step):
-            part = stored[start : start + step]
-            rough, error = quick_screen(queries, part, method)
-            cut = np.minimum(block.worst[rows], block.horizon[rows]) + error
-            # once all requests have their hits, the last of these bounds better than one batch
-            if limit is not None and 0 < limit < len(part) and not np.isfinite(cut).all():
-                nearest = np.partition(rough, limit - 1, axis=1)[:, limit - 1]
-                cut = np.fmin(cut, nearest + 2 * error)
-            i, j = within(rough, cut)
+        step = max(1, (_WIDE_CELLS if method == "manhattan" else _CELLS) // len(rows))
+        # what the first of these chunks tell of the last hit that counts
+        bound, start = np.full(len(rows), np.inf), 0
+        while start < len(present):
+            far = np.fmin(np.minimum(block.worst[rows], block.horizon[rows]), bound)
+            told = bool(np.isfinite(far).all())
+            width = step if told or limit is None or method != "manhattan" else max(_FIRST_CHUNKS, 4 * limit)
+            part = stored[start : start + min(step, width)]
+            open_pairs = None
+            if told and method == "manhattan":
+                if (slot, spec) not in coarse:
+                    coarse[slot, spec] = CoarseGaps(stored)
+                open_pairs = block.coarsely(coarse[slot, spec], queries, start, start + len(part), far)
+            if open_pairs is None:
+                rough, error = quick_screen(queries, part, method)
+                # once all requests have their hits, the last of these bounds better than one batch
+                if limit is not None and 0 < limit < len(part) and not told:
+                    bound = np.fmin(bound, np.partition(rough, limit - 1, axis=1)[:, limit - 1] + error)
+                    far = np.fmin(far, bound)
+                open_pairs = within(rough, far + error)
+            i, j = open_pairs
             pairs = max(1, _PAIR_CELLS // max(1, part.shape[1]))
             for at in range(0, len(i), pairs):
                 qi, cj = i[at : at + pairs], j[at : at + pairs]
-                distance = pair_distance(queries[qi], part[cj], method)
-                near = np.flatnonzero(distance <= block.horizon[rows[qi]])
+                distance = pair_distances(queries, part, qi, cj, method)
+                near = np.flatnonzero(distance <= far[qi])
                 yield rows[qi[near]], distance[near], present[start + cj[near]]
+            start += len(part)
 
 
 def measures(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -327,7 +457,7 @@ def measures(block: RequestBlock, chunks: pa.Table) -> Iterator[tuple[np.ndarray
             pairs = max(1, _PAIR_CELLS // max(1, part.shape[1]))
             for at in range(0, len(i), pairs):
                 qi, cj = i[at : at + pairs], j[at : at + pairs]
-                distance = pair_distance(queries[qi], part[cj], method)
+                distance = pair_distances(queries, part, qi, cj, method)
                 near = sure[qi, cj] | (distance <= horizon[qi])
                 total += np.bincount(qi[near & ~sure[qi, cj]], minlength=len(rows))
                 np.minimum.at(low, qi[near], distance[near])
